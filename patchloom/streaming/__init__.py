@@ -1,0 +1 @@
+"""Reserved: the feature set is batch only, so there is no streaming operator."""
