@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import keyword_only
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from patchloom.functions.vectors import DenseVectorizer
 from patchloom.operators.cleaning import stamp
@@ -32,17 +35,38 @@ def classifier(features: str = "features", label: str = "label", **settings) ->
     )
 
 
-def regression(features: str = "features", label: str = "label", **settings) -> Pipeline:
-    """Unfitted pipeline: array to vector, ridge regression by the normal equations.
+class RidgeRegression(Estimator, HasFeaturesCol, HasLabelCol):
+    """Linear regression minimising ``mean((y - wx - b)^2) / 2 + penalty * |w|^2 / 2``.
 
-    The fit is the exact minimum of the squared loss with an L2 penalty on the
-    coefficients, found in one pass over the data (up to 4096 features).
+    Solved by the normal equations in one pass (up to 4096 features). Spark
+    divides its penalty by the label's standard deviation, so that is measured
+    first and multiplied back in.
     """
-    defaults = {"regParam": REGRESSION_PENALTY, "elasticNetParam": 0.0, "standardization": False, "solver": "normal"}
+
+    @keyword_only
+    def __init__(self, *, featuresCol: str = "feature", labelCol: str = "label", penalty: float = REGRESSION_PENALTY):
+        super().__init__()
+        self.penalty = penalty
+        self._set(featuresCol=featuresCol, labelCol=labelCol)
+
+    def _fit(self, dataset: DataFrame):
+        spread = dataset.agg(F.stddev_pop(self.getLabelCol()).alias("std")).first()["std"]
+        return LinearRegression(
+            featuresCol=self.getFeaturesCol(),
+            labelCol=self.getLabelCol(),
+            regParam=self.penalty * (spread or 0.0),
+            elasticNetParam=0.0,
+            standardization=False,
+            solver="normal",
+        ).fit(dataset)
+
+
+def regression(features: str = "features", label: str = "label", penalty: float = REGRESSION_PENALTY) -> Pipeline:
+    """Unfitted pipeline: array to vector, ridge regression."""
     return Pipeline(
         stages=[
             DenseVectorizer(inputCol=features, outputCol="feature"),
-            LinearRegression(labelCol=label, featuresCol="feature", **(defaults | settings)),
+            RidgeRegression(labelCol=label, penalty=penalty),
         ]
     )
 

@@ -1,14 +1,14 @@
 """Training, scoring and the whole feature-to-gate path."""
 
-from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from patchloom.operators.featurize import share_weights, text_featurizer
 from patchloom.operators.gate import Threshold
 from patchloom.operators.joins import annotate
 from patchloom.operators.lookup import FeatureLookup
-from patchloom.operators.metrics import CUSTOM_METRICS, loss_and_accuracy, weighted_metrics
-from patchloom.operators.models import coefficients, predict_table, regression
+from patchloom.operators.metrics import CUSTOM_METRICS, custom_metrics, loss_and_accuracy
+from patchloom.operators.models import classifier, coefficients, predict_table, regression, score_batch
 from patchloom.plans.jobs import embed_and_train, train, train_and_validate, validate, write_features
 from patchloom.plans.registered import query, table
 from patchloom.plans.registered.features import text_weights
@@ -54,12 +54,7 @@ def linear_fit_scores(spark, folder):
     )
     spec = FeatureLookup("line_totals", ("features",), ("o_orderkey",), missing="drop")
     sources = {"line_totals": totals}
-    trained = train(
-        orders, ["o_orderkey"], [spec], pipeline=Pipeline(stages=[regression()]), resolve=sources.__getitem__
-    )
-    from patchloom.operators.metrics import custom_metrics
-    from patchloom.operators.models import score_batch
-
+    trained = train(orders, ["o_orderkey"], [spec], regression(), resolve=sources.__getitem__)
     predicted = score_batch(trained.package, trained.held_out, sources.__getitem__)
     found = custom_metrics(predicted, "label", "prediction", CUSTOM_METRICS)
     return found.select(*[F.round(c, 3).alias(c) for c in found.columns])
@@ -71,11 +66,7 @@ def train_and_score(spark, folder):
     vectors = table(spark, folder, "embeddings")
     base = vectors.select("vec_id", "label")
     resolve = {"embeddings": vectors.select("vec_id", "embedding")}.__getitem__
-    from patchloom.operators.models import classifier
-
-    trained = train(
-        base, ["vec_id"], LABELLED, classifier("embedding"), exclude=["vec_id"], resolve=resolve
-    )
+    trained = train(base, ["vec_id"], LABELLED, classifier("embedding"), exclude=["vec_id"], resolve=resolve)
     ensure_schema(spark, "patchloom_models")
     keys, output = scratch_path(spark, "keys"), scratch_path(spark, "scores")
     overwrite_table(trained.held_out, _name(keys), location=keys)
@@ -91,8 +82,6 @@ def embedding_head(spark, folder):
     documents = table(spark, folder, "documents", "doc_id", "text")
     embed = text_featurizer(share_weights(spark, text_weights()))
     held_out = embed_and_train(annotate(labels, documents, "doc_id"), embed, "text", ["doc_id"])
-    from pyspark.ml.functions import vector_to_array
-
     rows = held_out.withColumn("probability", vector_to_array("probability"))
     return loss_and_accuracy(rows, prediction="prediction").select(
         F.round("loss", 6).alias("loss"), F.round("accuracy", 6).alias("accuracy"), "n_rows"
