@@ -1,13 +1,13 @@
 """One-hot and standard-scale encoders with a ``fit`` step.
 
-``fit`` runs one distinct job for all one-hot columns and one aggregate for all
-scaled columns. What returns to the driver is one row of moments and a category
-list that is refused, not cut, beyond ``max_categories``.
+``fit`` is a single aggregate over the data. What returns to the driver is one row
+per category, refused, not cut, beyond ``max_categories``.
 """
 
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
@@ -21,35 +21,76 @@ def _sorted_categories(values: list) -> tuple:
     return tuple(present + [None] * (len(present) != len(values)))
 
 
-def fit_categories(
-    df: DataFrame, columns: Sequence[str], max_categories: int = 10_000
-) -> dict[str, tuple]:
-    """Distinct values of each column in sorted order, found in one pass."""
-    if not columns:
-        return {}
-    # One row per column and value; the unused fields stay null, so columns of
-    # different types share the pass.
-    tagged = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("which"),
-                *[
-                    (F.col(c) if i == j else F.lit(None).cast(df.schema[c].dataType)).alias(f"v{j}")
-                    for j, c in enumerate(columns)
-                ],
-            )
-            for i in range(len(columns))
+def _fit(
+    df: DataFrame, categories: Sequence[str], moments: Sequence[str], max_categories: int
+) -> tuple[dict[str, tuple], dict[str, Moments]]:
+    """Categories and moments of all columns in one pass over ``df``.
+
+    Each row becomes one tagged row per category column; the rows of the first
+    tag also carry the values to scale. They are grouped by tag and value, with
+    map-side combining, and the few groups are put together here.
+    """
+    tags = max(len(categories), 1)
+
+    def tagged(i: int) -> Column:
+        values = [
+            (F.col(c) if i == j else F.lit(None).cast(df.schema[c].dataType)).alias(f"v{j}")
+            for j, c in enumerate(categories)
         ]
-    )
-    allowed = max_categories * len(columns)
-    rows = df.select(F.inline(tagged)).distinct().limit(allowed + 1).collect()
-    found: dict[str, list] = {c: [] for c in columns}
-    for row in rows:
-        found[columns[row["which"]]].append(row[f"v{row['which']}"])
-    too_wide = [c for c, values in found.items() if len(values) > max_categories]
-    if too_wide or len(rows) > allowed:
-        raise ValueError(f"more than {max_categories} categories in {too_wide or list(columns)}")
-    return {c: _sorted_categories(values) for c, values in found.items()}
+        scaled = []
+        for j, c in enumerate(moments):
+            number = F.col(c).cast("double")
+            number = F.when(~F.isnan(number), number) if i == 0 else F.lit(None).cast("double")
+            scaled.append(number.alias(f"x{j}"))
+        return F.struct(F.lit(i).alias("tag"), *values, *scaled)
+
+    groups = ["tag", *[f"v{j}" for j in range(len(categories))]]
+    stats = [
+        stat(F.col(f"x{j}")).alias(f"{name}{j}")
+        for j in range(len(moments))
+        for name, stat in (("n", F.count), ("mean", F.avg), ("var", F.var_pop))
+    ]
+    grouped = df.select(F.inline(F.array(*[tagged(i) for i in range(tags)]))).groupBy(*groups)
+    allowed = max_categories * tags
+    rows = grouped.agg(*(stats or [F.count(F.lit(1)).alias("n")])).limit(allowed + 1).collect()
+
+    found: dict[str, list] = {c: [] for c in categories}
+    if categories:
+        for row in rows:
+            found[categories[row["tag"]]].append(row[f"v{row['tag']}"])
+        too_wide = [c for c, values in found.items() if len(values) > max_categories]
+        if too_wide or len(rows) > allowed:
+            raise ValueError(f"more than {max_categories} categories in {too_wide or list(categories)}")
+    first = [row for row in rows if row["tag"] == 0]
+    scales = {c: _pooled([(r[f"n{j}"], r[f"mean{j}"], r[f"var{j}"]) for r in first], c) for j, c in enumerate(moments)}
+    return {c: _sorted_categories(values) for c, values in found.items()}, scales
+
+
+def _pooled(groups: list[tuple], name: str) -> Moments:
+    """Moments of all rows from the count, mean and variance of each group."""
+    counted = [g for g in groups if g[0]]
+    total = sum(n for n, _, _ in counted)
+    if not total:
+        raise ValueError(f"no values to scale in {name}")
+    mean = math.fsum(n * m for n, m, _ in counted) / total
+    variance = math.fsum(n * (v + (m - mean) ** 2) for n, m, v in counted) / total
+    return Moments(mean, math.sqrt(variance))
+
+
+@dataclass(frozen=True)
+class Moments:
+    mean: float
+    std: float
+
+
+def fit_categories(df: DataFrame, columns: Sequence[str], max_categories: int = 10_000) -> dict[str, tuple]:
+    """Distinct values of each column in sorted order."""
+    return _fit(df, columns, (), max_categories)[0]
+
+
+def fit_moments(df: DataFrame, columns: Sequence[str]) -> dict[str, Moments]:
+    """Mean and population standard deviation, NaN and null left out."""
+    return _fit(df, (), columns, 1)[1]
 
 
 def one_hot(column: Column, categories: Sequence, unseen: str = "error") -> Column:
@@ -59,35 +100,18 @@ def one_hot(column: Column, categories: Sequence, unseen: str = "error") -> Colu
     """
     if unseen not in ("error", "ignore"):
         raise ValueError(f"unseen must be 'error' or 'ignore', not {unseen!r}")
-    domain = F.array(*[F.lit(value) for value in categories])
-    flags = F.transform(domain, lambda c: F.when(c.eqNullSafe(column), 1.0).otherwise(0.0))
+    width = len(categories)
+    known = [value for value in categories if value is not None]
+    found = F.array_position(F.array(*[F.lit(value) for value in known]), column) if known else F.lit(0)
+    place = F.coalesce(found, F.lit(width if width > len(known) else 0)).cast("int")
+    ones = F.when(place > 0, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>"))
+    before = F.array_repeat(F.lit(0.0), F.when(place > 0, place - 1).otherwise(width))
+    after = F.array_repeat(F.lit(0.0), F.when(place > 0, F.lit(width) - place).otherwise(0))
+    flags = F.concat(before, ones, after)
     if unseen == "ignore":
         return flags
     message = F.concat(F.lit("unseen category: "), F.coalesce(column.cast("string"), F.lit("null")))
-    known = F.exists(domain, lambda c: c.eqNullSafe(column))
-    return F.when(known, flags).otherwise(F.raise_error(message).cast("array<double>"))
-
-
-@dataclass(frozen=True)
-class Moments:
-    mean: float
-    std: float
-
-
-def fit_moments(df: DataFrame, columns: Sequence[str]) -> dict[str, Moments]:
-    """Mean and population standard deviation, NaN and null left out."""
-    if not columns:
-        return {}
-    parts = []
-    for c in columns:
-        value = F.col(c).cast("double")
-        value = F.when(~F.isnan(value), value)
-        parts += [F.avg(value).alias(f"{c}__mean"), F.stddev_pop(value).alias(f"{c}__std")]
-    row = df.agg(*parts).first()
-    empty = [c for c in columns if row[f"{c}__mean"] is None]
-    if empty:
-        raise ValueError(f"no values to scale in {empty}")
-    return {c: Moments(row[f"{c}__mean"], row[f"{c}__std"]) for c in columns}
+    return F.when(place > 0, flags).otherwise(F.raise_error(message).cast("array<double>"))
 
 
 def standard_scale(column: Column, moments: Moments) -> Column:
@@ -112,11 +136,8 @@ class ColumnEncoder:
         unseen: str = "error",
         max_categories: int = 10_000,
     ) -> ColumnEncoder:
-        return cls(
-            fit_categories(df, one_hot_columns, max_categories),
-            fit_moments(df, scale_columns),
-            unseen,
-        )
+        categories, moments = _fit(df, one_hot_columns, scale_columns, max_categories)
+        return cls(categories, moments, unseen)
 
     @property
     def width(self) -> int:

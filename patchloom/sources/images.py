@@ -7,17 +7,44 @@ in the task that uses them, so they never go through a shuffle.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from patchloom.functions.keys import PATCH_KEY_PATTERN, parse_key
 
 
+def _placed(root: str, pattern: str) -> tuple[str, str | None]:
+    """The folder to list, and the form of the paths that ``pattern`` means below it.
+
+    The folder is listed as a whole, in parallel, instead of expanding the
+    pattern to single files on the driver. Patterns with more than ``*`` and
+    ``?`` are left to the file system.
+    """
+    parts = pattern.split("/")
+    while len(parts) > 1 and not re.search(r"[*?\[{\\]", parts[0]):
+        root = f"{root.rstrip('/')}/{parts.pop(0)}"
+    if re.search(r"[\[{\\]", "/".join(parts)) or re.search(r"[*?\[{]", root):
+        return f"{root.rstrip('/')}/{'/'.join(parts)}", None
+    forms = [re.escape(p).replace(r"\*", "[^/]*").replace(r"\?", "[^/]") for p in parts]
+    folder = re.escape(root.rstrip("/").rsplit("/", 1)[-1])
+    return root, f"(^|/){folder}/{'/'.join(forms)}$"
+
+
+def _load(reader: DataFrameReader, root: str, pattern: str, recursive: bool, path: str) -> DataFrame:
+    name = pattern.rsplit("/", 1)[-1]
+    folder, form = (root, ".*") if recursive else _placed(root, pattern)
+    if form is None:
+        return reader.load(folder)
+    files = reader.option("recursiveFileLookup", True).option("pathGlobFilter", name).load(folder)
+    return files if recursive else files.filter(F.col(path).rlike(form))
+
+
 def scan_files(
     spark: SparkSession,
     root: str,
@@ -35,11 +62,7 @@ def scan_files(
     reader = spark.read.format("binaryFile")
     if modified_after is not None:
         reader = reader.option("modifiedAfter", modified_after)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", pattern.rsplit("/", 1)[-1])
-        files = reader.load(root)
-    else:
-        files = reader.load(f"{root.rstrip('/')}/{pattern}")
+    files = _load(reader, root, pattern, recursive, "path")
     return files.withColumn(key, parse_key("path", key_pattern)) if key else files
 
 
@@ -74,6 +97,7 @@ def scan_images(
     root: str,
     pattern: str = "*/*/*.jpg",
     drop_invalid: bool = True,
+    recursive: bool = False,
     key: str | None = "imid",
     key_pattern: str = PATCH_KEY_PATTERN,
 ) -> DataFrame:
@@ -82,7 +106,8 @@ def scan_images(
     ``pixels`` holds the rows top down in the decoder's channel order (blue,
     green, red). Files that are no images are left out, or kept with height -1.
     """
-    raw = spark.read.format("image").option("dropInvalid", drop_invalid).load(f"{root.rstrip('/')}/{pattern}")
+    reader = spark.read.format("image").option("dropInvalid", drop_invalid)
+    raw = _load(reader, root, pattern, recursive, "image.origin")
     images = raw.select(
         F.col("image.origin").alias("path"),
         F.col("image.height").alias("height"),
