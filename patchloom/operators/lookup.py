@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import asdict, dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -139,12 +139,17 @@ def point_in_time_lookup(
         questions = questions.withColumn("_tie", F.lit(None).cast(features.schema[tie_breaker].dataType))
     stream = questions.unionByName(facts, allowMissingColumns=True)
 
-    hot = hot_keys(stream.select(*keys), keys, hot_fraction).withColumn("_hot", F.lit(True))
-    any_hot = hot.take(1)
+    # Sizes and time ranges are measured on the plain rows: cheaper than on the
+    # distinct ones, and never less than them.
+    times = base.select(*keys, F.col(base_ts).alias("_ts")).unionByName(facts.select(*keys, "_ts")).dropna("any")
+    hot = hot_keys(times.select(*keys), keys, hot_fraction).withColumn("_hot", F.lit(True))
+    any_hot = bool(hot.take(1))
     if any_hot:
         # Fewer than hot_fraction rows, see hot_keys.
-        stream = stream.join(F.broadcast(hot), keys, "left")
-        stream = stream.withColumn("_block", _time_block(stream, blocks)).drop("_hot")
+        small = F.broadcast(hot)
+        block = _time_block(times.join(small, keys, "left_semi"), blocks)
+        stream = stream.join(small, keys, "left").withColumn("_block", F.when(F.col("_hot"), block).otherwise(0))
+        stream = stream.drop("_hot")
     else:
         stream = stream.withColumn("_block", F.lit(0))
 
@@ -165,15 +170,13 @@ def point_in_time_lookup(
     return lookup_join(base, answers, [*keys, base_ts])
 
 
-def _time_block(stream: DataFrame, blocks: int):
-    """Block number of hot rows by quantiles of their times; 0 for the others."""
+def _time_block(times: DataFrame, blocks: int) -> Column:
+    """Number of the time range a row's ``_ts`` lies in, by quantiles of ``times``."""
     cuts = [i / blocks for i in range(1, blocks)]
-    hot_rows = stream.filter("_hot")
-    found = hot_rows.agg(F.percentile_approx("_ts", cuts, 10_000).cast("array<string>").alias("cuts")).first()
-    kind = stream.schema["_ts"].dataType
+    found = times.agg(F.percentile_approx("_ts", cuts, 10_000).cast("array<string>").alias("cuts")).first()
+    kind = times.schema["_ts"].dataType
     bounds = [F.lit(text).cast(kind) for text in sorted(set(found["cuts"] or []))]
-    passed = reduce(lambda a, b: a + b, [(F.col("_ts") >= b).cast("int") for b in bounds], F.lit(0))
-    return F.when(F.col("_hot"), passed).otherwise(F.lit(0))
+    return reduce(lambda a, b: a + b, [(F.col("_ts") >= b).cast("int") for b in bounds], F.lit(0))
 
 
 def _carried(stream: DataFrame, keys: list[str], blocks: int) -> DataFrame:

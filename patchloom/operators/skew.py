@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
@@ -25,12 +25,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], fraction: int = HOT_FRACTION) -
     """Keys with more than ``1 / fraction`` of all rows; fewer than ``fraction`` rows.
 
     The rows are counted per key with map-side combining, so a hot key costs one
-    partial count per task. The list that comes back to the driver is bounded by
+    partial count per task; their total is observed on the way. The list that comes back to the driver is bounded by
     ``fraction``, and with it the size of the broadcast that uses it.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    top = counts.orderBy(F.desc("n_rows")).limit(fraction).collect()
-    total = df.count()
+    seen = Observation()
+    observed = counts.observe(seen, F.sum("n_rows").alias("total"))
+    top = observed.orderBy(F.desc("n_rows")).limit(fraction).collect()
+    total = seen.get["total"] or 0
     hot = [tuple(row[k] for k in keys) for row in top if row["n_rows"] * fraction > total]
     schema = counts.select(*keys).schema
     return df.sparkSession.createDataFrame(hot, schema)

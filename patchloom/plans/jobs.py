@@ -119,6 +119,9 @@ def validate(
         *[F.max(F.when(F.col("role") == role, F.col("value"))).alias(role) for role in roles]
     )
     report = gate_report(wide, rules)
+    if run_mode != "disabled":
+        # One row per metric: evaluated once, for the gate and for the caller.
+        report = report.sparkSession.createDataFrame(report.collect(), report.schema)
     return Validated(report, enforce(report, run_mode))
 
 
