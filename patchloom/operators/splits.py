@@ -53,7 +53,7 @@ def split_frames(
 
 def random_split(df: DataFrame, weights: Mapping[str, float], seed: int = SPLIT_SEED) -> dict[str, DataFrame]:
     """Seeded random split. Needs an input whose partitions are the same in every run."""
-    return dict(zip(weights, df.randomSplit(list(weights.values()), seed)))
+    return dict(zip(weights, df.randomSplit([float(w) for w in weights.values()], seed)))
 
 
 def process_splits(
