@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from patchloom.operators.skew import HOT_FRACTION, hot_keys, lookup_join
+from patchloom.operators.skew import HOT_FRACTION, hot_hashes, lookup_join
 
 MISSING = ("keep", "drop", "error")
 
@@ -142,16 +142,10 @@ def point_in_time_lookup(
     # Sizes and time ranges are measured on the plain rows: cheaper than on the
     # distinct ones, and never less than them.
     times = base.select(*keys, F.col(base_ts).alias("_ts")).unionByName(facts.select(*keys, "_ts")).dropna("any")
-    hot = hot_keys(times.select(*keys), keys, hot_fraction).withColumn("_hot", F.lit(True))
-    any_hot = bool(hot.take(1))
-    if any_hot:
-        # Fewer than hot_fraction rows, see hot_keys.
-        small = F.broadcast(hot)
-        block = _time_block(times.join(small, keys, "left_semi"), blocks)
-        stream = stream.join(small, keys, "left").withColumn("_block", F.when(F.col("_hot"), block).otherwise(0))
-        stream = stream.drop("_hot")
-    else:
-        stream = stream.withColumn("_block", F.lit(0))
+    hashes = hot_hashes(times.select(*keys), keys, hot_fraction)
+    hot = F.xxhash64(*keys).isin(hashes)
+    block = _time_block(times.filter(hot), blocks) if hashes else F.lit(0)
+    stream = stream.withColumn("_block", F.when(hot, block).otherwise(0))
 
     so_far = (
         Window.partitionBy(*keys, "_block")
@@ -163,7 +157,7 @@ def point_in_time_lookup(
         .filter("_side = 1")
         .select(*keys, "_block", "_ts", "_value")
     )
-    if any_hot:
+    if hashes:
         answers = answers.join(_carried(stream, keys, blocks), [*keys, "_block"], "left")
         answers = answers.withColumn("_value", F.coalesce("_value", "_carry"))
     answers = answers.select(*keys, F.col("_ts").alias(base_ts), *[F.col("_value")[c].alias(c) for c in columns])
@@ -189,6 +183,7 @@ def _carried(stream: DataFrame, keys: list[str], blocks: int) -> DataFrame:
         .groupBy(*keys, "_block")
         .agg(F.max_by("_value", F.struct("_ts", "_tie")).alias("_carry"))
     )
+    # Keys that stay in block 0 have nothing to hand on.
     hot_only = stream.filter("_block > 0").select(*keys).distinct()
     in_order = Window.partitionBy(*keys).orderBy("_block")
     following = F.coalesce(F.lead("_block").over(in_order), F.lit(blocks - 1))

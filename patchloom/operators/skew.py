@@ -10,9 +10,8 @@ rows are found first, and only those are spread.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
@@ -25,17 +24,27 @@ def hot_keys(df: DataFrame, keys: Sequence[str], fraction: int = HOT_FRACTION) -
     """Keys with more than ``1 / fraction`` of all rows; fewer than ``fraction`` rows.
 
     The rows are counted per key with map-side combining, so a hot key costs one
-    partial count per task; their total is observed on the way. The list that comes back to the driver is bounded by
-    ``fraction``, and with it the size of the broadcast that uses it.
+    partial count per task; the total is another group of the same job. What
+    comes back to the driver is bounded by ``fraction``.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    seen = Observation()
-    observed = counts.observe(seen, F.sum("n_rows").alias("total"))
-    top = observed.orderBy(F.desc("n_rows")).limit(fraction).collect()
-    total = seen.get["total"] or 0
-    hot = [tuple(row[k] for k in keys) for row in top if row["n_rows"] * fraction > total]
-    schema = counts.select(*keys).schema
-    return df.sparkSession.createDataFrame(hot, schema)
+    columns = [F.col(k) for k in keys]
+    counts = df.groupingSets([columns, []], *columns).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.grouping_id().alias("_set")
+    )
+    # The row of all rows together comes first, then the largest keys.
+    top = counts.orderBy(F.desc("n_rows")).limit(fraction + 1).collect()
+    total = max((row["n_rows"] for row in top if row["_set"]), default=0)
+    hot = [tuple(row[k] for k in keys) for row in top if not row["_set"] and row["n_rows"] * fraction > total]
+    return df.sparkSession.createDataFrame(hot, df.select(*keys).schema)
+
+
+def hot_hashes(df: DataFrame, keys: Sequence[str], fraction: int = HOT_FRACTION) -> list[int]:
+    """Hashes of the hot keys, fewer than ``fraction`` numbers.
+
+    Rows are told hot by their key's hash being in this list. A key that shares
+    a hash with a hot one is treated as hot too, which is harmless.
+    """
+    return [row[0] for row in hot_keys(df, keys, fraction).select(F.xxhash64(*keys)).collect()]
 
 
 def lookup_join(
@@ -50,26 +59,23 @@ def lookup_join(
 
     With ``salts > 1`` the rows of hot keys get one of ``salts`` salt values and
     the right rows of those keys, and no others, are repeated once per salt.
+    Null keys match nothing but still gather in one task of a left join, so they
+    are spread as well.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
-    if salts <= 1:
+    hashes = hot_hashes(base, keys, fraction) if salts > 1 else []
+    if not hashes:
         return base.join(right, list(keys), how)
 
-    # Bounded by ``fraction`` rows, see hot_keys. Null keys match nothing but
-    # still gather in one task of a left join, so they are salted as well.
-    hot = hot_keys(base, keys, fraction).select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
-
-    def mark(df: DataFrame) -> DataFrame:
-        same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(hot[f"_hot_{k}"]) for k in keys])
-        return df.join(F.broadcast(hot), same, "left").drop(*[f"_hot_{k}" for k in keys])
-
     # The salt depends on the row's values and its input partition, both the same
     # when a task is run again, so a lost executor cannot move rows between salts.
     # The partition also spreads rows that are copies of each other.
     plain = [f.name for f in base.schema.fields if f.name not in keys and isinstance(f.dataType, AtomicType)]
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in plain], F.spark_partition_id()), F.lit(salts))
-    left = mark(base).withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0)).cast("int")).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = mark(right).withColumn("_salt", F.explode(copies)).drop("_hot")
+    spread = F.pmod(F.xxhash64(*plain, F.spark_partition_id()), F.lit(salts)).cast("int")
+    left = base.withColumn("_salt", F.when(F.xxhash64(*keys).isin(hashes), spread).otherwise(0))
+    # Equal keys of different types hash differently, so the base types are used.
+    same_type = [F.col(k).try_cast(base.schema[k].dataType) for k in keys]
+    copies = F.when(F.xxhash64(*same_type).isin(hashes), F.sequence(F.lit(0), F.lit(salts - 1)))
+    repeated = right.withColumn("_salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
     return left.join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -202,3 +202,16 @@ def test_other_splits(spark):
     assert small["a"].count() + small["b"].count() == 10
     with pytest.raises(ValueError):
         split_frames(df, ["id"], {"a": 0.0})
+
+
+def test_hot_keys_of_several_columns(spark):
+    df = spark.createDataFrame([(1, "a")] * 40 + [(1, None)] * 30 + [(i, "b") for i in range(30)], "k int, s string")
+    assert {tuple(r) for r in hot_keys(df, ["k", "s"], 5).collect()} == {(1, "a"), (1, None)}
+    alone = spark.createDataFrame([(3, "x")] * 4, "k int, s string")
+    assert [tuple(r) for r in hot_keys(alone, ["s"], 1000).collect()] == [("x",)]
+
+
+def test_salted_join_of_different_key_types(spark, rows):
+    left = spark.createDataFrame([(1, i) for i in range(60)] + [(2, 99)], "k int, v int")
+    right = spark.createDataFrame([(1, "a"), (2, "b"), (2**40, "c")], "k bigint, name string")
+    assert rows(lookup_join(left, right, ["k"], salts=4, fraction=2)) == rows(left.join(right, ["k"], "left"))
