@@ -22,6 +22,10 @@ def featurizer(build_model: Callable[[], Any], featurize: Callable[[Any, pd.Seri
     ``build_model`` runs once per task, ``featurize(model, batch)`` once per
     Arrow batch; it returns one row of numbers, of any shape, for each value.
     Nulls are not passed on; their feature is null.
+
+    The function is declared non-deterministic, because Spark otherwise runs it
+    again for every filter or explode on its result. Filters placed after it
+    are not moved before it, so filter first.
     """
 
     @F.pandas_udf("array<float>")
@@ -36,11 +40,14 @@ def featurizer(build_model: Callable[[], Any], featurize: Callable[[Any, pd.Seri
                     out[place] = row
             yield pd.Series(out)
 
-    return features
+    return features.asNondeterministic()
 
 
 def predictor(build_model: Callable[[], Any], predict: Callable[[Any, np.ndarray], np.ndarray]):
-    """A column function ``double`` that applies a foreign model to an array column."""
+    """A column function ``double`` that applies a foreign model to an array column.
+
+    Built and evaluated like :func:`featurizer`.
+    """
 
     @F.pandas_udf("double")
     def predictions(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -51,7 +58,7 @@ def predictor(build_model: Callable[[], Any], predict: Callable[[Any, np.ndarray
             else:
                 yield pd.Series([], dtype=np.float64)
 
-    return predictions
+    return predictions.asNondeterministic()
 
 
 def share_weights(spark: SparkSession, weights: Any) -> Broadcast:

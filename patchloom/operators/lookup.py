@@ -107,6 +107,7 @@ def point_in_time_lookup(
     tie_breaker: str | None = None,
     blocks: int = 64,
     hot_fraction: int = HOT_FRACTION,
+    salts: int = 1,
 ) -> DataFrame:
     """Base rows with each key's latest features at or before the base time.
 
@@ -118,7 +119,8 @@ def point_in_time_lookup(
     forward, so no pairs of rows are formed. A key with more than
     ``1 / hot_fraction`` of these rows is cut into ``blocks`` equally filled time
     ranges that run as separate groups, and the last feature row of each range
-    is handed to the following ones.
+    is handed to the following ones. ``salts`` spreads base rows that share both
+    key and time when the answers are joined back.
     """
     keys = list(keys)
     null_tie = F.lit(0)
@@ -158,10 +160,11 @@ def point_in_time_lookup(
         .select(*keys, "_block", "_ts", "_value")
     )
     if hashes:
-        answers = answers.join(_carried(stream, keys, blocks), [*keys, "_block"], "left")
+        hot_facts = facts.filter(hot).withColumn("_block", block)
+        answers = answers.join(_carried(hot_facts, keys, blocks), [*keys, "_block"], "left")
         answers = answers.withColumn("_value", F.coalesce("_value", "_carry"))
     answers = answers.select(*keys, F.col("_ts").alias(base_ts), *[F.col("_value")[c].alias(c) for c in columns])
-    return lookup_join(base, answers, [*keys, base_ts])
+    return lookup_join(base, answers, [*keys, base_ts], "left", salts, hot_fraction)
 
 
 def _time_block(times: DataFrame, blocks: int) -> Column:
@@ -173,23 +176,16 @@ def _time_block(times: DataFrame, blocks: int) -> Column:
     return reduce(lambda a, b: a + b, [(F.col("_ts") >= b).cast("int") for b in bounds], F.lit(0))
 
 
-def _carried(stream: DataFrame, keys: list[str], blocks: int) -> DataFrame:
+def _carried(facts: DataFrame, keys: list[str], blocks: int) -> DataFrame:
     """Last feature row of earlier blocks, for every block after the first.
 
-    Only hot keys reach past block 0, so there are at most hot keys x blocks rows.
+    ``facts`` holds hot keys only, so there are at most hot keys x blocks rows.
     """
-    last = (
-        stream.filter("_side = 0")
-        .groupBy(*keys, "_block")
-        .agg(F.max_by("_value", F.struct("_ts", "_tie")).alias("_carry"))
-    )
-    # Keys that stay in block 0 have nothing to hand on.
-    hot_only = stream.filter("_block > 0").select(*keys).distinct()
+    last = facts.groupBy(*keys, "_block").agg(F.max_by("_value", F.struct("_ts", "_tie")).alias("_carry"))
     in_order = Window.partitionBy(*keys).orderBy("_block")
-    following = F.coalesce(F.lead("_block").over(in_order), F.lit(blocks - 1))
+    until = F.coalesce(F.lead("_block").over(in_order), F.lit(blocks - 1))
     return (
-        last.join(hot_only, keys, "left_semi")
-        .withColumn("_until", following)
+        last.withColumn("_until", until)
         .filter("_until > _block")
         .select(*keys, F.explode(F.sequence(F.col("_block") + 1, F.col("_until"))).alias("_block"), "_carry")
     )

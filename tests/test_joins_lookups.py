@@ -121,8 +121,8 @@ def test_self_lookup_needs_no_join(spark, features):
     assert "Join" not in joined._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("hot_fraction, blocks", [(10**6, 8), (2, 4), (3, 64)])
-def test_point_in_time_against_brute_force(spark, rows, hot_fraction, blocks):
+@pytest.mark.parametrize("hot_fraction, blocks, salts", [(10**6, 8, 1), (2, 4, 1), (3, 64, 1), (30, 16, 4)])
+def test_point_in_time_against_brute_force(spark, rows, hot_fraction, blocks, salts):
     rng = random.Random(hot_fraction)
     # Half of the rows have key 0; many rows share a time or are full copies.
     def key():
@@ -139,7 +139,7 @@ def test_point_in_time_against_brute_force(spark, rows, hot_fraction, blocks):
     stamp = "timestamp_seconds(%s)"
     left = spark.createDataFrame(base, "k int, t int, n int").withColumn("ts", F.expr(stamp % "t"))
     right = spark.createDataFrame(facts, "k int, ft int, v int").withColumn("fts", F.expr(stamp % "ft"))
-    found = point_in_time_lookup(left, right, ["k"], "ts", "fts", ["v"], blocks=blocks, hot_fraction=hot_fraction)
+    found = point_in_time_lookup(left, right, ["k"], "ts", "fts", ["v"], None, blocks, hot_fraction, salts)
     expected = sorted([(k, t, n, best(k, t)) for k, t, n in base], key=repr)
     assert rows(found, "k", "t", "n", "v") == expected
 
