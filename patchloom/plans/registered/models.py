@@ -8,7 +8,7 @@ from patchloom.operators.gate import Threshold
 from patchloom.operators.joins import annotate
 from patchloom.operators.lookup import FeatureLookup
 from patchloom.operators.metrics import CUSTOM_METRICS, custom_metrics, loss_and_accuracy
-from patchloom.operators.models import classifier, coefficients, predict_table, regression, score_batch
+from patchloom.operators.models import ModelPackage, classifier, coefficients, predict_table, regression, score_batch
 from patchloom.plans.jobs import embed_and_train, train, train_and_validate, validate, write_features
 from patchloom.plans.registered import query, table
 from patchloom.plans.registered.features import text_weights
@@ -44,20 +44,70 @@ def linear_fit(spark, folder):
     return found.withColumn("coefficient", F.round("coefficient", 3))
 
 
-@query()
-def linear_fit_scores(spark, folder):
-    """Regression on looked-up features, scored on held-out orders with the custom metrics."""
-    orders = table(spark, folder, "orders", "o_orderkey", "o_totalprice").withColumnRenamed("o_totalprice", "label")
+ORDER_FIT_SQL = """
+    t AS (SELECT l_orderkey AS o_orderkey, sum(l_quantity) AS x1, sum(l_extendedprice) / 1000 AS x2
+          FROM lineitem GROUP BY l_orderkey),
+    j AS (SELECT o_orderkey, o_totalprice / 1000 AS y, x1, x2,
+                 ('0x' || substr(md5('12345|' || o_orderkey), 1, 8))::BIGINT < 3006477107 AS used
+          FROM orders JOIN t USING (o_orderkey)),
+    s AS (SELECT var_pop(x1) + 1e-4 AS a, var_pop(x2) + 1e-4 AS d, covar_pop(x1, x2) AS b, covar_pop(x1, y) AS e,
+                 covar_pop(x2, y) AS f, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my FROM j WHERE used),
+    w AS (SELECT (e * d - f * b) / (a * d - b * b) AS w1, (f * a - e * b) / (a * d - b * b) AS w2, m1, m2, my FROM s),
+    p AS (SELECT o_orderkey, y, my + w1 * (x1 - m1) + w2 * (x2 - m2) AS p FROM j, w WHERE NOT used)
+"""
+
+
+def _order_regression(spark, folder):
+    """Order price from looked-up line totals: the trained model and its sources."""
+    orders = table(spark, folder, "orders", "o_orderkey", "o_totalprice")
+    base = orders.select("o_orderkey", (F.col("o_totalprice") / 1000).alias("label"))
     lines = table(spark, folder, "lineitem", "l_orderkey", "l_quantity", "l_extendedprice")
     totals = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.array(F.sum("l_quantity"), F.sum("l_extendedprice") / 1000).alias("features")
     )
     spec = FeatureLookup("line_totals", ("features",), ("o_orderkey",), missing="drop")
-    sources = {"line_totals": totals}
-    trained = train(orders, ["o_orderkey"], [spec], regression(), resolve=sources.__getitem__)
-    predicted = score_batch(trained.package, trained.held_out, sources.__getitem__)
+    resolve = {"line_totals": totals}.__getitem__
+    return train(base, ["o_orderkey"], [spec], regression(), resolve=resolve), resolve
+
+
+@query(
+    f"""
+    WITH {ORDER_FIT_SQL} SELECT round(sum((1 / p) * (p - y) * (p - y)) / sum(1 / p), 2) AS weighted_mean_squared_error,
+         round(sum((p - y + 1) * (p - y + 1)), 2) AS squared_diff_plus_one FROM p
+    """
+)
+def linear_fit_scores(spark, folder):
+    """Regression on looked-up features, scored on held-out orders with the custom metrics."""
+    trained, resolve = _order_regression(spark, folder)
+    predicted = score_batch(trained.package, trained.held_out, resolve)
     found = custom_metrics(predicted, "label", "prediction", CUSTOM_METRICS)
-    return found.select(*[F.round(c, 3).alias(c) for c in found.columns])
+    return found.select(*[F.round(c, 2).alias(c) for c in found.columns])
+
+
+@query(
+    f"""
+    WITH {ORDER_FIT_SQL} SELECT o_orderkey, y AS label, round(p, 6) AS prediction, '12' AS model_version,
+         TIMESTAMP '2024-03-01 06:30:00' AS inference_timestamp FROM p
+    """
+)
+def scored_table(spark, folder):
+    """Train, save with the lookup, load, score a catalog table by key into another one."""
+    trained, resolve = _order_regression(spark, folder)
+    path = scratch_path(spark, "package")
+    trained.package.save(path)
+    package = ModelPackage.load(spark, path)
+    ensure_schema(spark, "patchloom_models")
+    keys, output = scratch_path(spark, "keys"), scratch_path(spark, "scores")
+    overwrite_table(trained.held_out, _name(keys), location=keys)
+    scores = predict_table(
+        spark, package, _name(keys), _name(output), "12", "2024-03-01 06:30:00", resolve, output
+    )
+    return scores.withColumns(
+        {
+            "prediction": F.round("prediction", 6),
+            "inference_timestamp": F.col("inference_timestamp").cast("timestamp_ntz"),
+        }
+    )
 
 
 @query()
