@@ -103,15 +103,19 @@ def one_hot(column: Column, categories: Sequence, unseen: str = "error") -> Colu
     width = len(categories)
     known = [value for value in categories if value is not None]
     found = F.array_position(F.array(*[F.lit(value) for value in known]), column) if known else F.lit(0)
-    place = F.coalesce(found, F.lit(width if width > len(known) else 0)).cast("int")
-    ones = F.when(place > 0, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>"))
-    before = F.array_repeat(F.lit(0.0), F.when(place > 0, place - 1).otherwise(width))
-    after = F.array_repeat(F.lit(0.0), F.when(place > 0, F.lit(width) - place).otherwise(0))
-    flags = F.concat(before, ones, after)
+    place = [F.nullif(found.cast("int"), F.lit(0))]
+    if width > len(known):
+        place.append(F.when(column.isNull(), F.lit(width)))
     if unseen == "ignore":
-        return flags
-    message = F.concat(F.lit("unseen category: "), F.coalesce(column.cast("string"), F.lit("null")))
-    return F.when(place > 0, flags).otherwise(F.raise_error(message).cast("array<double>"))
+        place.append(F.lit(0))
+    else:
+        message = F.concat(F.lit("unseen category: "), F.coalesce(column.cast("string"), F.lit("null")))
+        place.append(F.raise_error(message).cast("int"))
+    # A window on a constant 0 .. 0 1 0 .. 0 that has the 1 at the wanted place,
+    # or, for place 0, only zeros.
+    zeros = F.array_repeat(F.lit(0.0), width - 1)
+    strip = F.concat(zeros, F.array(F.lit(1.0)), zeros, F.array(F.lit(0.0)))
+    return F.slice(strip, F.lit(width + 1) - F.coalesce(*place), F.lit(width))
 
 
 def standard_scale(column: Column, moments: Moments) -> Column:

@@ -147,9 +147,16 @@ def _merge_by_shuffle(target: DataFrame, updates: DataFrame, keys: Sequence[str]
     )
 
 
-def publish(spark: SparkSession, name: str, merged_path: str) -> None:
-    """Replace the partitions present in ``merged_path``; safe to repeat."""
-    merged = spark.read.parquet(merged_path).select(*spark.table(name).columns)
+def publish(spark: SparkSession, name: str, merged_path: str, gather: bool = False) -> None:
+    """Replace the buckets present in ``merged_path``; safe to repeat.
+
+    ``gather`` brings the rows of a bucket together first, for files that are
+    not laid out by bucket yet.
+    """
+    target = spark.table(name)
+    merged = spark.read.schema(target.schema).parquet(merged_path).select(*target.columns)
+    if gather:
+        merged = merged.repartition(BUCKET)
     before = spark.conf.get(OVERWRITE_MODE)
     # insertInto takes this mode from the session only; in static mode it would
     # remove the untouched buckets as well.
@@ -161,6 +168,12 @@ def publish(spark: SparkSession, name: str, merged_path: str) -> None:
     spark.catalog.refreshTable(name)
 
 
+def _filled_buckets(spark: SparkSession, name: str) -> set[int]:
+    """Buckets that have a partition, from the catalog alone."""
+    rows = spark.sql(f"SHOW PARTITIONS {quoted(name)}").collect()
+    return {int(row["partition"].rsplit("=", 1)[1]) for row in rows}
+
+
 def check_updates(updates: DataFrame, keys: Sequence[str]) -> tuple[int, int, list[int]]:
     """Row count, size of the keys and touched buckets; null or repeated keys raise.
 
@@ -185,7 +198,7 @@ def check_updates(updates: DataFrame, keys: Sequence[str]) -> tuple[int, int, li
 
 
 def upsert(df: DataFrame, name: str) -> str | None:
-    """Insert new keys and replace existing ones; returns the merged path.
+    """Insert new keys and replace existing ones; returns the path that was published.
 
     The batch is written out once, so an expensive feature function behind it
     runs a single time. Columns must be those of the table.
@@ -197,11 +210,17 @@ def upsert(df: DataFrame, name: str) -> str | None:
     if set(wanted) != set(df.columns):
         raise ValueError(f"columns {sorted(set(wanted) ^ set(df.columns))} differ from those of {name}")
     keys = list(table.all_keys)
-    batch = materialise(df.select(*wanted, table.bucket().alias(BUCKET)), scratch_path(spark, "updates"))
+    batch_path = scratch_path(spark, "updates")
+    batch = materialise(df.select(*wanted, table.bucket().alias(BUCKET)), batch_path)
     n_rows, n_bytes, touched = check_updates(batch, keys)
     if not n_rows:
         return None
 
+    if not _filled_buckets(spark, name).intersection(touched):
+        # Nothing to merge with, as in a first load.
+        publish(spark, name, batch_path, gather=True)
+        return batch_path
+
     # Pruned to the touched partitions at planning time.
     old = target.filter(F.col(BUCKET).isin(touched))
     columns = [*wanted, BUCKET]
