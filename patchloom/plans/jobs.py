@@ -16,6 +16,7 @@ from patchloom.operators.lookup import FeatureLookup
 from patchloom.operators.metrics import custom_metrics, metrics_long, weighted_metrics
 from patchloom.operators.models import ModelPackage, apply_model, classifier, score_batch, training_set
 from patchloom.operators.splits import SPLIT_SEED, TRAIN_VALIDATION, split_frames
+from patchloom.session import discard, scratch_path
 from patchloom.sinks.feature_table import FeatureTable, create_feature_table, read_feature_table, upsert
 from patchloom.sources.batches import materialise
 from patchloom.sources.images import attach_content, scan_images
@@ -79,13 +80,16 @@ def train(
     """Split the base rows by key, look up features for the training part, fit.
 
     The training rows are written out once, because the fit reads them several
-    times; the first split name is the training part.
+    times, and deleted after it, so read no training summary from the model. The
+    first split name is the training part.
     """
     lookups = tuple(lookups)
     splits = split_frames(base, keys, weights, seed)
     names = list(splits)
     rows = training_set(splits[names[0]], lookups, label, exclude, resolve, base_table)
-    model = (pipeline or classifier(label=label)).fit(materialise(rows))
+    stored = scratch_path(base.sparkSession, "training")
+    model = (pipeline or classifier(label=label)).fit(materialise(rows, stored))
+    discard(base.sparkSession, stored)
     return Trained(ModelPackage(model, lookups, tuple(exclude)), splits[names[1]])
 
 

@@ -53,3 +53,12 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the scratch folder; nothing is created there yet."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path, with the file system Spark itself uses for it."""
+    root = scratch_root(spark)
+    if not path.startswith(f"{root}/"):
+        raise ValueError(f"{path} is not below the scratch folder {root}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.sql.window import Window
 
-from patchloom.session import scratch_path
+from patchloom.session import discard, scratch_path
 from patchloom.sinks.tables import ensure_schema_of, quoted
 from patchloom.sources.batches import materialise
 
@@ -197,8 +197,12 @@ def check_updates(updates: DataFrame, keys: Sequence[str]) -> tuple[int, int, li
     return row["n_rows"], row["n_bytes"], sorted(row["touched"])
 
 
-def upsert(df: DataFrame, name: str) -> str | None:
-    """Insert new keys and replace existing ones; returns the path that was published.
+def upsert(df: DataFrame, name: str, keep_staged: bool = False) -> str | None:
+    """Insert new keys and replace existing ones.
+
+    Staged data are deleted once the table is written, and stay for
+    :func:`publish` when that fails. With ``keep_staged`` they always stay; the
+    result is the path that was published. One writer at a time per table.
 
     The batch is written out once, so an expensive feature function behind it
     runs a single time. Columns must be those of the table.
@@ -214,12 +218,13 @@ def upsert(df: DataFrame, name: str) -> str | None:
     batch = materialise(df.select(*wanted, table.bucket().alias(BUCKET)), batch_path)
     n_rows, n_bytes, touched = check_updates(batch, keys)
     if not n_rows:
+        discard(spark, batch_path)
         return None
 
     if not _filled_buckets(spark, name).intersection(touched):
         # Nothing to merge with, as in a first load.
         publish(spark, name, batch_path, gather=True)
-        return batch_path
+        return _staged(spark, keep_staged, batch_path)
 
     # Pruned to the touched partitions at planning time.
     old = target.filter(F.col(BUCKET).isin(touched))
@@ -235,4 +240,12 @@ def upsert(df: DataFrame, name: str) -> str | None:
     merged_path = scratch_path(spark, "merged")
     merged.write.partitionBy(BUCKET).parquet(merged_path)
     publish(spark, name, merged_path)
-    return merged_path
+    discard(spark, batch_path)
+    return _staged(spark, keep_staged, merged_path)
+
+
+def _staged(spark: SparkSession, keep: bool, path: str) -> str | None:
+    if keep:
+        return path
+    discard(spark, path)
+    return None

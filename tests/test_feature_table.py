@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from patchloom.sinks.feature_table import (
     read_feature_table,
     upsert,
 )
-from patchloom.session import scratch_path, scratch_root
+from patchloom.session import discard, scratch_path, scratch_root
 from patchloom.sinks.tables import ensure_schema, overwrite_table
 
 
@@ -46,7 +48,7 @@ def test_upsert_leaves_other_buckets_alone(spark, rows, table, monkeypatch, limi
     batch = _frame(spark, [(5, "new", [2.0]), (500, "new", None)])
     # Only the buckets of the batch are rewritten.
     files = set(spark.table(table.name).inputFiles())
-    merged = upsert(batch, table.name)
+    merged = upsert(batch, table.name, keep_staged=True)
     kept = files & set(spark.table(table.name).inputFiles())
     assert kept
     expected = sorted([(i, "new" if i == 5 else "old") for i in range(100)] + [(500, "new")], key=repr)
@@ -104,6 +106,33 @@ def test_describe_other_table(spark):
         describe(spark, "ft_tests.plain")
 
 
+def test_staged_data_are_removed(spark, table):
+    root = scratch_root(spark)
+    before = set(os.listdir(root))
+    write_features(_frame(spark, [(1, "a", None)]), table)
+    upsert(_frame(spark, [(1, "b", None), (2, "c", None)]), table.name)
+    assert set(os.listdir(root)) == before
+    with pytest.raises(ValueError, match="not below"):
+        discard(spark, "/elsewhere/x")
+
+
+def test_failed_publish_can_be_repeated(spark, rows, table, monkeypatch):
+    write_features(_frame(spark, [(1, "a", None)]), table)
+    lost = []
+
+    def fail(session, name, path, gather=False):
+        lost.append(path)
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ft, "publish", fail)
+        with pytest.raises(RuntimeError):
+            upsert(_frame(spark, [(1, "b", None)]), table.name)
+    assert rows(read_feature_table(spark, table.name), "k", "v") == [(1, "a")]
+    publish(spark, table.name, lost[0])
+    assert rows(read_feature_table(spark, table.name), "k", "v") == [(1, "b")]
+
+
 def test_scratch_follows_the_session(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")

@@ -8,6 +8,7 @@ from patchloom.operators.cleaning import clean_ranges, compute_features, limit_r
 from patchloom.operators.joins import annotate, unmatched_report
 from patchloom.operators.lookup import (
     FeatureLookup,
+    _time_block,
     lookups_from_json,
     lookups_to_json,
     merge_lookups,
@@ -144,6 +145,14 @@ def test_point_in_time_against_brute_force(spark, rows, hot_fraction, blocks, sa
     assert rows(found, "k", "t", "n", "v") == expected
 
 
+def test_time_blocks_of_a_hot_key_are_even(spark):
+    """Nine tenths of the rows lie in the last hundredth of the time span."""
+    seconds = F.when(F.col("id") % 10 == 0, F.col("id") * 99).otherwise(F.lit(990_000) + F.col("id"))
+    times = spark.range(10_000).select(F.timestamp_seconds(seconds).alias("_ts"))
+    sizes = times.groupBy(_time_block(times, 20).alias("block")).count().collect()
+    assert len(sizes) == 20 and max(r["count"] for r in sizes) < 10_000 / 20 * 1.2
+
+
 def test_point_in_time_tie_breaker(spark, rows):
     left = spark.createDataFrame([(1, 5)], "k int, ts int")
     right = spark.createDataFrame([(1, 5, 1, "old"), (1, 5, 2, "new"), (1, 6, 3, "later")], "k int, fts int, seq int, v string")
