@@ -26,9 +26,13 @@ def ceil_minutes_epoch(ts: str | Column, minutes: int = 15) -> Column:
     return hour_start + steps * step
 
 
-def ceil_minutes(ts: str | Column, minutes: int = 15) -> Column:
-    """``ceil_minutes_epoch`` as a timestamp."""
-    return F.timestamp_seconds(ceil_minutes_epoch(ts, minutes))
+def ceil_minutes(ts: str | Column, minutes: int = 15, zoneless: bool = False) -> Column:
+    """``ceil_minutes_epoch`` as a timestamp, or as a ``timestamp_ntz``."""
+    epoch = ceil_minutes_epoch(ts, minutes)
+    if not zoneless:
+        return F.timestamp_seconds(epoch)
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return start + F.make_dt_interval(secs=epoch.cast("decimal(18,6)"))
 
 
 def day_of_week(ts: str | Column) -> Column:
@@ -41,8 +45,11 @@ def hour_of_day(ts: str | Column) -> Column:
 
 
 def duration_minutes(start: str | Column, end: str | Column) -> Column:
-    """Minutes from ``start`` to ``end``, fractional, negative when they are reversed."""
-    return F.timestamp_diff("MICROSECOND", _column(start), _column(end)) / F.lit(60.0 * _MICROS)
+    """Minutes by the wall clock from ``start`` to ``end``, fractional, negative when reversed."""
+    # Subtraction leaves zone-less timestamps alone; timestamp_diff would read them
+    # in the session zone, where some hours do not exist.
+    seconds = (_column(end) - _column(start)).cast("interval second").cast("decimal(18,6)")
+    return (seconds * _MICROS).cast("bigint") / F.lit(60.0 * _MICROS)
 
 
 def timestamp_of(text: str) -> Column:

@@ -35,7 +35,7 @@ def _ceil(spark, folder, minutes):
     return table(spark, folder, "events", "event_id", "ts").select(
         "event_id",
         ceil_minutes_epoch("ts", minutes).alias("epoch"),
-        ceil_minutes("ts", minutes).cast("timestamp_ntz").alias("rounded"),
+        ceil_minutes("ts", minutes, zoneless=True).alias("rounded"),
     )
 
 
@@ -118,8 +118,8 @@ def duration_in_minutes(spark, folder):
 def scoring_input(spark, folder):
     rounded = trips(spark, folder).withColumns(
         {
-            "rounded_pickup": ceil_minutes("pickup", 15).cast("timestamp_ntz"),
-            "rounded_dropoff": ceil_minutes("dropoff", 30).cast("timestamp_ntz"),
+            "rounded_pickup": ceil_minutes("pickup", 15, zoneless=True),
+            "rounded_dropoff": ceil_minutes("dropoff", 30, zoneless=True),
         }
     )
     return rounded.drop("pickup", "dropoff", "l_extendedprice")

@@ -76,8 +76,9 @@ def test_ceil_minutes(spark, kind, minutes):
     df = spark.createDataFrame([(str(m),) for m in moments] + [(None,)], "t string").withColumn("t", F.col("t").cast(kind))
     found = [r[0] for r in df.select(ceil_minutes_epoch("t", minutes)).collect()]
     assert found == [_expected_ceiling(m, minutes) for m in moments] + [None]
-    stamp = df.select(ceil_minutes("t", minutes).alias("r")).first()["r"]
-    assert stamp == dt.datetime.fromtimestamp(found[0], dt.timezone.utc).replace(tzinfo=None)
+    stamps = df.select(ceil_minutes("t", minutes), ceil_minutes("t", minutes, zoneless=True)).collect()
+    expected = [None if e is None else dt.datetime.fromtimestamp(e, dt.timezone.utc).replace(tzinfo=None) for e in found]
+    assert [r[0] for r in stamps] == expected == [r[1] for r in stamps]
 
 
 def test_ceil_minutes_reads_the_wall_clock(spark):
@@ -104,3 +105,15 @@ def test_calendar_and_duration(spark):
     assert tuple(row)[:3] == (0, 6, 13)
     assert row[3] == pytest.approx(minutes, abs=1e-9) and row[4] == pytest.approx(-minutes, abs=1e-9)
     assert row[5] is None and row[6] is None and row[7] == dt.datetime(2024, 3, 1, 6, 30)
+
+
+def test_duration_across_a_clock_change(spark):
+    """02:30 does not exist on that day in New York; zone-less times do not mind."""
+    df = spark.sql("select timestamp_ntz'2024-03-10 02:30:00' as a, timestamp_ntz'2024-03-10 03:30:00' as b")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        minutes = df.select(duration_minutes("a", "b")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert minutes == 60.0
