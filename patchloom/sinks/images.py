@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
-from patchloom.sources.images import _open
+from patchloom.sources.files import open_location
 
 
 def raw_bitmap(pixels: bytes, height: int, width: int) -> bytes:
@@ -37,7 +37,7 @@ def save_images(df: DataFrame, path: str, pixels: str, height: int, width: int,
     schema = StructType([df.schema[c] for c in keep] + [StructField(path, StringType())])
 
     def write(target: str, data: bytes) -> None:
-        filesystem, location = _open(target)
+        filesystem, location = open_location(target)
         folder, name = location.rsplit("/", 1)
         filesystem.create_dir(folder, recursive=True)
         partial = f"{folder}/.{name}.{uuid.uuid4().hex}"

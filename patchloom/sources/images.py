@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from patchloom.functions.keys import PATCH_KEY_PATTERN, parse_key
+from patchloom.sources.files import open_location
 
 
 def _placed(root: str, pattern: str) -> tuple[str, str | None]:
@@ -66,22 +67,12 @@ def scan_files(
     return files.withColumn(key, parse_key("path", key_pattern)) if key else files
 
 
-def _open(path: str):
-    from pyarrow import fs
-
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
-    if "://" not in path:
-        return fs.LocalFileSystem(), path
-    return fs.FileSystem.from_uri(path)
-
-
 def attach_content(df: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
     """Add the bytes of the file each row names, read in the row's own task."""
     schema = StructType(df.schema.fields + [StructField(content, BinaryType())])
 
     def read(path_value: str) -> bytes:
-        filesystem, location = _open(path_value)
+        filesystem, location = open_location(path_value)
         with filesystem.open_input_stream(location) as stream:
             return stream.read()
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from patchloom.sources.files import open_location
+
 
 def scan_path(spark: SparkSession, path: str, columns: Sequence[str] | None = None, fmt: str = "parquet") -> DataFrame:
     """A table by path. The format is named, never taken from the session default."""
@@ -39,21 +42,55 @@ def read_indexed_csv(
     if fmt != "csv":
         raise ValueError(f"format {fmt!r} is not supported, only 'csv'")
     files = [paths] if isinstance(paths, str) else list(paths)
+    # With enforceSchema off, a file whose header differs from the schema is an error.
     reader = spark.read.option("header", True).option("enforceSchema", False)
     if schema is not None:
         frame = reader.schema(schema).csv(files)
         return frame.drop(frame.columns[0])
-    by_header: dict[tuple, list[str]] = {}
-    for file in files:
-        header = tuple(spark.read.option("header", True).csv(file).columns)
-        by_header.setdefault(header, []).append(file)
     frames = []
-    for header, group in by_header.items():
+    for group in _same_header(spark, files):
         frame = reader.option("inferSchema", True).csv(group)
         frames.append(frame.drop(frame.columns[0]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _same_header(spark: SparkSession, files: list[str]) -> list[list[str]]:
+    """The given files or folders grouped by their first line, which tasks read in parallel."""
+    if len(files) == 1:
+        return [files]
+
+    def first_lines(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.assign(header=[_first_line(path) for path in frame["path"]])
+
+    named = spark.createDataFrame([(f,) for f in files], "path string").repartition(min(len(files), 256))
+    found = named.mapInPandas(first_lines, "path string, header string").collect()
+    groups: dict[str, list[str]] = {}
+    place = {path: i for i, path in enumerate(files)}
+    for row in sorted(found, key=lambda row: place[row["path"]]):
+        groups.setdefault(row["header"], []).append(row["path"])
+    return list(groups.values())
+
+
+def _first_line(path: str) -> str:
+    """Header of a file, or of the first data file in a folder."""
+    from pyarrow import fs
+
+    filesystem, location = open_location(path)
+    if filesystem.get_file_info(location).type == fs.FileType.Directory:
+        inside = filesystem.get_file_info(fs.FileSelector(location))
+        data = [f.path for f in inside if f.is_file and not f.base_name.startswith(("_", "."))]
+        location = min(data)
+    with filesystem.open_input_stream(location) as stream:
+        line = b""
+        while b"\n" not in line:
+            more = stream.read(65536)
+            if not more:
+                break
+            line += more
+    return line.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
+
+
 def explode_array(df: DataFrame, keys: Sequence[str], array: str, pos: str = "pos", value: str = "value") -> DataFrame:
     """One row per array element with its place."""
     return df.select(*keys, F.posexplode(array).alias(pos, value))

@@ -202,6 +202,11 @@ def test_csv(spark, tmp_path, rows):
     files = [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]
     expected = [(1.5, "x"), (2.5, None), (3.0, "z")]
     assert rows(read_indexed_csv(spark, files), "fare", "note") == expected
+    (tmp_path / "c.csv").write_text(",fare,note\n9,4.5,w\n")
+    more = read_indexed_csv(spark, [*files, str(tmp_path / "c.csv")])
+    assert more.columns == ["fare", "note"] and rows(more) == sorted([*expected, (4.5, "w")], key=repr)
+    with pytest.raises(Exception, match="header"):
+        read_indexed_csv(spark, files, schema="i int, fare double, note string").collect()
     typed = read_indexed_csv(spark, files[0], schema="i int, fare double, note string")
     assert typed.columns == ["fare", "note"] and rows(typed) == expected[:2]
     with pytest.raises(ValueError, match="not supported"):
