@@ -102,3 +102,19 @@ def op3_mixing(spark, folder):
 
     docs = read(spark, folder, "documents", "doc_id", "text", "source")
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op2_secrets(spark, folder):
+    from patchloom.llm import secrets
+
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    ratios = secrets.fit(secrets.labelled_samples(docs, "doc_id", "text"))
+    found = secrets.scan(docs, ratios)
+    base = F.filter("spans", lambda s: s["kind"] < secrets.KINDS.index("markov"))
+    return found.select(
+        "doc_id",
+        *[secrets.count_of(F.col("spans"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
