@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patchloom.llm.common import BITMAP_BITS, bitmap_of, flag_by_bitmap, text_of
+from patchloom.llm.common import BITMAP_BITS, bitmap_of, flag_by_bitmap, store, text_of
 
 # Characters that the second step looks at.
 PREFIX_CHARS = 256
@@ -60,6 +60,8 @@ def content_groups(
         .agg(F.max("__id").alias("__keep"), F.count("*").alias("__size"))
         .filter("__size > 1")
     )
+    # Stored, so that the join deals out its own sides and can split a large group.
+    groups = store(groups, "copies")
     joined = slim.join(groups, ["__length", "__key"], "left")
     alone = F.col("__size").isNull()
     keep = F.when(alone, F.col("__id")).otherwise(F.col("__keep"))

@@ -118,3 +118,10 @@ def op2_secrets(spark, folder):
         F.sha2(secrets.listed(base), 256).alias("base_sha256"),
         secrets.listed(F.col("spans")).alias("spans"),
     )
+
+
+@query()
+def op8_minhash(spark, folder):
+    from patchloom.llm.minhash import MinMax, near_duplicates
+
+    return near_duplicates(read(spark, folder, "documents", "doc_id", "text"), MinMax(words=4))
