@@ -125,3 +125,20 @@ def op8_minhash(spark, folder):
     from patchloom.llm.minhash import MinMax, near_duplicates
 
     return near_duplicates(read(spark, folder, "documents", "doc_id", "text"), MinMax(words=4))
+
+
+@query()
+def op6_token_files(spark, folder):
+    from patchloom.llm.token_files import read_tokens, write_tokens
+    from patchloom.session import scratch_path
+
+    path = scratch_path(spark, "token-store")
+    write_tokens(read(spark, folder, "documents", "doc_id", "text"), path)
+    return read_tokens(spark, path, summary=True).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op10_packing(spark, folder):
+    from patchloom.llm.packing import pack_documents
+
+    return pack_documents(read(spark, folder, "documents", "doc_id", "text"))
