@@ -142,3 +142,28 @@ def op10_packing(spark, folder):
     from patchloom.llm.packing import pack_documents
 
     return pack_documents(read(spark, folder, "documents", "doc_id", "text"))
+
+
+@query()
+def op7_quality(spark, folder):
+    from patchloom.llm import quality
+    from patchloom.llm.language import fold_of, learnable
+
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    labels = learnable(read(spark, folder, "labels", "doc_id", "quality"), folds=5, held=0)
+    scored = quality.score(docs, quality.train(docs, labels))
+    return scored.select(
+        "doc_id",
+        (fold_of("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query()
+def op9_language(spark, folder):
+    from patchloom.llm.language import fold_of, identify, learnable, train
+
+    docs = read(spark, folder, "documents", "doc_id", "text", "lang")
+    found = identify(docs, train(learnable(docs)))
+    return found.select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "ambiguous")

@@ -39,6 +39,32 @@ def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up), np.cumprod(down)
 
 
+def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a string array and the offset of each text in them; null is empty."""
+    texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
+    texts = pc.fill_null(texts, "")
+    wide = pa.types.is_large_string(texts.type)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)
+    offsets = offsets[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    body = texts.buffers()[2]
+    return np.frombuffer(body, np.uint8) if body is not None else np.zeros(0, np.uint8), offsets
+
+
+def _groups(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    at, n = 0, len(offsets) - 1
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, "right")) - 1)
+        yield at, to
+        at = to
+
+
+def grouped_bytes(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first text, one past the last, their bytes, offsets in them); groups of at most CHUNK_BYTES, a longer text alone."""
+    data, offsets = _bytes_of(texts)
+    for at, to in _groups(offsets):
+        yield at, to, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
+
+
 class WordHasher:
     """64-bit hashes of words: A-Z as a-z, words being runs without space and tab to carriage return."""
 
@@ -50,7 +76,7 @@ class WordHasher:
         if n >= len(self.up):
             self.up, self.down = _powers(max(n + 1, 2 * len(self.up)), self.base)
 
-    def _chunk(self, data: np.ndarray, cuts: np.ndarray, positions: bool) -> tuple[np.ndarray, ...]:
+    def _chunk(self, data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, ...]:
         """Hashes and start bytes of the words of one stretch; ``cuts`` are bytes at which texts begin."""
         solid = ~self.spaces[data]
         first = np.empty_like(solid)
@@ -74,19 +100,9 @@ class WordHasher:
         Texts come in groups of at most CHUNK_BYTES, a longer text alone; null is empty.
         Bytes count from the start of the group's first text.
         """
-        texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
-        texts = pc.fill_null(texts, "")
-        wide = pa.types.is_large_string(texts.type)
-        offsets = np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)
-        offsets = offsets[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
-        body = texts.buffers()[2]
-        data = np.frombuffer(body, np.uint8) if body is not None else np.zeros(0, np.uint8)
-        at = 0
-        while at < len(texts):
-            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, "right")) - 1)
-            own = offsets[at : to + 1] - offsets[at]
-            yield at, to, *self._group(data[offsets[at] : offsets[to]], own)
-            at = to
+        data, offsets = _bytes_of(texts)
+        for at, to in _groups(offsets):
+            yield at, to, *self._group(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
 
     def _group(self, data: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         parts, at = [], 0
@@ -101,7 +117,7 @@ class WordHasher:
                         to += 1
             begin = own[:-1]
             cuts = np.unique(begin[(begin >= at) & (begin < to)] - at)
-            h, s, e = self._chunk(data[at:to], cuts, True)
+            h, s, e = self._chunk(data[at:to], cuts)
             parts.append((h, s + at, e + at))
             at = to
         if not parts:
