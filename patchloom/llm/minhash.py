@@ -170,7 +170,7 @@ def _chunk(parts: Column) -> Column:
     return F.pmod(F.xxhash64("id"), parts).cast("int")
 
 
-def _texts(docs: DataFrame, wanted: DataFrame, id_column: str, text_column: str) -> DataFrame:
+def texts_of(docs: DataFrame, wanted: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """The texts of the rows of ``wanted`` (by ``id``). A bitmap of fixed size keeps most other texts out of the shuffle."""
     rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).cast("string").alias("text"))
     bitmap = bitmap_of(wanted.select(F.xxhash64("id").alias("key")), "key")
@@ -188,9 +188,12 @@ def _resolve(docs: DataFrame, members: DataFrame, settings: MinMax, id_column: s
     documents that both hang on the centre add nothing. So every link that
     changes a component is tested, without pairs inside a large group.
     """
-    fields = members.groupBy("field").agg(
-        F.ceil(F.sum("n") / settings.task_shingles).cast("int").alias("parts"),
-        F.max_by("id", F.struct("weight", -F.col("id"))).alias("centre"),
+    fields = store(
+        members.groupBy("field").agg(
+            F.ceil(F.sum("n") / settings.task_shingles).cast("int").alias("parts"),
+            F.max_by("id", F.struct("weight", -F.col("id"))).alias("centre"),
+        ),
+        "fields",
     )
     placed = members.join(fields, "field")
     is_centre = F.col("id") == F.col("centre")
@@ -198,7 +201,7 @@ def _resolve(docs: DataFrame, members: DataFrame, settings: MinMax, id_column: s
     placed = store(placed.withColumn("is_centre", is_centre).withColumn("part", F.explode(parts)), "placed")
 
     found = store(
-        _texts(docs, placed.select("id", "field", "part", "parts", "centre", "is_centre", "n"), id_column, text_column)
+        texts_of(docs, placed.select("id", "field", "part", "parts", "centre", "is_centre", "n"), id_column, text_column)
         .groupBy("field", "part")
         .applyInArrow(
             _within(settings), "id bigint, field bigint, part int, parts int, centre bigint, n bigint, label bigint, central boolean"
@@ -223,7 +226,7 @@ def _resolve(docs: DataFrame, members: DataFrame, settings: MinMax, id_column: s
     )
     asked = inside.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("asks", F.lit(False))
     across = (
-        _texts(docs, asking.select(*columns).unionAll(asked.select(*columns)), id_column, text_column)
+        texts_of(docs, asking.select(*columns).unionAll(asked.select(*columns)), id_column, text_column)
         .groupBy("field", "part", "block")
         .applyInArrow(_across(settings), "a bigint, b bigint")
     )

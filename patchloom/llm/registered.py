@@ -167,3 +167,10 @@ def op9_language(spark, folder):
     docs = read(spark, folder, "documents", "doc_id", "text", "lang")
     found = identify(docs, train(learnable(docs)))
     return found.select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query()
+def op1_substring_dedup(spark, folder):
+    from patchloom.llm.substring_dedup import repeated_passages
+
+    return repeated_passages(read(spark, folder, "documents", "doc_id", "text"))
