@@ -174,3 +174,19 @@ def op1_substring_dedup(spark, folder):
     from patchloom.llm.substring_dedup import repeated_passages
 
     return repeated_passages(read(spark, folder, "documents", "doc_id", "text"))
+
+
+@query()
+def op5_neighbours(spark, folder):
+    from patchloom.llm.neighbours import nearest
+
+    return nearest(read(spark, folder, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
+QUERIES["pipeline"] = pipeline
