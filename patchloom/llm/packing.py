@@ -31,7 +31,6 @@ class Capacity:
 # costs about one sequence in several thousand.
 BLOCK_DOCUMENTS = 8192
 END_ID = 2
-_ENCODED_TEXTS = 256
 
 
 def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.ndarray, int]:
@@ -88,17 +87,16 @@ def _tokenise(path: str, end_id: int, most: int) -> Callable[[Iterator[pa.Record
         encoder = Encoder(path)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, _ENCODED_TEXTS):
-                part = batch.slice(at, _ENCODED_TEXTS)
-                sizes, sums = [], []
-                for ids in encoder.encode([t or "" for t in part.column(1).to_pylist()]):
-                    ids += end
-                    sizes.append(len(ids) // 4)
+            for at, to, ids, bounds in encoder.encode(batch.column(1)):
+                body, sizes, sums = memoryview(ids.astype("<u4", copy=False)).cast("B"), [], []
+                for a, b in zip((4 * bounds[:-1]).tolist(), (4 * bounds[1:]).tolist(), strict=True):
+                    own = bytes(body[a:b]) + end
+                    sizes.append(len(own) // 4)
                     cuts = np.concatenate([[0], np.cumsum(piece_lengths(sizes[-1], most))]) * 4
-                    view = memoryview(ids)
-                    sums.append([zlib.crc32(view[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+                    sums.append([zlib.crc32(own[x:y]) for x, y in zip(cuts[:-1], cuts[1:], strict=True)])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(sums, pa.list_(pa.int64()))], names=["id", "n", "sums"]
+                    [batch.column(0).slice(at, to - at), pa.array(sizes, pa.int64()), pa.array(sums, pa.list_(pa.int64()))],
+                    names=["id", "n", "sums"],
                 )
 
     return run

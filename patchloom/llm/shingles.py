@@ -18,7 +18,6 @@ _U = np.uint64
 def _constants() -> tuple[np.ndarray, np.ndarray, int]:
     random = np.random.default_rng(_SEED)
     letters = random.integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
-    letters[65:91] = letters[97:123]  # A-Z as a-z
     spaces = np.zeros(256, bool)
     spaces[[0x20, *range(0x09, 0x0E)]] = True
     return letters, spaces, int(random.integers(1, 1 << 62)) * 2 + 1
@@ -39,7 +38,7 @@ def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up), np.cumprod(down)
 
 
-def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string array and the offset of each text in them; null is empty."""
     texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
     texts = pc.fill_null(texts, "")
@@ -50,31 +49,46 @@ def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(body, np.uint8) if body is not None else np.zeros(0, np.uint8), offsets
 
 
-def _groups(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+def groups(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(first text, one past the last) of runs of texts of at most ``most`` bytes, a longer text alone."""
     at, n = 0, len(offsets) - 1
     while at < n:
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
         yield at, to
         at = to
 
 
 def grouped_bytes(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, one past the last, their bytes, offsets in them); groups of at most CHUNK_BYTES, a longer text alone."""
-    data, offsets = _bytes_of(texts)
-    for at, to in _groups(offsets):
+    data, offsets = bytes_of(texts)
+    for at, to in groups(offsets, CHUNK_BYTES):
         yield at, to, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
 
 
+class StretchHasher:
+    """64-bit hashes of stretches of bytes."""
+
+    def __init__(self, letters: np.ndarray | None = None) -> None:
+        plain, _, self.base = _constants()
+        self.letters = plain if letters is None else letters
+        self.up, self.down = _powers(1 << 16, self.base)
+
+    def hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if len(data) >= len(self.up):
+            self.up, self.down = _powers(max(len(data) + 1, 2 * len(self.up)), self.base)
+        sums = np.empty(len(data) + 1, np.uint64)
+        sums[0] = 0
+        np.cumsum(self.letters[data] * self.up[: len(data)], out=sums[1:])
+        return mix((sums[ends] - sums[starts]) * self.down[starts])
+
+
 class WordHasher:
     """64-bit hashes of words: A-Z as a-z, words being runs without space and tab to carriage return."""
 
     def __init__(self) -> None:
-        self.letters, self.spaces, self.base = _constants()
-        self.up, self.down = _powers(1 << 16, self.base)
-
-    def _room(self, n: int) -> None:
-        if n >= len(self.up):
-            self.up, self.down = _powers(max(n + 1, 2 * len(self.up)), self.base)
+        letters, self.spaces, _ = _constants()
+        letters[65:91] = letters[97:123]  # A-Z as a-z
+        self.stretches = StretchHasher(letters)
 
     def _chunk(self, data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, ...]:
         """Hashes and start bytes of the words of one stretch; ``cuts`` are bytes at which texts begin."""
@@ -88,11 +102,7 @@ class WordHasher:
         last[:-1] = ~solid[1:]
         last[cuts[cuts > 0] - 1] = True
         starts, ends = np.flatnonzero(solid & first), np.flatnonzero(solid & last) + 1
-        self._room(len(data))
-        sums = np.empty(len(data) + 1, np.uint64)
-        sums[0] = 0
-        np.cumsum(self.letters[data] * self.up[: len(data)], out=sums[1:])
-        return mix((sums[ends] - sums[starts]) * self.down[starts]), starts, ends
+        return self.stretches.hashes(data, starts, ends), starts, ends
 
     def texts(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
         """(first text, one past the last, word hashes, word offsets per text, start and end bytes of words).
@@ -100,8 +110,8 @@ class WordHasher:
         Texts come in groups of at most CHUNK_BYTES, a longer text alone; null is empty.
         Bytes count from the start of the group's first text.
         """
-        data, offsets = _bytes_of(texts)
-        for at, to in _groups(offsets):
+        data, offsets = bytes_of(texts)
+        for at, to in groups(offsets, CHUNK_BYTES):
             yield at, to, *self._group(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
 
     def _group(self, data: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

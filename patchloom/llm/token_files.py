@@ -36,7 +36,7 @@ DICTIONARY_BYTES = 65536
 SEGMENT_BYTES = 16 << 20
 END_ID = 2
 _LEVEL = 3
-_ENCODED_TEXTS = 256
+_TEXTS = 256
 
 
 @dataclass(frozen=True)
@@ -64,6 +64,14 @@ class Format:
         return body if self.width == 4 else np.frombuffer(body, "<u2").astype("<u4").tobytes()
 
 
+def encoded(encoder: Encoder, texts: pa.Array) -> Iterator[bytes]:
+    """Ids of each text as little-endian unsigned 32-bit bytes."""
+    for _, _, ids, bounds in encoder.encode(texts):
+        body = memoryview(ids.astype("<u4", copy=False)).cast("B")
+        for a, b in zip((4 * bounds[:-1]).tolist(), (4 * bounds[1:]).tolist(), strict=True):
+            yield bytes(body[a:b])
+
+
 def train_format(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> Format:
     """The dictionary, trained on the id arrays of a bounded sample of (id, text); none where zstandard can't train one."""
     encoder = Encoder(tokenizer)
@@ -73,7 +81,7 @@ def train_format(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> Forma
     sample = fitting.join(F.broadcast(chosen), "id", "left_semi").orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE_DOCUMENTS)
     texts = [row["text"] for row in sample.select("text").collect()]
     plain = Format(b"", width)
-    arrays = [plain.pack(ids) for ids in encoder.encode(texts)]
+    arrays = [plain.pack(ids) for ids in encoded(encoder, pa.array(texts, pa.string()))]
     try:
         trained = zstandard.train_dictionary(min(DICTIONARY_BYTES, max(1024, sum(map(len, arrays)) // 8)), arrays)
     except (zstandard.ZstdError, ValueError, MemoryError):  # too few or too uniform samples
@@ -86,20 +94,20 @@ def _compress(tokenizer: str, end_id: int, form: Format, bounds: np.ndarray) ->
         encoder, packer = Encoder(tokenizer), form.compressor()
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, _ENCODED_TEXTS):
-                part = batch.slice(at, _ENCODED_TEXTS)
-                ids = part.column(0)
-                segment = np.searchsorted(bounds, ids.fill_null(np.iinfo(np.int64).min).to_numpy(), "right")
-                encoded = [x + end for x in encoder.encode([t or "" for t in part.column(1).to_pylist()])]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(segment.astype(np.int64)),
-                        ids,
-                        pa.array([len(x) // 4 for x in encoded], pa.int64()),
-                        pa.array([packer.compress(form.pack(x)) for x in encoded], pa.binary()),
-                    ],
-                    names=["segment", "id", "n", "frame"],
-                )
+            ids = batch.column(0)
+            segment = np.searchsorted(bounds, ids.fill_null(np.iinfo(np.int64).min).to_numpy(), "right").astype(np.int64)
+            at, sizes, frames = 0, [], []
+            for own in encoded(encoder, batch.column(1)):
+                own += end
+                sizes.append(len(own) // 4)
+                frames.append(packer.compress(form.pack(own)))
+                if len(frames) == _TEXTS or at + len(frames) == batch.num_rows:
+                    part = slice(at, at + len(frames))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(segment[part]), ids.slice(at, len(frames)), pa.array(sizes, pa.int64()), pa.array(frames, pa.binary())],
+                        names=["segment", "id", "n", "frame"],
+                    )
+                    at, sizes, frames = at + len(frames), [], []
 
     return run
 
@@ -194,8 +202,8 @@ def _documents(form: Format, wanted: frozenset[int] | None, summary: bool) -> Ca
                 starts = row["start"] + np.concatenate([[0], np.cumsum(counts)])
                 null = np.arange(n) < row["n_nulls"]
                 picked = range(n) if wanted is None else [i for i in range(n) if not null[i] and int(ids[i]) in wanted]
-                for at in range(0, len(picked), _ENCODED_TEXTS):
-                    own = list(picked[at : at + _ENCODED_TEXTS])
+                for at in range(0, len(picked), _TEXTS):
+                    own = list(picked[at : at + _TEXTS])
                     bodies = [form.unpack(reader.decompress(row["data"][offsets[i] : offsets[i + 1]])) for i in own]
                     for i, body in zip(own, bodies, strict=True):
                         if len(body) != 4 * counts[i]:
