@@ -112,8 +112,11 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMo
         if len(yes) and len(no):
             weights[:, b] = np.log(yes.mean(axis=0)) - np.log(no.mean(axis=0))
 
-    fitting = known.filter(F.octet_length("text").between(1, CALIBRATION_BYTES))
-    sample = fitting.orderBy(F.xxhash64("text"), "lang").select("lang", "text").limit(CALIBRATION_ROWS).toPandas()
+    # Chosen by hash alone, so that no texts are gathered to be ranked; rows with equal text and language are one.
+    fitting = known.filter(F.octet_length("text").between(1, CALIBRATION_BYTES)).withColumn("h", F.xxhash64("text", "lang"))
+    chosen = fitting.select("h").distinct().orderBy("h").limit(CALIBRATION_ROWS)
+    picked = fitting.join(F.broadcast(chosen), "h", "left_semi").groupBy("h").agg(F.first("lang").alias("lang"), F.first("text").alias("text"))
+    sample = picked.toPandas().sort_values("h")
     scale, reliability, sharpness = 1.0, np.ones(codes.shape[1]), 1.0
     if len(sample) and len(languages) > 1:
         raw = np.concatenate([_mean_odds(d, b, weights) for _, _, d, b in grouped_bytes(pa.array(sample["text"], pa.string()))])
