@@ -26,6 +26,7 @@ STATES = len(ALPHABET) + 1  # 0 stands for the start and for any other character
 
 # Labelled samples come from at most so many documents of either kind, chosen by hash.
 SAMPLE_DOCUMENTS = 2000
+BACKOFF = 8.0
 # Evidence asked for before a string counts as random, in nats.
 LEAST_EVIDENCE = 12.0
 _BLOCK = 256
@@ -100,8 +101,10 @@ def fit(samples: DataFrame, value: str = "value", random: str = "random") -> lis
     """Log-likelihood ratios (random over ordinary) of every character pair, from labelled strings.
 
     One count per class and pair, combined before the shuffle; what comes back is
-    at most 2 * STATES^2 counts. Pairs are smoothed by one half, so an absent
-    class or an empty sample gives the even model. Null strings and labels count nothing.
+    at most 2 * STATES^2 counts. A pair's share leans on its second character's
+    share with the weight of BACKOFF observations, so a character that one
+    class hardly has speaks against it after any other. Without samples the model is even.
+    Null strings and labels count nothing.
     """
     pairs = samples.filter(F.col(random).isNotNull()).select(
         F.col(random).cast("int").alias("r"), F.explode(transitions(F.col(value))).alias("pair")
@@ -109,14 +112,18 @@ def fit(samples: DataFrame, value: str = "value", random: str = "random") -> lis
     counts = [[0.0] * (STATES * STATES) for _ in range(2)]
     for row in pairs.groupBy("r", "pair").count().collect():
         counts[row["r"]][row["pair"]] = float(row["count"])
+    singles = []
+    for c in counts:
+        each = [sum(c[after::STATES]) + 0.5 for after in range(STATES)]
+        singles.append([x / sum(each) for x in each])
     ratios = []
-    for before in range(STATES):
-        own = slice(before * STATES, (before + 1) * STATES)
-        totals = [sum(c[own]) + 0.5 * STATES for c in counts]
-        ratios += [
-            math.log((counts[1][i] + 0.5) / totals[1]) - math.log((counts[0][i] + 0.5) / totals[0])
-            for i in range(own.start, own.stop)
+    for pair in range(STATES * STATES):
+        before, after = divmod(pair, STATES)
+        shares = [
+            (c[pair] + BACKOFF * single[after]) / (sum(c[before * STATES : (before + 1) * STATES]) + BACKOFF)
+            for c, single in zip(counts, singles, strict=True)
         ]
+        ratios.append(math.log(shares[1]) - math.log(shares[0]))
     return ratios
 
 
