@@ -64,10 +64,8 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 begins = np.flatnonzero(np.diff(slots[order], prepend=-1))
                 total[slots[order][begins]] += np.add.reduceat(around[order], begins, axis=0)
     used = np.flatnonzero(total.any(axis=1))
-    for i in range(WIDTH):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used), pa.array(np.full(len(used), i)), pa.array(total[used, i])], names=["slot", "place", "n"]
-        )
+    own = pa.ListArray.from_arrays(pa.array(np.arange(len(used) + 1, dtype=np.int32) * WIDTH), pa.array(total[used].reshape(-1)))
+    yield pa.RecordBatch.from_arrays([pa.array(used), own], names=["slot", "v"])
 
 
 def pooled(words: np.ndarray, offsets: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -161,18 +159,20 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
         .repartition(TRAINING_TASKS, "place")
     )
     sample = store(sample, "quality-sample")
-    sums = sample.select("text").mapInArrow(_contexts, "slot bigint, place bigint, n bigint")
-    rows = sums.groupBy("slot", "place").agg(F.sum("n").alias("n")).toPandas()
+    parts = sample.select("text").mapInArrow(_contexts, "slot bigint, v array<bigint>")
+    sums = parts.groupBy("slot").agg(F.array(*[F.sum(F.col("v")[i]) for i in range(WIDTH)]).alias("v"))
+    rows = sums.toArrow()
     vectors = np.zeros((SLOTS, WIDTH), np.float32)
-    vectors[rows["slot"].to_numpy(int), rows["place"].to_numpy(int)] = rows["n"]
+    if rows.num_rows:
+        vectors[rows.column("slot").to_numpy()] = rows.column("v").combine_chunks().flatten().to_numpy().reshape(-1, WIDTH)
     vectors /= np.maximum(np.sqrt((vectors * vectors).sum(axis=1, keepdims=True)), 1e-9)
 
-    fitted = sample.mapInArrow(_features(vectors), "features array<float>, label double, place bigint").toPandas()
-    fitted = fitted.sort_values("place", kind="stable")
+    fitted = sample.mapInArrow(_features(vectors), "features array<float>, label double, place bigint").toArrow().sort_by("place")
     width = 2 * WIDTH + 4
-    if not len(fitted):
+    if not fitted.num_rows:
         return QualityModel(vectors, np.zeros(width), np.ones(width), _constant(width, 0.5), 1.0)
-    x, y = np.stack(fitted["features"]).astype(float), (fitted["label"].to_numpy() >= 0.5).astype(float)
+    x = fitted.column("features").combine_chunks().flatten().to_numpy().reshape(-1, width).astype(float)
+    y = (fitted.column("label").to_numpy() >= 0.5).astype(float)
     if len(set(y)) == 1:
         return QualityModel(vectors, np.zeros(width), np.ones(width), _constant(width, float(y[0])), 1.0)
     centre, spread = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
