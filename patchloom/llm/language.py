@@ -81,7 +81,7 @@ def _count_by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     for name, row in totals.items():
         used = np.flatnonzero(row)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([name] * len(used)), pa.array(used), pa.array(row[used])], names=["lang", "bucket", "n"]
+            [pa.array([name] * len(used), pa.string()), pa.array(used, pa.int64()), pa.array(row[used], pa.int64())], names=["lang", "bucket", "n"]
         )
 
 
@@ -207,11 +207,14 @@ def fold_of(id_column: str, folds: int):
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % folds
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.3) -> DataFrame:
+def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text", least: float = 0.3) -> DataFrame:
     """The rows of ``docs`` with a language, with all their columns.
 
     What goes is ``und`` and what is ambiguous with a score below ``least``. A text
     that mixes languages still has its strongest one, so it stays.
     """
-    found = identify(docs, model, carry=tuple(docs.columns))
-    return found.filter((F.col("lang_pred") != UNKNOWN) & ~(F.col("ambiguous") & (F.col("score") < least))).select(*docs.columns)
+    # Under names of their own, columns can't clash with those of the prediction.
+    plain = docs.toDF(*[f"__{i}" for i in range(len(docs.columns))])
+    found = identify(plain, model, carry=tuple(plain.columns), text=f"__{docs.columns.index(text)}")
+    kept = found.filter((F.col("lang_pred") != UNKNOWN) & ~(F.col("ambiguous") & (F.col("score") < least)))
+    return kept.select(*plain.columns).toDF(*docs.columns)

@@ -207,7 +207,7 @@ def score(docs: DataFrame, model: QualityModel, id_column: str = "doc_id", text_
     """(id, score) of every whole text: the calibrated probability of label 1.
 
     Null and empty texts have no words and get the score of that. Rows are
-    independent, so repeated rows agree and null ids stay null.
+    independent, so repeated rows agree but for rounding, and null ids stay null.
     """
     rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).cast("string").alias("text"))
     return rows.mapInArrow(_scorer(model), "id bigint, score double").withColumnRenamed("id", id_column)
