@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import asdict, dataclass
-from functools import reduce
+from dataclasses import asdict, dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from patchloom.operators.skew import HOT_FRACTION, hot_hashes, lookup_join
+from patchloom.operators.skew import lookup_join
+from patchloom.sinks.feature_table import time_key_of
 
 MISSING = ("keep", "drop", "error")
 
@@ -22,12 +22,20 @@ class FeatureLookup:
 
     ``missing`` says what happens to base rows whose key the table does not
     hold: ``keep`` them with null features, ``drop`` them, or raise an ``error``.
+
+    ``time`` names the table's time column; the latest row at or before the base
+    row's ``base_time`` (by default a column of the same name) is fetched, and a
+    key without such a row counts as missing. ``tie_breaker`` decides between
+    rows of one key and time.
     """
 
     table: str
     features: tuple[str, ...]
     key: tuple[str, ...]
     missing: str = "keep"
+    time: str | None = None
+    base_time: str | None = None
+    tie_breaker: str | None = None
 
     def __post_init__(self):
         object.__setattr__(self, "features", tuple(self.features))
@@ -48,11 +56,22 @@ def lookups_from_json(text: str) -> tuple[list[FeatureLookup], dict]:
 def feature_lookup(
     base: DataFrame, features: DataFrame, spec: FeatureLookup, salts: int = 1
 ) -> DataFrame:
-    """Base rows with the named features of one table, joined by key."""
-    if spec.missing == "error":
+    """Base rows with the named features of one table, joined by key, or by key and time."""
+    if spec.time:
+        marked = features.withColumn("_found", F.lit(True))
+        joined = point_in_time_lookup(
+            base, marked, spec.key, spec.base_time or spec.time, spec.time, [*spec.features, "_found"], spec.tie_breaker,
+            salts=salts,
+        )
+        if spec.missing == "keep":
+            return joined.drop("_found")
+        if spec.missing == "drop":
+            return joined.filter("_found").drop("_found")
+    elif spec.missing == "error":
         # A marker tells a missing row from one that holds null features.
         found = features.select(*spec.key, *spec.features, F.lit(True).alias("_found"))
         joined = lookup_join(base, found, spec.key, "left", salts)
+    if spec.missing == "error":
         key_text = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in spec.key])
         message = F.concat(F.lit(f"no row in {spec.table} for key "), key_text)
         # The check is part of the filter, so no later projection can prune it.
@@ -64,11 +83,11 @@ def feature_lookup(
 
 def merge_lookups(lookups: Iterable[FeatureLookup]) -> list[FeatureLookup]:
     """Lookups with the same table, key and policy as one, so each table is joined once."""
-    merged: dict[tuple, tuple[str, ...]] = {}
+    merged: dict[FeatureLookup, tuple[str, ...]] = {}
     for spec in lookups:
-        where = (spec.table, spec.key, spec.missing)
+        where = replace(spec, features=())
         merged[where] = tuple(dict.fromkeys(merged.get(where, ()) + spec.features))
-    return [FeatureLookup(t, features, key, missing) for (t, key, missing), features in merged.items()]
+    return [replace(where, features=features) for where, features in merged.items()]
 
 
 def with_features(
@@ -84,7 +103,8 @@ def with_features(
     ``resolve`` maps a table name to its rows, by default the catalog. When the
     base rows come from ``base_table`` and already hold the columns a lookup
     would fetch from that same table, the self-join is left out. Excluded names
-    that are absent are ignored.
+    that are absent are ignored. A catalog table that says it has a time key is
+    refused without ``time``: its keys aren't unique, and later values would leak.
     """
     table = resolve or base.sparkSession.table
     for spec in merge_lookups(lookups):
@@ -93,10 +113,18 @@ def with_features(
         clash = set(spec.features) & set(base.columns)
         if clash:
             raise ValueError(f"{sorted(clash)} are in the base rows and in {spec.table}")
+        if resolve is None and not spec.time and (time_key := time_key_of(base.sparkSession, spec.table)):
+            raise ValueError(f"{spec.table} is kept by time; look it up with time={time_key!r}")
         base = feature_lookup(base, table(spec.table), spec, salts)
     return base.drop(*exclude)
 
 
+# A key with more questions and feature rows than this is cut into time ranges of about so many rows.
+BLOCK_ROWS = 2_000_000
+# The finest division of one key: its time ranges lie between its own 1,024-quantiles.
+FINEST = 1024
+
+
 def point_in_time_lookup(
     base: DataFrame,
     features: DataFrame,
@@ -105,22 +133,23 @@ def point_in_time_lookup(
     feature_ts: str,
     columns: Sequence[str],
     tie_breaker: str | None = None,
-    blocks: int = 64,
-    hot_fraction: int = HOT_FRACTION,
+    block_rows: int = BLOCK_ROWS,
     salts: int = 1,
 ) -> DataFrame:
     """Base rows with each key's latest features at or before the base time.
 
     ``features`` is unique by key and time, or by key, time and ``tie_breaker``
-    (the greatest wins). No base row without a partner is lost.
+    (the greatest wins). No base row without a partner is lost. Key and time
+    columns may have different types on either side; they are compared in the
+    wider one.
 
     Questions, the distinct (key, time) pairs of the base, and feature rows are
     put in one time order per key; a window carries the last feature row
-    forward, so no pairs of rows are formed. A key with more than
-    ``1 / hot_fraction`` of these rows is cut into ``blocks`` equally filled time
-    ranges that run as separate groups, and the last feature row of each range
-    is handed to the following ones. ``salts`` spreads base rows that share both
-    key and time when the answers are joined back.
+    forward, so no pairs of rows are formed. A key with more than ``block_rows``
+    rows is cut at its own time quantiles into ranges that run as separate groups,
+    and the last feature row of each range is handed to the following ones.
+    Counting the keys is a job of its own, and so are the quantiles where a key is hot.
+    ``salts`` spreads base rows that share both key and time when the answers are joined back.
     """
     keys = list(keys)
     null_tie = F.lit(0)
@@ -142,12 +171,10 @@ def point_in_time_lookup(
     stream = questions.unionByName(facts, allowMissingColumns=True)
 
     # Sizes and time ranges are measured on the plain rows: cheaper than on the
-    # distinct ones, and never less than them.
+    # distinct ones, and never less than them. Both unions widen the keys alike.
     times = base.select(*keys, F.col(base_ts).alias("_ts")).unionByName(facts.select(*keys, "_ts")).dropna("any")
-    hashes = hot_hashes(times.select(*keys), keys, hot_fraction)
-    hot = F.xxhash64(*keys).isin(hashes)
-    block = _time_block(times.filter(hot), blocks) if hashes else F.lit(0)
-    stream = stream.withColumn("_block", F.when(hot, block).otherwise(0))
+    ranges = _time_ranges(times, keys, block_rows)
+    stream = _in_ranges(stream, keys, ranges)
 
     so_far = (
         Window.partitionBy(*keys, "_block")
@@ -159,31 +186,60 @@ def point_in_time_lookup(
         .filter("_side = 1")
         .select(*keys, "_block", "_ts", "_value")
     )
-    if hashes:
-        hot_facts = facts.filter(hot).withColumn("_block", block)
-        answers = answers.join(_carried(hot_facts, keys, blocks), [*keys, "_block"], "left")
+    if ranges is not None:
+        answers = answers.join(_carried(stream.filter("_side = 0 AND _last > 0"), keys), [*keys, "_block"], "left")
         answers = answers.withColumn("_value", F.coalesce("_value", "_carry"))
     answers = answers.select(*keys, F.col("_ts").alias(base_ts), *[F.col("_value")[c].alias(c) for c in columns])
-    return lookup_join(base, answers, [*keys, base_ts], "left", salts, hot_fraction)
+    return lookup_join(base, answers, [*keys, base_ts], "left", salts)
+
+
+def _time_ranges(times: DataFrame, keys: list[str], block_rows: int) -> DataFrame | None:
+    """(_hash, _cuts) of every key with more than ``block_rows`` rows, or None without such keys.
+
+    All cuts together are fewer than the rows divided by ``block_rows``, so the
+    table stays small: 4 MB for 10^12 rows.
+    """
+    counted = times.groupBy(F.xxhash64(*keys).alias("_hash")).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counted.filter(F.col("_n") > block_rows).collect()
+    if not hot:
+        return None
+    spark = times.sparkSession
+    sizes = spark.createDataFrame([(r["_hash"], r["_n"]) for r in hot], "_hash bigint, _n bigint")
+    shares = [i / FINEST for i in range(1, FINEST)]
+    quantiles = (
+        times.withColumn("_hash", F.xxhash64(*keys))
+        .join(F.broadcast(sizes), "_hash")
+        .groupBy("_hash", "_n")
+        .agg(F.percentile_approx("_ts", shares, 10 * FINEST).alias("_q"))
+    )
+    blocks = F.least(F.ceil(F.col("_n") / block_rows), F.lit(FINEST)).cast("int")
+    picked = F.transform(
+        F.sequence(F.lit(1), blocks - 1), lambda i: F.get("_q", F.floor(i * FINEST / blocks).cast("int") - 1)
+    )
+    found = quantiles.select("_hash", F.array_distinct(picked).alias("_cuts"))
+    return spark.createDataFrame(found.collect(), found.schema)
 
 
-def _time_block(times: DataFrame, blocks: int) -> Column:
-    """Number of the time range a row's ``_ts`` lies in, by quantiles of ``times``."""
-    cuts = [i / blocks for i in range(1, blocks)]
-    found = times.agg(F.percentile_approx("_ts", cuts, 10_000).cast("array<string>").alias("cuts")).first()
-    kind = times.schema["_ts"].dataType
-    bounds = [F.lit(text).cast(kind) for text in sorted(set(found["cuts"] or []))]
-    return reduce(lambda a, b: a + b, [(F.col("_ts") >= b).cast("int") for b in bounds], F.lit(0))
+def _in_ranges(rows: DataFrame, keys: list[str], ranges: DataFrame | None) -> DataFrame:
+    """Add ``_block``, the number of the key's time range a row lies in, and ``_last``, the number of its last one."""
+    if ranges is None:
+        return rows.withColumns({"_block": F.lit(0), "_last": F.lit(0)})
+    marked = rows.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(ranges), "_hash", "left")
+    passed = F.size(F.filter("_cuts", lambda c: c <= F.col("_ts")))
+    hot = F.col("_cuts").isNotNull()
+    return marked.withColumns(
+        {"_block": F.when(hot, passed).otherwise(0), "_last": F.when(hot, F.size("_cuts")).otherwise(0)}
+    ).drop("_hash", "_cuts")
 
 
-def _carried(facts: DataFrame, keys: list[str], blocks: int) -> DataFrame:
-    """Last feature row of earlier blocks, for every block after the first.
+def _carried(facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Last feature row of earlier ranges, for every range after the first.
 
-    ``facts`` holds hot keys only, so there are at most hot keys x blocks rows.
+    ``facts`` holds hot keys only, so there is at most a row for each range.
     """
-    last = facts.groupBy(*keys, "_block").agg(F.max_by("_value", F.struct("_ts", "_tie")).alias("_carry"))
+    last = facts.groupBy(*keys, "_block", "_last").agg(F.max_by("_value", F.struct("_ts", "_tie")).alias("_carry"))
     in_order = Window.partitionBy(*keys).orderBy("_block")
-    until = F.coalesce(F.lead("_block").over(in_order), F.lit(blocks - 1))
+    until = F.coalesce(F.lead("_block").over(in_order), F.col("_last"))
     return (
         last.withColumn("_until", until)
         .filter("_until > _block")

@@ -25,7 +25,7 @@ def row_count(df: DataFrame) -> DataFrame:
 def confusion(
     df: DataFrame, label: str, predictions: Mapping[str, str] | str, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Row counts per label and predicted class.
+    """Row counts per label and predicted class; a missing label or prediction is the class null.
 
     ``predictions`` maps role names to prediction columns, so that several
     models are counted in the same pass; the role is in the column ``role``.
@@ -38,7 +38,6 @@ def confusion(
         ]
     )
     rows = df.select(*by, F.col(label).cast("double").alias("label"), F.inline(pairs))
-    rows = rows.filter("label is not null and predicted is not null")
     return rows.groupBy(*by, "role", "label", "predicted").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -47,9 +46,11 @@ def weighted_metrics(
 ) -> DataFrame:
     """Support-weighted F1, precision and recall, and accuracy, one row per role.
 
-    A ratio with a zero denominator counts as zero. Rows without label or
-    prediction are not counted.
+    A ratio with a zero denominator counts as zero. A row without a prediction
+    is a miss of its label's class, so a model that answers seldom scores low. Rows without a
+    label can't be judged; ``n_unlabelled`` counts them, ``n_unpredicted`` the labelled rows without prediction.
     """
+    counted = confusion(df, label, predictions, by)
     groups = [*by, "role"]
     zero = F.lit(0).cast("bigint")
     hit = F.when(F.col("label") == F.col("predicted"), F.col("n")).otherwise(zero)
@@ -58,8 +59,9 @@ def weighted_metrics(
         F.struct(F.col("predicted").alias("class"), zero.alias("support"), F.col("n").alias("called"), zero.alias("hits")),
     )
     per_class = (
-        confusion(df, label, predictions, by)
+        counted.filter("label is not null")
         .select(*groups, F.inline(sides))
+        .filter("class is not null")
         .groupBy(*groups, "class")
         .agg(*[F.sum(c).cast("double").alias(c) for c in ("support", "called", "hits")])
         .withColumns({"p": _ratio("hits", "called"), "r": _ratio("hits", "support")})
@@ -67,13 +69,27 @@ def weighted_metrics(
     )
     support = F.col("support")
     total = F.sum(support)
-    return per_class.groupBy(*groups).agg(
+    measured = per_class.groupBy(*groups).agg(
         (F.sum(F.col("f") * support) / total).alias("f1_score"),
         (F.sum(F.col("p") * support) / total).alias("precision"),
         (F.sum(F.col("r") * support) / total).alias("recall"),
         (F.sum("hits") / total).alias("accuracy"),
         total.cast("bigint").alias("n_rows"),
     )
+    # A few rows per group: what the metrics can't show.
+    left_out = counted.groupBy(*groups).agg(
+        F.coalesce(F.sum(F.when(F.col("label").isNull(), F.col("n"))), zero).alias("n_unlabelled"),
+        F.coalesce(F.sum(F.when(F.col("label").isNotNull() & F.col("predicted").isNull(), F.col("n"))), zero).alias("n_unpredicted"),
+    )
+    same = [F.col(f"left.{c}").eqNullSafe(F.col(f"right.{c}")) for c in groups]
+    joined = left_out.alias("left").join(measured.alias("right"), same, "left")
+    figures = [*CLASS_METRICS, "n_rows"]
+    return joined.select(
+        *[F.col(f"left.{c}") for c in groups],
+        *[F.col(c) if c != "n_rows" else F.coalesce(c, zero).alias(c) for c in figures],
+        "n_unlabelled",
+        "n_unpredicted",
+    )
 
 
 def _ratio(top: str, bottom: str) -> Column:
@@ -140,9 +156,9 @@ def custom_metrics(
 
 
 def log_loss(label: Column, probability: Column) -> Column:
-    """Cross entropy of one row: -ln of the probability given to its label."""
+    """Cross entropy of one row: -ln of the probability given to its label; null where there is none."""
     given = F.get(probability, label.cast("int"))
-    return -F.log(F.greatest(given, F.lit(LOG_FLOOR)))
+    return F.when(given.isNotNull(), -F.log(F.greatest(given, F.lit(LOG_FLOOR))))
 
 
 def loss_and_accuracy(
@@ -157,27 +173,37 @@ def loss_and_accuracy(
 
     The loss is the mean over rows. With ``batch`` it is the mean of the batch
     means, so a short last batch weighs as much as a full one; accuracy always
-    is correct rows over rows. The predicted class is the ``prediction`` column
-    or, without one, the class of the greatest probability.
+    is correct rows over judged rows. The predicted class is the ``prediction`` column
+    or, without one, the class of the greatest probability. Rows without a label,
+    or whose label has no probability, can't be judged: they are in ``n_left_out`` and in
+    nothing else. A judged row without a predicted class is wrong.
     """
     scores = F.col(probability)
     predicted = F.col(prediction) if prediction else F.array_position(scores, F.array_max(scores)) - 1
     loss = log_loss(F.col(label), scores)
-    correct = (predicted == F.col(label)).cast("double")
+    judged = loss.isNotNull()
+    correct = F.when(judged, F.coalesce((predicted == F.col(label)).cast("double"), F.lit(0.0)))
     scored = df.select(
         *by, *([F.col(batch).alias("_batch")] if batch else []), loss.alias("_loss"), correct.alias("_correct")
     )
     if not batch:
         return scored.groupBy(*by).agg(
-            F.avg("_loss").alias("loss"), F.avg("_correct").alias("accuracy"), F.count(F.lit(1)).alias("n_rows")
+            F.avg("_loss").alias("loss"),
+            F.avg("_correct").alias("accuracy"),
+            F.count("_loss").alias("n_rows"),
+            F.count_if(F.col("_loss").isNull()).alias("n_left_out"),
         )
     per_batch = scored.groupBy(*by, "_batch").agg(
-        F.avg("_loss").alias("_loss"), F.sum("_correct").alias("_correct"), F.count(F.lit(1)).alias("_n")
+        F.avg("_loss").alias("_loss"),
+        F.sum("_correct").alias("_correct"),
+        F.count("_loss").alias("_n"),
+        F.count_if(F.col("_loss").isNull()).alias("_out"),
     )
     return per_batch.groupBy(*by).agg(
         F.avg("_loss").alias("loss"),
         (F.sum("_correct") / F.sum("_n")).alias("accuracy"),
         F.sum("_n").alias("n_rows"),
+        F.sum("_out").alias("n_left_out"),
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -13,6 +14,7 @@ from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from patchloom.functions.vectors import DenseVectorizer
 from patchloom.operators.cleaning import stamp
@@ -107,10 +109,27 @@ def score_batch(
     base_table: str | None = None,
     salts: int = 1,
 ) -> DataFrame:
-    """Base rows plus ``prediction``; the caller supplies keys, features are looked up."""
+    """Base rows plus ``prediction``; the caller supplies keys, features are looked up.
+
+    A row for which a lookup finds nothing (policy ``keep``), or finds a null
+    feature, can't be scored: it stays, with a null prediction.
+    """
     rows = with_features(base, package.lookups, resolve, (), base_table, salts)
-    scored = apply_model(package.model, rows)
-    return scored.select(*base.columns, "prediction")
+    names = dict.fromkeys(f for spec in package.lookups for f in spec.features if f in rows.columns)
+    whole = reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in names], F.lit(True))
+    arrays = [f for f in names if isinstance(rows.schema[f].dataType, ArrayType)]
+    n_features = getattr(package.model.stages[-1], "numFeatures", -1)
+    if len(arrays) <= 1 and n_features >= len(names) and not set(names) & set(base.columns):
+        # One pass: absent features are filled for the model, and what it makes of them is dropped.
+        zeros = {f: F.lit(0).cast(rows.schema[f].dataType) for f in names if f not in arrays}
+        zeros |= {f: F.array_repeat(F.lit(0.0), n_features - len(zeros)).cast(rows.schema[f].dataType) for f in arrays}
+        filled = rows.withColumn("_whole", whole).withColumns({f: F.coalesce(f, zero) for f, zero in zeros.items()})
+        scored = apply_model(package.model, filled)
+        return scored.select(*base.columns, F.when(F.col("_whole"), F.col("prediction")).alias("prediction"))
+    # Else the model sees whole rows only, and the others pass it by.
+    scored = apply_model(package.model, rows.filter(whole)).select(*base.columns, "prediction")
+    unscored = rows.filter(~whole).select(*base.columns, F.lit(None).cast("double").alias("prediction"))
+    return scored.unionByName(unscored)
 
 
 def predict_table(
@@ -122,9 +141,10 @@ def predict_table(
     inference_timestamp: str,
     resolve: Callable[[str], DataFrame] | None = None,
     location: str | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """Score a catalog table, stamp the rows and overwrite the output table."""
-    scored = score_batch(package, spark.table(input_table), resolve)
+    scored = score_batch(package, spark.table(input_table), resolve, salts=salts)
     overwrite_table(stamp(scored, model_version, inference_timestamp), output_table, location=location)
     return spark.table(output_table)
 
@@ -136,10 +156,11 @@ def training_set(
     exclude: Sequence[str] = (),
     resolve: Callable[[str], DataFrame] | None = None,
     base_table: str | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """Rows to fit on: base and features without ``exclude``, the label always kept."""
     dropped = [c for c in exclude if c != label]
-    return with_features(base, lookups, resolve, dropped, base_table)
+    return with_features(base, lookups, resolve, dropped, base_table, salts)
 
 
 def coefficients(model: PipelineModel, names: Sequence[str]) -> DataFrame:

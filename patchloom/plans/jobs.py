@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -59,10 +60,17 @@ def write_features(df: DataFrame, table: FeatureTable, location: str | None = No
 
 @dataclass(frozen=True)
 class Trained:
-    """A packaged model and the rows held out from its training, without features."""
+    """A packaged model and the rows held out from its training, without features.
+
+    ``splits`` has every split but the training part, by name; ``held_out`` is all of them together.
+    """
 
     package: ModelPackage
-    held_out: DataFrame
+    splits: Mapping[str, DataFrame]
+
+    @property
+    def held_out(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, self.splits.values())
 
 
 def train(
@@ -76,6 +84,7 @@ def train(
     seed: int = SPLIT_SEED,
     resolve: Callable[[str], DataFrame] | None = None,
     base_table: str | None = None,
+    salts: int = 1,
 ) -> Trained:
     """Split the base rows by key, look up features for the training part, fit.
 
@@ -86,11 +95,11 @@ def train(
     lookups = tuple(lookups)
     splits = split_frames(base, keys, weights, seed)
     names = list(splits)
-    rows = training_set(splits[names[0]], lookups, label, exclude, resolve, base_table)
+    rows = training_set(splits[names[0]], lookups, label, exclude, resolve, base_table, salts)
     stored = scratch_path(base.sparkSession, "training")
     model = (pipeline or classifier(label=label)).fit(materialise(rows, stored))
     discard(base.sparkSession, stored)
-    return Trained(ModelPackage(model, lookups, tuple(exclude)), splits[names[1]])
+    return Trained(ModelPackage(model, lookups, tuple(exclude)), {name: splits[name] for name in names[1:]})
 
 
 @dataclass(frozen=True)
@@ -167,4 +176,5 @@ def embed_and_train(
     splits = split_frames(embedded, keys, weights, seed)
     names = list(splits)
     model = (pipeline or classifier(label=label)).fit(splits[names[0]])
-    return apply_model(model, splits[names[1]], keep_stages=True).select(*keys, label, "probability", "prediction")
+    rest = reduce(DataFrame.unionByName, [splits[name] for name in names[1:]])
+    return apply_model(model, rest, keep_stages=True).select(*keys, label, "probability", "prediction")

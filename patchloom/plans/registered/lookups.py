@@ -137,13 +137,18 @@ def _as_of_sql(user):
     """
 
 
-def _as_of(spark, folder, user, **options):
+def _as_of_input(spark, folder, user, key_type="bigint"):
     events = table(spark, folder, "events", "event_id", "ts", "user_id", "event_type", "value")
     events = events.withColumn("user_id", F.expr(user))
     base = events.filter("event_type <> 'purchase'").select("event_id", "user_id", "ts")
     features = events.filter("event_type = 'purchase'").select(
-        "user_id", F.col("ts").alias("feature_ts"), F.col("event_id").alias("last_event"), F.col("value").alias("last_value")
+        F.col("user_id").cast(key_type).alias("user_id"), F.col("ts").alias("feature_ts"), F.col("event_id").alias("last_event"), F.col("value").alias("last_value")
     )
+    return base, features
+
+
+def _as_of(spark, folder, user, key_type="bigint", **options):
+    base, features = _as_of_input(spark, folder, user, key_type)
     found = point_in_time_lookup(
         base, features, ["user_id"], "ts", "feature_ts", ["last_event", "last_value"], "last_event", **options
     )
@@ -158,4 +163,26 @@ def point_in_time_rows(spark, folder):
 @query(_as_of_sql("CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END"))
 def point_in_time_hot_key(spark, folder):
     """One user has a third of all events and is cut into time ranges."""
-    return _as_of(spark, folder, "CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END", hot_fraction=10, blocks=32)
+    return _as_of(spark, folder, "CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END", block_rows=200)
+
+
+@query(_as_of_sql("CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END"))
+def point_in_time_mixed_types(spark, folder):
+    """As above, with a narrower key type on the feature side than in the base."""
+    return _as_of(spark, folder, "CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END", "int", block_rows=150)
+
+
+@query(_as_of_sql("event_id % 4 + 10 * (hour(ts) // 6)"))
+def point_in_time_many_hot_keys(spark, folder):
+    """Every key is hot, and the keys of one quarter of the day have their own times of day."""
+    return _as_of(spark, folder, "event_id % 4 + 10 * (hour(ts) div 6)", block_rows=100)
+
+
+@query(_as_of_sql("user_id").replace("last_event, last_value FROM b", "last_value FROM b"))
+def timed_feature_lookup(spark, folder):
+    """The same question through a lookup spec: one row per base row, nothing from the future."""
+    base, features = _as_of_input(spark, folder, "user_id")
+    spec = FeatureLookup(
+        "purchases", ("last_value",), ("user_id",), time="feature_ts", base_time="ts", tie_breaker="last_event"
+    )
+    return with_features(base, [spec], {"purchases": features}.__getitem__, exclude=["ts"])

@@ -18,8 +18,8 @@ from patchloom.plans.registered import query, table
 # A mostly right candidate and a weaker baseline, both fixed by the row.
 SCORED_SQL = """
     SELECT vec_id, label,
-           CASE WHEN vec_id % 5 = 0 THEN list_position(embedding[1:10], list_max(embedding[1:10])) - 1 ELSE label END AS c,
-           CASE WHEN vec_id % 2 = 0 THEN list_position(embedding[11:20], list_max(embedding[11:20])) - 1 ELSE label END AS b
+           CASE WHEN vec_id % 5 = 0 THEN list_position(embedding[1:32], list_max(embedding[1:32])) - 1 ELSE label END AS c,
+           CASE WHEN vec_id % 2 = 0 THEN list_position(embedding[33:], list_max(embedding[33:])) - 1 ELSE label END AS b
     FROM embeddings
 """
 
@@ -29,8 +29,8 @@ def scored(spark, folder):
     return rows.select(
         "vec_id",
         "label",
-        F.when(F.col("vec_id") % 5 == 0, argmax(F.slice("embedding", 1, 10))).otherwise(F.col("label")).alias("prediction"),
-        F.when(F.col("vec_id") % 2 == 0, argmax(F.slice("embedding", 11, 10)))
+        F.when(F.col("vec_id") % 5 == 0, argmax(F.slice("embedding", 1, 32))).otherwise(F.col("label")).alias("prediction"),
+        F.when(F.col("vec_id") % 2 == 0, argmax(F.slice("embedding", F.lit(33), F.size("embedding"))))
         .otherwise(F.col("label"))
         .alias("baseline_prediction"),
     )
@@ -72,7 +72,8 @@ def confusion_counts(spark, folder):
 @query(
     f"""
     WITH {METRICS_SQL} SELECT role, round(f1_score, 9) AS f1_score, round(precision, 9) AS precision,
-         round(recall, 9) AS recall, round(accuracy, 9) AS accuracy, n_rows FROM m WHERE role = 'candidate'
+         round(recall, 9) AS recall, round(accuracy, 9) AS accuracy, n_rows, 0 AS n_unlabelled, 0 AS n_unpredicted
+    FROM m WHERE role = 'candidate'
     """
 )
 def weighted_class_metrics(spark, folder):
@@ -179,6 +180,7 @@ def probabilities(spark, folder):
     kinds = F.array(*[F.lit(k) for k in ("click", "error", "purchase", "signup", "view")])
     weights = F.array(*[(1 + F.col("event_id") * (k + 3) % 7).cast("double") for k in range(5)])
     rows = events.select(
+        "event_id",
         (F.col("event_id") % 3).alias("epoch"),
         (F.col("event_id") % 97).alias("batch"),
         (F.array_position(kinds, F.col("event_type")) - 1).alias("label"),
@@ -192,7 +194,7 @@ def probabilities(spark, folder):
     f"""
     SELECT epoch, round(avg(-ln(w[label + 1] / list_sum(w))), 9) AS loss,
            round(avg(CASE WHEN list_position(w, list_max(w)) - 1 = label THEN 1.0 ELSE 0.0 END), 9) AS accuracy,
-           count(*) AS n_rows
+           count(*) AS n_rows, 0 AS n_left_out
     FROM ({PROBABILITY_SQL}) GROUP BY epoch
     """
 )
@@ -202,7 +204,8 @@ def log_loss_accuracy(spark, folder):
 
 @query(
     f"""
-    SELECT epoch, round(avg(l), 9) AS loss, round(sum(c) / sum(n), 9) AS accuracy, sum(n)::BIGINT AS n_rows FROM (
+    SELECT epoch, round(avg(l), 9) AS loss, round(sum(c) / sum(n), 9) AS accuracy, sum(n)::BIGINT AS n_rows,
+           0 AS n_left_out FROM (
         SELECT epoch, batch, avg(-ln(w[label + 1] / list_sum(w))) AS l, count(*)::DOUBLE AS n,
                sum(CASE WHEN list_position(w, list_max(w)) - 1 = label THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS c
         FROM ({PROBABILITY_SQL}) GROUP BY epoch, batch) GROUP BY epoch
@@ -211,3 +214,43 @@ def log_loss_accuracy(spark, folder):
 def batch_mean_loss(spark, folder):
     found = loss_and_accuracy(probabilities(spark, folder), by=["epoch"], batch="batch")
     return _rounded(found, "loss", "accuracy")
+
+
+@query(
+    """
+    WITH s AS (SELECT CASE WHEN vec_id % 11 > 0 THEN label END AS y, CASE WHEN vec_id % 3 > 0 THEN label END AS p FROM embeddings),
+    k AS (SELECT y AS cls, count(*) AS support, count(p) AS hits FROM s WHERE y IS NOT NULL GROUP BY y)
+    SELECT 'candidate' AS role,
+           round(sum(support * 2 * (hits > 0)::INT * (hits / support::DOUBLE) / (1 + hits / support::DOUBLE)) / sum(support), 9) AS f1_score,
+           round(sum(support * (hits > 0)::INT) / sum(support)::DOUBLE, 9) AS precision,
+           round(sum(hits) / sum(support)::DOUBLE, 9) AS recall, round(sum(hits) / sum(support)::DOUBLE, 9) AS accuracy,
+           sum(support)::BIGINT AS n_rows, (SELECT count(*) FROM s WHERE y IS NULL) AS n_unlabelled,
+           (SELECT count(*) FROM s WHERE y IS NOT NULL AND p IS NULL) AS n_unpredicted
+    FROM k
+    """
+)
+def metrics_with_null_predictions(spark, folder):
+    """A model that is right whenever it answers, but answers two times in three."""
+    rows = table(spark, folder, "embeddings", "vec_id", "label")
+    answered = rows.select(
+        F.when(F.col("vec_id") % 11 > 0, F.col("label")).alias("label"),
+        F.when(F.col("vec_id") % 3 > 0, F.col("label")).alias("prediction"),
+    )
+    return _rounded(weighted_metrics(answered), "f1_score", "precision", "recall", "accuracy")
+
+
+@query(
+    f"""
+    WITH p AS (SELECT epoch, w, CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 7 = 0 THEN 9 ELSE label END AS y
+               FROM ({PROBABILITY_SQL}))
+    SELECT epoch, round(avg(-ln(w[y + 1] / list_sum(w))) FILTER (y < 5), 9) AS loss,
+           round(avg(CASE WHEN list_position(w, list_max(w)) - 1 = y THEN 1.0 ELSE 0.0 END) FILTER (y < 5), 9) AS accuracy,
+           count(*) FILTER (y < 5) AS n_rows, count(*) FILTER (y IS NULL OR y >= 5) AS n_left_out
+    FROM p GROUP BY epoch
+    """
+)
+def loss_with_null_labels(spark, folder):
+    """Some labels are missing, and some name a class without a probability."""
+    label = F.when(F.col("event_id") % 7 == 0, 9).otherwise(F.col("label"))
+    rows = probabilities(spark, folder).withColumn("label", F.when(F.col("event_id") % 5 > 0, label))
+    return _rounded(loss_and_accuracy(rows, by=["epoch"]), "loss", "accuracy")

@@ -141,7 +141,7 @@ def embedding_head(spark, folder):
 @query(
     """
     WITH s AS (SELECT label, CASE WHEN vec_id % 5 = 0
-               THEN list_position(embedding[1:10], list_max(embedding[1:10])) - 1 ELSE label END AS p FROM embeddings),
+               THEN list_position(embedding[1:32], list_max(embedding[1:32])) - 1 ELSE label END AS p FROM embeddings),
     m AS (SELECT sum((p - label + 1) * (p - label + 1))::DOUBLE AS d,
                  sum(CASE WHEN p = label THEN 1 ELSE 0 END) / count(*)::DOUBLE AS a FROM s)
     SELECT 'accuracy' AS metric_name, round(a, 6) AS candidate, a >= 0.8 AS passed FROM m
@@ -177,3 +177,39 @@ def features_to_gate(spark, folder):
         run_mode="dry_run",
     )
     return result.report.withColumn("candidate", F.round("candidate", 6))
+
+
+@query(
+    "SELECT o_orderkey, o_orderkey % 3 > 0 AS scored FROM orders"
+)
+def scored_table_missing_keys(spark, folder):
+    """A third of the keys have no features: their rows stay, without a prediction."""
+    orders = table(spark, folder, "orders", "o_orderkey", "o_totalprice").withColumn("label", F.col("o_totalprice") / 1000)
+    features = orders.select("o_orderkey", F.array("label").alias("features"))
+    base = orders.select("o_orderkey", "label")
+    lookups = [FeatureLookup("orders", ("features",), ("o_orderkey",))]
+    trained = train(base, ["o_orderkey"], lookups, regression(), resolve={"orders": features}.__getitem__)
+    known = {"orders": features.filter("o_orderkey % 3 > 0")}
+    found = score_batch(trained.package, base.select("o_orderkey"), known.__getitem__)
+    return found.select("o_orderkey", F.col("prediction").isNotNull().alias("scored"))
+
+
+SPLIT_SQL = "('0x' || substr(md5('12345|' || o_orderkey), 1, 8))::BIGINT"
+
+
+@query(
+    f"""
+    SELECT o_orderkey, CASE WHEN {SPLIT_SQL} < 3435973837 THEN 'validation' ELSE 'test' END AS split
+    FROM orders WHERE {SPLIT_SQL} >= 2576980378
+    """
+)
+def three_way_training_split(spark, folder):
+    """What is held out by three weights: both parts, each row once."""
+    orders = table(spark, folder, "orders", "o_orderkey", "o_totalprice").withColumn("label", F.col("o_totalprice") / 1000)
+    features = orders.select("o_orderkey", F.array("label").alias("features"))
+    trained = train(
+        orders.select("o_orderkey", "label"), ["o_orderkey"], [FeatureLookup("orders", ("features",), ("o_orderkey",))],
+        regression(), weights={"train": 0.6, "validation": 0.2, "test": 0.2}, resolve={"orders": features}.__getitem__,
+    )
+    parts = [rows.select("o_orderkey", F.lit(name).alias("split")) for name, rows in trained.splits.items()]
+    return parts[0].unionByName(parts[1])

@@ -79,6 +79,14 @@ def describe(spark: SparkSession, name: str) -> FeatureTable:
     )
 
 
+def time_key_of(spark: SparkSession, name: str) -> str | None:
+    """The time key of a feature table; None for one without, and for any other table or view."""
+    if not spark.catalog.tableExists(name) or spark.catalog.getTable(name).tableType in ("TEMPORARY", "VIEW"):
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect()
+    return {row["key"]: row["value"] for row in rows}.get(TIME_PROPERTY)
+
+
 def create_feature_table(
     df: DataFrame, table: FeatureTable, location: str | None = None
 ) -> FeatureTable:

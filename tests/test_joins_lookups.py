@@ -8,7 +8,8 @@ from patchloom.operators.cleaning import clean_ranges, compute_features, limit_r
 from patchloom.operators.joins import annotate, unmatched_report
 from patchloom.operators.lookup import (
     FeatureLookup,
-    _time_block,
+    _in_ranges,
+    _time_ranges,
     lookups_from_json,
     lookups_to_json,
     merge_lookups,
@@ -17,6 +18,8 @@ from patchloom.operators.lookup import (
 )
 from patchloom.operators.skew import hot_keys, lookup_join
 from patchloom.operators.splits import hash_split, process_splits, random_split, split_frames
+from patchloom.plans.jobs import write_features
+from patchloom.sinks.feature_table import FeatureTable
 
 
 @pytest.fixture(scope="module")
@@ -122,9 +125,9 @@ def test_self_lookup_needs_no_join(spark, features):
     assert "Join" not in joined._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("hot_fraction, blocks, salts", [(10**6, 8, 1), (2, 4, 1), (3, 64, 1), (30, 16, 4)])
-def test_point_in_time_against_brute_force(spark, rows, hot_fraction, blocks, salts):
-    rng = random.Random(hot_fraction)
+@pytest.mark.parametrize("block_rows, salts, key_types", [(10**6, 1, "int int"), (100, 1, "int int"), (20, 1, "bigint int"), (7, 4, "int bigint")])
+def test_point_in_time_against_brute_force(spark, rows, block_rows, salts, key_types):
+    rng = random.Random(block_rows)
     # Half of the rows have key 0; many rows share a time or are full copies.
     def key():
         return 0 if rng.random() < 0.5 else rng.choice([1, 2, 3, None])
@@ -138,19 +141,48 @@ def test_point_in_time_against_brute_force(spark, rows, hot_fraction, blocks, sa
         return max(past, key=lambda f: f[1])[2] if past and k is not None else None
 
     stamp = "timestamp_seconds(%s)"
-    left = spark.createDataFrame(base, "k int, t int, n int").withColumn("ts", F.expr(stamp % "t"))
-    right = spark.createDataFrame(facts, "k int, ft int, v int").withColumn("fts", F.expr(stamp % "ft"))
-    found = point_in_time_lookup(left, right, ["k"], "ts", "fts", ["v"], None, blocks, hot_fraction, salts)
+    ours, theirs = key_types.split()
+    left = spark.createDataFrame(base, f"k {ours}, t int, n int").withColumn("ts", F.expr(stamp % "t"))
+    right = spark.createDataFrame(facts, f"k {theirs}, ft int, v int").withColumn("fts", F.expr(stamp % "ft"))
+    found = point_in_time_lookup(left, right, ["k"], "ts", "fts", ["v"], None, block_rows, salts)
     expected = sorted([(k, t, n, best(k, t)) for k, t, n in base], key=repr)
     assert rows(found, "k", "t", "n", "v") == expected
 
 
-def test_time_blocks_of_a_hot_key_are_even(spark):
-    """Nine tenths of the rows lie in the last hundredth of the time span."""
-    seconds = F.when(F.col("id") % 10 == 0, F.col("id") * 99).otherwise(F.lit(990_000) + F.col("id"))
-    times = spark.range(10_000).select(F.timestamp_seconds(seconds).alias("_ts"))
-    sizes = times.groupBy(_time_block(times, 20).alias("block")).count().collect()
-    assert len(sizes) == 20 and max(r["count"] for r in sizes) < 10_000 / 20 * 1.2
+def test_every_hot_key_has_its_own_even_ranges(spark):
+    """Keys whose times don't overlap, each with nine tenths of its rows in a hundredth of its span."""
+    key, i = F.col("id") % 4, F.floor(F.col("id") / 4)
+    seconds = key * 10_000_000 + F.when(i % 10 == 0, i * 99).otherwise(F.lit(990_000) + i)
+    times = spark.range(40_000).select(key.alias("k"), F.timestamp_seconds(seconds).alias("_ts"))
+    ranged = _in_ranges(times, ["k"], _time_ranges(times, ["k"], 500))
+    sizes = ranged.groupBy("k", "_block").count().collect()
+    assert len(sizes) == 80 and max(r["count"] for r in sizes) < 500 * 1.2
+    assert _time_ranges(times, ["k"], 10_000) is None
+
+
+def test_timed_lookup_through_with_features(spark, rows):
+    base = spark.createDataFrame([(1, 5), (1, 10), (2, 5), (3, 5)], "k int, t int")
+    kept = spark.createDataFrame([(1, 1, 10), (1, 9, 20), (2, 6, 30), (3, 5, None)], "k int, t int, f int")
+    resolve = {"x": kept}.__getitem__
+    spec = FeatureLookup("x", ("f",), ("k",), time="t")
+    assert rows(with_features(base, [spec], resolve), "k", "t", "f") == [(1, 10, 20), (1, 5, 10), (2, 5, None), (3, 5, None)]
+    drop = FeatureLookup("x", ("f",), ("k",), missing="drop", time="t")
+    assert rows(with_features(base, [drop], resolve), "k", "t", "f") == [(1, 10, 20), (1, 5, 10), (3, 5, None)]
+    error = FeatureLookup("x", ("f",), ("k",), missing="error", time="t")
+    with pytest.raises(Exception, match="no row in x"):
+        with_features(base, [error], resolve).collect()
+    assert lookups_from_json(lookups_to_json([drop]))[0] == [drop]
+
+
+def test_timed_table_needs_a_time(spark, tmp_path):
+    frame = spark.createDataFrame([(1, 1, 10)], "k int, t int, f int")
+    name = "patchloom_tests.timed"
+    write_features(frame, FeatureTable(name, ("k",), "t", buckets=2), str(tmp_path / "timed"))
+    with pytest.raises(ValueError, match="kept by time"):
+        with_features(frame.select("k", "t"), [FeatureLookup(name, ("f",), ("k",))])
+    found = with_features(frame.select("k", "t"), [FeatureLookup(name, ("f",), ("k",), time="t")])
+    assert found.count() == 1
+    spark.sql(f"DROP TABLE {name}")
 
 
 def test_point_in_time_tie_breaker(spark, rows):

@@ -56,7 +56,28 @@ def test_metrics_by_group_and_role(spark):
         ("a", "candidate"): (1.0, 2), ("a", "baseline"): (0.5, 2), ("b", "candidate"): (0.0, 1), ("b", "baseline"): (1.0, 1),
     }
     assert metrics_long(found, by=["g", "role"]).count() == 16
-    assert confusion(df, "label", "c").agg(F.sum("n")).first()[0] == 3
+    counted = confusion(df, "label", "c")
+    assert counted.agg(F.sum("n")).first()[0] == 4
+    assert counted.filter("label is null").agg(F.sum("n")).first()[0] == 1
+    unlabelled = {(r["g"], r["role"]): r["n_unlabelled"] for r in found.collect()}
+    assert unlabelled == {("a", "candidate"): 0, ("a", "baseline"): 0, ("b", "candidate"): 1, ("b", "baseline"): 1}
+
+
+def test_rows_without_prediction_are_misses(spark):
+    df = spark.createDataFrame([(1, 1)] + [(1, None)] * 9 + [(None, 1)], "label int, prediction int")
+    found = weighted_metrics(df).first()
+    assert (found["accuracy"], found["recall"], found["n_rows"], found["n_unpredicted"], found["n_unlabelled"]) == (0.1, 0.1, 10, 9, 1)
+    nothing = weighted_metrics(df.filter("label is null")).first()
+    assert (nothing["accuracy"], nothing["n_rows"], nothing["n_unlabelled"]) == (None, 0, 1)
+
+
+def test_rows_that_cannot_be_judged(spark):
+    rows = [(0, [0.9, 0.1]), (None, [0.5, 0.5]), (7, [0.5, 0.5]), (1, None)]
+    df = spark.createDataFrame(rows, "label int, probability array<double>").withColumn("batch", F.lit(1))
+    for batch in (None, "batch"):
+        found = loss_and_accuracy(df, batch=batch).first()
+        assert (found["accuracy"], found["n_rows"], found["n_left_out"]) == (1.0, 1, 3)
+        assert found["loss"] == pytest.approx(0.1053605)
     assert row_count(df).first()["n_rows"] == 4
 
 

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from patchloom.plans import registered
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -28,7 +29,7 @@ def _normal(found, columns):
     return sorted(tuple(repr(row[i]) for i in order) for row in found)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registered.QUERIES))
 def test_query(spark, duck, name):
     result = contract.queries()[name](spark, FOLDER)
     found = [tuple(r) for r in result.collect()]
