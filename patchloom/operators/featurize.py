@@ -8,7 +8,7 @@ from typing import Any
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 
@@ -46,17 +46,18 @@ def featurizer(build_model: Callable[[], Any], featurize: Callable[[Any, pd.Seri
 def predictor(build_model: Callable[[], Any], predict: Callable[[Any, np.ndarray], np.ndarray]):
     """A column function ``double`` that applies a foreign model to an array column.
 
-    Built and evaluated like :func:`featurizer`.
+    Built and evaluated like :func:`featurizer`; a null gets a null prediction.
     """
 
     @F.pandas_udf("double")
     def predictions(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = build_model()
         for batch in batches:
-            if len(batch):
-                yield pd.Series(np.asarray(predict(model, np.stack(batch.to_numpy())), np.float64))
-            else:
-                yield pd.Series([], dtype=np.float64)
+            known = batch.notna().to_numpy()
+            out = pd.Series([None] * len(batch), dtype="Float64")
+            if known.any():
+                out[known] = np.asarray(predict(model, np.stack(batch[known].to_numpy())), np.float64)
+            yield out
 
     return predictions.asNondeterministic()
 
@@ -136,15 +137,32 @@ def preprocess_images(
     return spread.mapInPandas(batches, schema)
 
 
+def image_struct() -> Column:
+    """What an image featurizer takes: the decoded pixels with their shape, as :func:`scan_images` names them."""
+    return F.struct("pixels", "height", "width", "channels")
+
+
 def image_featurizer(weights: Broadcast, height: int, width: int):
-    """Frozen image embedding of RGB bytes that share one shape.
+    """Frozen embedding of decoded images, a column function of :func:`image_struct`.
 
-    The batch is stacked and multiplied with a (height * width * 3 x n) matrix;
-    pixels stay in 0..255.
+    Grey, colour and alpha images become red-green-blue first; images of another
+    shape are resized. The batch is stacked and multiplied with a
+    (height * width * 3 x n) matrix; pixels stay in 0..255. An image without pixels has no features.
     """
 
-    def forward(matrix: np.ndarray, content: pd.Series) -> np.ndarray:
-        batch = np.stack([np.frombuffer(c, np.uint8).reshape(height, width, 3) for c in content])
-        return batch.reshape(len(batch), -1).astype(np.float64) @ matrix
+    @F.pandas_udf("array<float>")
+    def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        matrix = weights.value
+        for batch in batches:
+            out = np.full(len(batch), None, dtype=object)
+            known = np.flatnonzero(batch["pixels"].notna().to_numpy())
+            if len(known):
+                shapes = zip(*[batch[c].iloc[known] for c in ("pixels", "height", "width", "channels")], strict=True)
+                images = [to_rgb(*shape) for shape in shapes]
+                images = [i if i.shape[:2] == (height, width) else px.resize(i, height, width) for i in images]
+                rows = (np.stack(images).reshape(len(images), -1).astype(np.float64) @ matrix).astype(np.float32)
+                for place, row in zip(known, rows, strict=True):
+                    out[place] = row
+            yield pd.Series(out)
 
-    return featurizer(lambda: weights.value, forward)
+    return features.asNondeterministic()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from patchloom.functions.keys import build_key, row_id
 from patchloom.operators.gate import DEFAULT_THRESHOLDS, Threshold, enforce, gate_report
+from patchloom.operators.featurize import image_struct
 from patchloom.operators.joins import annotate
 from patchloom.operators.lookup import FeatureLookup
 from patchloom.operators.metrics import custom_metrics, metrics_long, weighted_metrics
@@ -31,18 +32,29 @@ def image_feature_rows(
     pattern: str = "*/*/*.jpg",
     with_content: bool = True,
     partitions: int | None = None,
+    rejects: str = "raise",
 ) -> DataFrame:
     """``(id, slide_id, x_center, y_center, label[, content], features)``.
 
-    Images are turned into features where they are read. The join moves
-    features and paths; neither pixels nor file bytes are shuffled, except by
-    ``partitions``, which spreads the images over more tasks for a slow model.
+    ``featurize`` is a column function of :func:`image_struct`. Only images that
+    have an annotation reach it; the planner broadcasts the annotated keys where
+    they are few. Features are made where the image was read, and the join
+    moves features and paths, except that ``partitions`` spreads the images over
+    more tasks for a slow model. A file that is no image, or whose name holds no key, ends the
+    job; with ``rejects="drop"`` it is left out, and :func:`image_rejects` lists it.
     """
-    images = scan_images(spark, root, pattern).filter("imid is not null").select("imid", "path", "pixels")
+    if rejects not in ("raise", "drop"):
+        raise ValueError(f"rejects must be 'raise' or 'drop', not {rejects!r}")
+    images = scan_images(spark, root, pattern, drop_invalid=False)
+    usable = F.col("imid").isNotNull() & (F.col("height") > 0)
+    if rejects == "raise":
+        usable = F.when(usable, True).otherwise(F.raise_error(F.concat(F.lit("not a named image: "), "path")).cast("boolean"))
+    images = images.filter(usable)
+    keyed = annotations.withColumn("imid", build_key("sid", "x_center", "y_center", strict=True))
+    images = images.join(keyed.select("imid").distinct(), "imid", "left_semi")
     if partitions:
         images = images.repartition(partitions)
-    features = images.select("imid", "path", featurize(F.col("pixels")).alias("features"))
-    keyed = annotations.withColumn("imid", build_key("sid", "x_center", "y_center", strict=True))
+    features = images.select("imid", "path", featurize(image_struct()).alias("features"))
     rows = annotate(keyed, features, "imid")
     columns = ["id", "slide_id", "x_center", "y_center", "label", "features"]
     rows = rows.withColumnRenamed("sid", "slide_id").withColumn("id", row_id("imid"))
@@ -51,6 +63,13 @@ def image_feature_rows(
     return attach_content(rows.select(*columns, "path")).select(*columns[:-1], "content", "features")
 
 
+def image_rejects(spark: SparkSession, root: str, pattern: str = "*/*/*.jpg") -> DataFrame:
+    """``(path, reason)`` of files that the image job can't use: ``invalid`` or ``unnamed``."""
+    images = scan_images(spark, root, pattern, drop_invalid=False)
+    reason = F.when(F.col("height") <= 0, "invalid").when(F.col("imid").isNull(), "unnamed")
+    return images.select("path", reason.alias("reason")).filter("reason is not null")
+
+
 def write_features(df: DataFrame, table: FeatureTable, location: str | None = None) -> DataFrame:
     """Create the feature table when it is new, upsert the rows, return the table."""
     create_feature_table(df, table, location)

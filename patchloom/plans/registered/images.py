@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from patchloom.functions.keys import box_origin, patch_name, patch_path
 from patchloom.functions.pixels import array_to_bytes
-from patchloom.operators.featurize import image_featurizer, preprocess_images, share_weights
-from patchloom.plans.jobs import image_feature_rows
+from patchloom.operators.featurize import image_featurizer, image_struct, preprocess_images, share_weights
+from patchloom.plans.jobs import image_feature_rows, image_rejects
 from patchloom.plans.registered import query, table
 from patchloom.session import scratch_path
-from patchloom.sinks.images import save_images
+from patchloom.sinks.images import raw_bitmap, save_files, save_images
 from patchloom.sources.images import attach_content, crop_images, scan_files, scan_images
 from patchloom.sources.rasters import read_boxes
 from patchloom.sources.tables import explode_array
@@ -177,34 +177,40 @@ def image_augment(spark, folder):
 
 @query(
     f"""
-    SELECT imid, j::INTEGER AS pos, sum((b * ((3 * i + j) % 5 - 2) + g * ((3 * i + 1 + j) % 5 - 2)
-             + r * ((3 * i + 2 + j) % 5 - 2)) / 4.0::DOUBLE) AS value
+    SELECT imid, j::INTEGER AS pos, sum((r * ((3 * i + j) % 5 - 2) + g * ((3 * i + 1 + j) % 5 - 2)
+             + b * ((3 * i + 2 + j) % 5 - 2)) / 4.0::DOUBLE) AS value
     FROM ({PIXEL_SQL}), unnest(range(4)) t(j) GROUP BY imid, j
     """
 )
 def image_featurize(spark, folder):
-    """A fixed linear model on the raw decoded pixels."""
+    """A fixed linear model on the red-green-blue pixels."""
     place, out = np.meshgrid(np.arange(TILE * TILE * 3), np.arange(4), indexing="ij")
     embed = image_featurizer(share_weights(spark, ((place + out) % 5 - 2) / 4.0), TILE, TILE)
     images = scan_images(spark, image_files(spark, folder), PATTERN)
-    rows = explode_array(images.select("imid", embed("pixels").alias("features")), ["imid"], "features")
+    rows = explode_array(images.select("imid", embed(image_struct()).alias("features")), ["imid"], "features")
     return rows.withColumn("value", F.col("value").cast("double"))
 
 
+BITMAP_HEADER = raw_bitmap(bytes(TILE * TILE * 3), TILE, TILE)[:54].hex()
+FEATURE_SQL = ", ".join(
+    f"sum((r * ((3 * i + {j}) % 5 - 2) + g * ((3 * i + 1 + {j}) % 5 - 2) + b * ((3 * i + 2 + {j}) % 5 - 2)) / 4.0::DOUBLE) AS f{j}"
+    for j in range(4)
+)
+
+
 @query(
     f"""
-    SELECT sha256(imid) AS id, 'slide_' || slide AS slide_id, px0 AS x_center, py0 AS y_center, label,
-           246::BIGINT AS n_bytes, sum((b * (3 * i % 5 - 2) + g * ((3 * i + 1) % 5 - 2) + r * ((3 * i + 2) % 5 - 2)) / 4.0::DOUBLE)
-             AS first_feature
+    SELECT sha256(imid) AS id, 'slide_' || slide AS slide_id, px0 AS x_center, py0 AS y_center, label, {FEATURE_SQL},
+           sha256(unhex('{BITMAP_HEADER}' || string_agg(printf('%02X%02X%02X', b, g, r), '' ORDER BY 7 - py, px))) AS content_hash
     FROM (SELECT *, (vec_id % 4 * 8)::INTEGER AS px0, (vec_id // 4 % 4 * 8)::INTEGER AS py0 FROM ({PIXEL_SQL}))
-    GROUP BY ALL
+    WHERE label < 7 GROUP BY imid, slide, px0, py0, label
     """
 )
 def image_feature_job(spark, folder):
-    """Annotations joined with featurized image files, file bytes attached at the end."""
+    """Annotations joined with featurized image files, file bytes attached at the end; some images have no annotation."""
     place, out = np.meshgrid(np.arange(TILE * TILE * 3), np.arange(4), indexing="ij")
     embed = image_featurizer(share_weights(spark, ((place + out) % 5 - 2) / 4.0), TILE, TILE)
-    annotations = tiles(spark, folder).select(
+    annotations = tiles(spark, folder).filter("label < 7").select(
         "sid", (F.col("tx") * TILE).alias("x_center"), (F.col("ty") * TILE).alias("y_center"), "label"
     )
     rows = image_feature_rows(spark, annotations, image_files(spark, folder), embed, PATTERN)
@@ -214,6 +220,26 @@ def image_feature_job(spark, folder):
         "x_center",
         "y_center",
         "label",
-        F.octet_length("content").cast("bigint").alias("n_bytes"),
-        F.get("features", F.lit(0)).cast("double").alias("first_feature"),
+        *[F.get("features", F.lit(j)).cast("double").alias(f"f{j}") for j in range(4)],
+        F.sha2("content", 256).alias("content_hash"),
     )
+
+
+@query(
+    f"""
+    SELECT 'unnamed' AS reason, vec_id FROM ({PIXEL_SQL}) WHERE vec_id % 7 = 0 GROUP BY vec_id
+    UNION ALL SELECT 'invalid', vec_id FROM ({PIXEL_SQL}) WHERE vec_id % 7 = 3 GROUP BY vec_id
+    """
+)
+def image_rejects_listed(spark, folder):
+    """Files whose names hold no key, and files that are no images, among good ones."""
+    root = scratch_path(spark, "rejects")
+    kind = F.col("vec_id") % 7
+    name = F.when(kind == 0, F.format_string("tile%d", "vec_id")).otherwise(F.format_string("t_%d-1-1", "vec_id"))
+    path = patch_path(F.concat(F.lit(f"{root}/"), "sid", F.lit("/0")), name, "bmp")
+    named = tiles(spark, folder).withColumn("path", path)
+    save_images(named, "path", "pixels", TILE, TILE, ["vec_id"]).write.format("noop").mode("overwrite").save()
+    broken = named.filter(kind == 3).select("path", F.lit(b"no image").alias("content"))
+    save_files(broken, "path", "content").write.format("noop").mode("overwrite").save()
+    found = image_rejects(spark, root, PATTERN)
+    return found.select("reason", F.regexp_extract("path", r"/t(?:ile|_)(\d+)[^/]*$", 1).cast("bigint").alias("vec_id"))

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
-from patchloom.sources.files import open_location
+from patchloom.sources.files import Opener
 
 
 def raw_bitmap(pixels: bytes, height: int, width: int) -> bytes:
@@ -27,6 +27,25 @@ def raw_bitmap(pixels: bytes, height: int, width: int) -> bytes:
     return header + info + body
 
 
+class FileWriter:
+    """Writes whole files under a temporary name and moves them; one client per scheme and host, folders made once."""
+
+    def __init__(self) -> None:
+        self.open = Opener()
+        self.folders: set[str] = set()
+
+    def __call__(self, target: str, data: bytes) -> None:
+        filesystem, location = self.open(target)
+        folder, name = location.rsplit("/", 1)
+        if folder not in self.folders:
+            filesystem.create_dir(folder, recursive=True)
+            self.folders.add(folder)
+        partial = f"{folder}/.{name}.{uuid.uuid4().hex}"
+        with filesystem.open_output_stream(partial) as stream:
+            stream.write(data)
+        filesystem.move(partial, location)
+
+
 def save_images(df: DataFrame, path: str, pixels: str, height: int, width: int, keep: list[str]) -> DataFrame:
     """Write each row's RGB pixels to the file its ``path`` column names.
 
@@ -36,19 +55,24 @@ def save_images(df: DataFrame, path: str, pixels: str, height: int, width: int,
     """
     schema = StructType([df.schema[c] for c in keep] + [StructField(path, StringType())])
 
-    def write(target: str, data: bytes) -> None:
-        filesystem, location = open_location(target)
-        folder, name = location.rsplit("/", 1)
-        filesystem.create_dir(folder, recursive=True)
-        partial = f"{folder}/.{name}.{uuid.uuid4().hex}"
-        with filesystem.open_output_stream(partial) as stream:
-            stream.write(data)
-        filesystem.move(partial, location)
-
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        write = FileWriter()
         for frame in frames:
             for target, data in zip(frame[path], frame[pixels]):
                 write(target, raw_bitmap(data, height, width))
             yield frame[[*keep, path]]
 
     return df.select(*keep, path, pixels).mapInPandas(batches, schema)
+
+
+def save_files(df: DataFrame, path: str, content: str) -> DataFrame:
+    """Write each row's bytes to the file its ``path`` column names; returns the paths, lazily like :func:`save_images`."""
+
+    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        write = FileWriter()
+        for frame in frames:
+            for target, data in zip(frame[path], frame[content]):
+                write(target, data)
+            yield frame[[path]]
+
+    return df.select(path, content).mapInPandas(batches, StructType([StructField(path, StringType())]))

@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from patchloom.functions.keys import PATCH_KEY_PATTERN, parse_key
-from patchloom.sources.files import open_location
+from patchloom.sources.files import Opener
+
+# File bytes that one Arrow batch holds, about.
+BATCH_BYTES = 64 << 20
 
 
 def _placed(root: str, pattern: str) -> tuple[str, str | None]:
@@ -71,14 +74,23 @@ def attach_content(df: DataFrame, path: str = "path", content: str = "content")
     """Add the bytes of the file each row names, read in the row's own task."""
     schema = StructType(df.schema.fields + [StructField(content, BinaryType())])
 
-    def read(path_value: str) -> bytes:
-        filesystem, location = open_location(path_value)
-        with filesystem.open_input_stream(location) as stream:
-            return stream.read()
-
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        opener = Opener()
+
+        def read(path_value: str) -> bytes:
+            filesystem, location = opener(path_value)
+            with filesystem.open_input_stream(location) as stream:
+                return stream.read()
+
         for frame in frames:
-            yield frame.assign(**{content: [read(p) for p in frame[path]]})
+            # Handed on by size: Arrow's binary columns hold at most 2 GB.
+            bodies, held, first = [], 0, 0
+            for place, one in enumerate(frame[path]):
+                bodies.append(read(one))
+                held += len(bodies[-1])
+                if held >= BATCH_BYTES or place + 1 == len(frame):
+                    yield frame.iloc[first : place + 1].assign(**{content: bodies})
+                    bodies, held, first = [], 0, place + 1
 
     return df.mapInPandas(batches, schema)
 

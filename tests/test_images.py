@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from patchloom.functions import pixels as px
 from patchloom.functions.keys import patch_name, patch_path
-from patchloom.operators.featurize import image_featurizer, preprocess_images, share_weights
+from patchloom.operators.featurize import image_featurizer, image_struct, preprocess_images, share_weights
 from patchloom.operators.joins import annotate_files
-from patchloom.plans.jobs import image_feature_rows
+from patchloom.plans.jobs import image_feature_rows, image_rejects
 from patchloom.sinks.images import raw_bitmap, save_images
 from patchloom.sources.batches import map_batches, materialise
+from patchloom.sources.files import Opener
 from patchloom.sources.images import attach_content, crop_images, cut_box, scan_files, scan_images, to_rgb
 from patchloom.sources.rasters import boxes_to_tiles, read_boxes
 from patchloom.sources.tables import read_indexed_csv, scan_path, scan_sql, scan_table
@@ -104,15 +105,50 @@ def test_annotated_files(spark, gallery):
         name: png(images[name]) for name in ("slide_0-0-5", "slide_3-30-5")
     }
     embed = image_featurizer(share_weights(spark, np.ones((192, 1))), 8, 8)
-    features = image_feature_rows(spark, annotations, root, embed, "*/*/*.png", partitions=3)
+    with pytest.raises(Exception, match="not a named image"):
+        image_feature_rows(spark, annotations, root, embed, "*/*/*.png").collect()
+    assert [(r["path"].rsplit("/", 1)[-1], r["reason"]) for r in image_rejects(spark, root, "*/*/*.png").collect()] == [("slide_9-1-1.png", "invalid")]
+    features = image_feature_rows(spark, annotations, root, embed, "*/*/*.png", partitions=3, rejects="drop")
     assert features.columns == ["id", "slide_id", "x_center", "y_center", "label", "content", "features"]
     assert {r["slide_id"]: r["features"] for r in features.collect()} == {
         "slide_0": [float(images["slide_0-0-5"].sum())], "slide_3": [float(images["slide_3-30-5"].sum())],
     }
-    slim = image_feature_rows(spark, annotations, root, embed, "*/*/*.png", with_content=False)
+    slim = image_feature_rows(spark, annotations, root, embed, "*/*/*.png", with_content=False, rejects="drop")
     assert slim.columns == ["id", "slide_id", "x_center", "y_center", "label", "features"]
 
 
+def test_only_annotated_images_reach_the_model(spark, gallery):
+    root, images = gallery
+    annotations = spark.createDataFrame([("slide_0", 0, 5, 1)], "sid string, x_center int, y_center int, label int")
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("array<float>")
+    def embed(batch: pd.DataFrame) -> pd.Series:
+        seen.add(len(batch))
+        return pd.Series([[1.0]] * len(batch))
+
+    found = image_feature_rows(spark, annotations, root, embed, "*/*/*.png", with_content=False, rejects="drop")
+    assert found.count() == 1 and found.select("features").collect() and seen.value == 1
+
+
+def test_featurizer_takes_any_channels_and_shape(spark):
+    rng = np.random.default_rng(8)
+    grey, colour, alpha, large = (rng.integers(0, 256, s, np.uint8) for s in ((4, 4, 1), (4, 4, 3), (4, 4, 4), (8, 8, 3)))
+    rows = [(i, bytearray(p.tobytes()), *p.shape) for i, p in enumerate((grey, colour, alpha, large))] + [(9, None, None, None, None)]
+    frame = spark.createDataFrame(rows, "k int, pixels binary, height int, width int, channels int")
+    weights = rng.normal(size=(48, 2))
+    embed = image_featurizer(share_weights(spark, weights), 4, 4)
+    found = {r["k"]: r["f"] for r in frame.select("k", embed(image_struct()).alias("f")).collect()}
+    for k, image in enumerate((np.repeat(grey, 3, axis=2), colour[:, :, ::-1], alpha[:, :, 2::-1], px.resize(large[:, :, ::-1], 4, 4))):
+        assert found[k] == pytest.approx(image.reshape(-1).astype(float) @ weights, rel=1e-5)
+    assert found[9] is None
+
+
+def test_file_systems_of_stores():
+    opener = Opener()
+    assert opener("/a/b")[1] == "/a/b" and opener("file:///a/b")[1] == "/a/b" and opener("dbfs:/x/y")[1] == "/dbfs/x/y"
+
+
 @pytest.mark.parametrize("shape", [(8, 8), (3, 5)])
 def test_saved_images_read_back(spark, tmp_path, shape):
     height, width = shape
