@@ -1,7 +1,8 @@
 """One-hot and standard-scale encoders with a ``fit`` step.
 
 ``fit`` is a single aggregate over the data. What returns to the driver is one row
-per category, refused, not cut, beyond ``max_categories``.
+per category, refused, not cut, beyond ``max_categories``: a dense one-hot row is
+as wide as that. :func:`category_places` numbers any number of values in a table.
 """
 
 from __future__ import annotations
@@ -10,10 +11,14 @@ import json
 import math
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
+from datetime import date, datetime
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from patchloom.sources.batches import materialise
+
 
 def _sorted_categories(values: list) -> tuple:
     """Natural order of the type, null last."""
@@ -123,6 +128,50 @@ def standard_scale(column: Column, moments: Moments) -> Column:
     return (column.cast("double") - F.lit(moments.mean)) / F.lit(moments.std or 1.0)
 
 
+# Category types that JSON lacks, by the name under which their text is kept.
+_KINDS = {"decimal": Decimal, "timestamp": datetime.fromisoformat, "date": date.fromisoformat}
+
+
+def _tagged(value) -> dict[str, str]:
+    if isinstance(value, Decimal):
+        return {"decimal": str(value)}
+    if isinstance(value, datetime):
+        return {"timestamp": value.isoformat()}
+    if isinstance(value, date):
+        return {"date": value.isoformat()}
+    raise TypeError(f"a category of type {type(value).__name__} can't be kept as text")
+
+
+def _untagged(value):
+    if isinstance(value, dict):
+        ((kind, text),) = value.items()
+        return _KINDS[kind](text)
+    return value
+
+
+def category_places(df: DataFrame, column: str) -> DataFrame:
+    """(column, place): every distinct value with its number in sorted order, from 0, null last; any number of values.
+
+    Values are sorted and stored in ranges; a value's number is its place in
+    its range plus the sizes of the ranges before. Nothing but those sizes, one
+    per partition, is in one place.
+    """
+    ordered = df.select(column).distinct().orderBy(F.col(column).asc_nulls_last())
+    rows = materialise(ordered.withColumn("_row", F.monotonically_increasing_id()))
+    part = F.shiftright("_row", 33)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    place = F.col("_offset") + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.withColumn("_part", part).join(offsets, "_part").select(column, place.alias("place"))
+
+
+def with_places(df: DataFrame, column: str, places: DataFrame, output: str = "place") -> DataFrame:
+    """``df`` with the place of each row's value, which is all that a one-hot row of any width holds; null if unseen."""
+    right = places.select(F.col(column).alias("_value"), F.col("place").alias(output))
+    return df.join(right, df[column].eqNullSafe(F.col("_value")), "left").drop("_value")
+
+
 @dataclass(frozen=True)
 class ColumnEncoder:
     """Fitted encoder: one-hot blocks in the given order, then the scaled columns."""
@@ -159,13 +208,13 @@ class ColumnEncoder:
         return df.select(*keep, self.features().alias(output))
 
     def to_json(self) -> str:
-        return json.dumps(asdict(self))
+        return json.dumps(asdict(self), default=_tagged)
 
     @classmethod
     def from_json(cls, text: str) -> ColumnEncoder:
         raw = json.loads(text)
         return cls(
-            {c: tuple(values) for c, values in raw["categories"].items()},
+            {c: tuple(_untagged(v) for v in values) for c, values in raw["categories"].items()},
             {c: Moments(**m) for c, m in raw["moments"].items()},
             raw["unseen"],
         )

@@ -10,8 +10,10 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol
 from pyspark.ml.regression import LinearRegression
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
@@ -37,29 +39,34 @@ def classifier(features: str = "features", label: str = "label", **settings) ->
     )
 
 
-class RidgeRegression(Estimator, HasFeaturesCol, HasLabelCol):
+class RidgeRegression(Estimator, HasFeaturesCol, HasLabelCol, DefaultParamsReadable, DefaultParamsWritable):
     """Linear regression minimising ``mean((y - wx - b)^2) / 2 + penalty * |w|^2 / 2``.
 
-    Solved by the normal equations in one pass (up to 4096 features). Spark
+    Up to 4,096 features it is solved by the normal equations in one pass, beyond
+    that by quasi-Newton steps to a tight tolerance; Spark chooses. Spark
     divides its penalty by the label's standard deviation, so that is measured
     first and multiplied back in.
     """
 
+    penalty = Param(Params._dummy(), "penalty", "weight of the squared coefficients", TypeConverters.toFloat)
+
     @keyword_only
     def __init__(self, *, featuresCol: str = "feature", labelCol: str = "label", penalty: float = REGRESSION_PENALTY):
         super().__init__()
-        self.penalty = penalty
-        self._set(featuresCol=featuresCol, labelCol=labelCol)
+        self._setDefault(featuresCol="feature", labelCol="label", penalty=REGRESSION_PENALTY)
+        self._set(featuresCol=featuresCol, labelCol=labelCol, penalty=penalty)
 
     def _fit(self, dataset: DataFrame):
         spread = dataset.agg(F.stddev_pop(self.getLabelCol()).alias("std")).first()["std"]
         return LinearRegression(
             featuresCol=self.getFeaturesCol(),
             labelCol=self.getLabelCol(),
-            regParam=self.penalty * (spread or 0.0),
+            regParam=self.getOrDefault(self.penalty) * (spread or 0.0),
             elasticNetParam=0.0,
             standardization=False,
-            solver="normal",
+            solver="auto",
+            maxIter=1000,
+            tol=1e-10,
         ).fit(dataset)
 
 

@@ -6,7 +6,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from patchloom.functions.encode import ColumnEncoder, fit_categories, fit_moments, one_hot, standard_scale
+from patchloom.functions.encode import ColumnEncoder, category_places, fit_categories, fit_moments, one_hot, standard_scale, with_places
 from patchloom.functions.pixels import normalize_channels, scale_to_unit
 from patchloom.functions.times import (
     ceil_minutes,
@@ -306,3 +306,10 @@ def foreign_model_prediction(spark, folder):
     predict = predictor(lambda: weights.value, lambda w, batch: batch.astype(float) @ w + 0.5)
     rows = table(spark, folder, "embeddings", "vec_id", "embedding")
     return rows.select("vec_id", F.round(predict("embedding"), 6).alias("prediction"))
+
+
+@query("SELECT o_orderkey, o_custkey, dense_rank() OVER (ORDER BY o_orderkey) - 1 AS place FROM orders")
+def category_places_large(spark, folder):
+    """One category per order: numbered in a table and joined, with nothing on the driver."""
+    orders = table(spark, folder, "orders", "o_orderkey", "o_custkey")
+    return with_places(orders, "o_orderkey", category_places(orders, "o_orderkey"))

@@ -20,13 +20,12 @@ SPLIT_SQL = (
 )
 
 
-@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 250000")
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def path_scan(spark, folder):
-    orders = scan_path(spark, f"{folder}/orders.parquet", ["o_orderkey", "o_custkey", "o_totalprice"])
-    return orders.filter(F.col("o_totalprice") > 250000)
+    return scan_path(spark, f"{folder}/orders.parquet", ["o_orderkey", "o_custkey", "o_totalprice"])
 
 
-@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_acctbal > 0")
+@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def catalog_table_scan(spark, folder):
     customers = table(spark, folder, "customer")
     ensure_schema(spark, "patchloom_scans")
@@ -34,13 +33,13 @@ def catalog_table_scan(spark, folder):
     name = f"patchloom_scans.{location.rsplit('/', 1)[-1].replace('-', '_')}"
     # The second write replaces the rows of the first.
     overwrite_table(customers.filter("c_acctbal <= 0"), name, location=location)
-    overwrite_table(customers.filter("c_acctbal > 0"), name, location=location)
+    overwrite_table(customers, name, location=location)
     return scan_table(spark, name)
 
 
-@query("SELECT vec_id, label FROM embeddings WHERE label >= 3")
+@query("SELECT vec_id, label, label >= 3 AS high FROM embeddings")
 def sql_text_source(spark, folder):
-    text = f"SELECT vec_id, label FROM parquet.`{folder}/embeddings.parquet` WHERE label >= :low"
+    text = f"SELECT vec_id, label, label >= :low AS high FROM parquet.`{folder}/embeddings.parquet`"
     return scan_sql(spark, text, {"low": 3})
 
 
@@ -167,16 +166,16 @@ def unmatched_keys(spark, folder):
 
 @query(
     """
-    SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity <> 13 THEN l_quantity END AS l_quantity, l_extendedprice
-    FROM lineitem
-    WHERE l_quantity > 5 AND l_quantity < 40 AND l_quantity <> 13 AND l_extendedprice > 0 AND l_extendedprice < 30000
+    SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_tax FROM lineitem
+    WHERE l_quantity > 5 AND l_quantity < 40 AND l_extendedprice > 0 AND l_extendedprice < 30000
+          AND l_orderkey % 5 <> 0 AND l_orderkey % 7 <> 0
     """
 )
 def clean_rows(spark, folder):
-    lines = table(spark, folder, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
-    # Some values are made null, some NaN; neither may stay.
-    quantity = F.when(F.col("l_quantity") != 13, F.col("l_quantity"))
-    lines = lines.withColumn("l_quantity", quantity)
+    lines = table(spark, folder, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax")
+    # Some values of a column without a range are null, some NaN; neither may stay.
+    tax = F.when(F.col("l_orderkey") % 7 == 0, float("nan")).otherwise(F.col("l_tax"))
+    lines = lines.withColumn("l_tax", F.when(F.col("l_orderkey") % 5 != 0, tax))
     return clean_ranges(lines, {"l_quantity": (5, 40), "l_extendedprice": (0, 30000)})
 
 

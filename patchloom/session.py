@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -16,10 +16,6 @@ SESSION_DEFAULTS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
 }
 
-# Application id -> folder made for a local session that names no shared one.
-_local_scratch: dict[str, str] = {}
-
-
 def get_session(app_name: str = "patchloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators assume; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)
@@ -34,20 +30,15 @@ def get_session(app_name: str = "patchloom", master: str | None = None, **conf:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A local session without that setting gets a temporary folder; on a cluster
-    the setting is required, because a machine-local folder is not visible to
-    the other executors and is lost with the machine.
+    A session with a local master and without that setting gets a folder below its warehouse;
+    on a cluster the setting is required, because all executors must see the folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = context.applicationId
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="patchloom-")
-    return _local_scratch[app]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
