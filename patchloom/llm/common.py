@@ -26,6 +26,24 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Bytes of rows handed to Python at once; a longer text goes alone.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after lowering the session's Arrow batches to BATCH_BYTES where they are larger.
+
+    Texts vary in length by orders of magnitude, so rows bound nothing; a task
+    holds a few batches on either side of the pipe to Python.
+    """
+    conf = df.sparkSession.conf
+    now = conf.get(_BATCH_SETTING).removesuffix("b")
+    if not now.lstrip("-").isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
+    return df
+
+
 def text_of(column: str) -> Column:
     """The text with null as empty."""
     return F.coalesce(F.col(column), F.lit(""))
