@@ -2,13 +2,14 @@
 
 A raster too large for one file read is a table of tiles
 ``(sid, level, tx, ty, pixels)``, each ``tile x tile`` RGB pixels, ``tx``/``ty``
-counted in tiles. A box read becomes an equi-join on the tile address: the work
+counted in tiles. Smaller tiles, as at a raster's far edges, have their shape in
+the columns ``h`` and ``w``. A box read becomes an equi-join on the tile address: the work
 is spread over tiles, and no task ever holds a whole raster.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -22,18 +23,22 @@ from patchloom.operators.skew import lookup_join
 ADDRESS = ["sid", "level", "tx", "ty"]
 
 
-def boxes_to_tiles(boxes: DataFrame, size: int, tile: int, downsample: int = 1) -> DataFrame:
+def boxes_to_tiles(boxes: DataFrame, size: int, tile: int, downsample: int | Mapping[int, int] = 1) -> DataFrame:
     """One row per tile a box touches, with the box origin in level pixels.
 
-    ``x_center``, ``y_center`` are level-0 coordinates. A box touches at most
+    ``x_center``, ``y_center`` are level-0 coordinates. ``downsample`` is how many
+    of those a pixel of the level spans, one number or one per level; a level that is not in
+    the mapping is an error. A box touches at most
     ``(size / tile + 2) ** 2`` tiles, whatever the raster holds.
     """
-    origin = boxes.withColumns(
-        {
-            "x0": F.floor(box_origin("x_center", size, downsample) / F.lit(downsample)).cast("int"),
-            "y0": F.floor(box_origin("y_center", size, downsample) / F.lit(downsample)).cast("int"),
-        }
-    )
+    def start(centre: str):
+        if not isinstance(downsample, Mapping):
+            return F.floor(box_origin(centre, size, downsample) / F.lit(downsample)).cast("int")
+        unknown = F.raise_error(F.concat(F.lit("no downsample for level "), F.col("level").cast("string"))).cast("int")
+        cases = [F.when(F.col("level") == k, F.floor(box_origin(centre, size, d) / F.lit(d)).cast("int")) for k, d in downsample.items()]
+        return F.coalesce(*cases, unknown)
+
+    origin = boxes.withColumns({"x0": start("x_center"), "y0": start("y_center")})
 
     def span(start: str):
         first = F.floor(F.col(start) / tile).cast("int")
@@ -50,7 +55,7 @@ def read_boxes(
     tile: int,
     key: str = "patch_id",
     keep: Sequence[str] = (),
-    downsample: int = 1,
+    downsample: int | Mapping[int, int] = 1,
     salts: int = 1,
 ) -> DataFrame:
     """Patches as ``(key, *keep, pixels)`` for boxes ``(key, sid, level, x_center, y_center)``.
@@ -60,26 +65,30 @@ def read_boxes(
     what is shuffled and grouped is the patch area and not whole tiles.
     ``salts`` spreads tiles that very many boxes ask for.
     """
-    touched = boxes_to_tiles(boxes, size, tile, downsample).select(key, *keep, *ADDRESS, "x0", "y0")
-    joined = lookup_join(touched, tiles.select(*ADDRESS, "pixels"), ADDRESS, salts=salts)
+    touched = boxes_to_tiles(boxes, size, tile, downsample).select(*dict.fromkeys([key, *keep, *ADDRESS, "x0", "y0"]))
+    # Whole tiles need no shape.
+    shape = [(F.col(c) if c in tiles.columns else F.lit(tile)).cast("int").alias(f"_{c}") for c in ("h", "w")]
+    joined = lookup_join(touched, tiles.select(*ADDRESS, "pixels", *shape), ADDRESS, salts=salts)
 
     def overlaps(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             parts = []
-            for p, tx, ty, x0, y0 in zip(frame["pixels"], frame["tx"], frame["ty"], frame["x0"], frame["y0"]):
+            columns = [frame[c] for c in ("pixels", "_h", "_w", "tx", "ty", "x0", "y0")]
+            for p, h, w, tx, ty, x0, y0 in zip(*columns):
                 if p is None:
                     parts.append(None)
                     continue
                 left, top = max(x0 - tx * tile, 0), max(y0 - ty * tile, 0)
                 right, bottom = min(x0 + size - tx * tile, tile), min(y0 + size - ty * tile, tile)
-                parts.append(
-                    np.frombuffer(p, np.uint8).reshape(tile, tile, 3)[top:bottom, left:right].tobytes()
-                )
+                part = np.zeros((bottom - top, right - left, 3), np.uint8)
+                own = np.frombuffer(p, np.uint8).reshape(int(h), int(w), 3)[top:bottom, left:right]
+                part[: own.shape[0], : own.shape[1]] = own
+                parts.append(part.tobytes())
             yield frame.assign(pixels=parts)
 
     cut = joined.mapInPandas(overlaps, joined.schema)
-    # At most (size / tile + 2) ** 2 parts per patch.
-    parts = cut.groupBy(key, *keep, "x0", "y0").agg(
+    # At most (size / tile + 2) ** 2 parts per patch; one key may name boxes of several rasters.
+    parts = cut.groupBy(*dict.fromkeys([key, *keep, "sid", "level", "x0", "y0"])).agg(
         F.collect_list(F.struct("tx", "ty", "pixels")).alias("parts")
     )
     kept = [parts.schema[c] for c in [key, *keep]]

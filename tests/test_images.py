@@ -267,3 +267,27 @@ def test_materialise_and_batches(spark, rows):
         return pd.DataFrame({"twice": frame["id"] * 2})
 
     assert rows(map_batches(stored, double, "twice bigint", partitions=3)) == sorted([(2 * i,) for i in range(10)], key=repr)
+
+
+def test_boxes_over_edge_tiles_levels_and_equal_keys(spark):
+    """Two rasters with two levels each, 10 x 7 and 5 x 4 pixels in tiles of 4, and one key for all boxes."""
+    rng = np.random.default_rng(6)
+    stored, images = [], {}
+    for sid in ("a", "b"):
+        for level, (height, width) in enumerate([(7, 10), (4, 5)]):
+            image = images[sid, level] = rng.integers(0, 256, (height, width, 3), np.uint8)
+            for ty in range(0, height, 4):
+                for tx in range(0, width, 4):
+                    part = image[ty : ty + 4, tx : tx + 4]
+                    stored.append((sid, level, tx // 4, ty // 4, bytearray(part.tobytes()), *part.shape[:2]))
+    tiles = spark.createDataFrame(stored, "sid string, level int, tx int, ty int, pixels binary, h int, w int")
+    boxes = spark.createDataFrame([("p", s, v, 6, 4) for s in "ab" for v in (0, 1)], "patch_id string, sid string, level int, x_center int, y_center int")
+    found = read_boxes(tiles, boxes, 6, 4, keep=["sid", "level"], downsample={0: 1, 1: 2}).collect()
+    assert len(found) == 4
+    for r in found:
+        x0, y0 = (3, 1) if r["level"] == 0 else (0, -1)
+        assert bytes(r["pixels"]) == cut_box(images[r["sid"], r["level"]], x0, y0, 6).tobytes()
+    plain = read_boxes(tiles, boxes, 6, 4, downsample={0: 1, 1: 2})
+    assert plain.count() == 4
+    with pytest.raises(Exception, match="no downsample"):
+        read_boxes(tiles, boxes, 6, 4, downsample={0: 1}).collect()
