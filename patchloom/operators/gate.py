@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+# The header of the metric table.
+HEADER = ("metric_name", "candidate", "baseline")
+
 RUN_MODES = ("disabled", "dry_run", "enabled")
 
 
@@ -76,3 +80,17 @@ def report_lines(report: DataFrame) -> DataFrame:
     shown = F.coalesce(F.col("baseline").cast("string"), F.lit("N/A"))
     value = F.coalesce(F.col("candidate").cast("string"), F.lit("N/A"))
     return report.select(F.format_string("%-30s  %-30s  %s", F.col("metric_name"), value, shown).alias("line"))
+
+
+def report_text(report: DataFrame) -> DataFrame:
+    """``(part, place, line)``: the text of the threshold list and of the metric table with its header.
+
+    Lines of a part are read by ``place`` and then by their text. A rule without
+    a metric is in the first part only, a metric without a rule in the second only.
+    """
+    known = report.filter("candidate is not null or threshold is null")
+    header = report.sparkSession.range(1).select(F.format_string("%-30s  %-30s  %s", *map(F.lit, HEADER)).alias("line"))
+    rule = F.format_string("%-30s  %s", F.col("metric_name"), F.col("threshold").cast("string"))
+    rules = report.filter("threshold is not null").select(rule.alias("line"))
+    parts = [("thresholds", 1, rules), ("metrics", 0, header), ("metrics", 1, report_lines(known))]
+    return reduce(DataFrame.unionByName, [p.select(F.lit(name).alias("part"), F.lit(place).alias("place"), "line") for name, place, p in parts])

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from patchloom.functions.vectors import argmax
-from patchloom.operators.gate import Threshold, gate_report, report_lines
+from patchloom.operators.gate import Threshold, gate_report, report_text
 from patchloom.operators.metrics import (
     baseline_comparison,
     confusion,
@@ -119,15 +119,18 @@ def gate_verdicts(spark, folder):
 
 @query(
     f"""
-    WITH {METRICS_SQL} SELECT rpad(metric_name, 30, ' ') || '  ' || rpad(printf('%.6f', candidate), 30, ' ') || '  N/A' AS line
-    FROM wide
+    WITH {METRICS_SQL} SELECT 'metrics' AS part, 1 AS place,
+           rpad(metric_name, 30, ' ') || '  ' || rpad(printf('%.6f', candidate), 30, ' ') || '  N/A' AS line FROM wide
+    UNION ALL SELECT 'metrics', 0, rpad('metric_name', 30, ' ') || '  ' || rpad('candidate', 30, ' ') || '  baseline'
+    UNION ALL SELECT 'thresholds', 1, rpad(name, 30, ' ') || '  ' || value
+    FROM (VALUES ('accuracy', '0.8'), ('f1_score', '0.5'), ('recall', '0.999'), ('precision', '0.4'), ('auc', '0.7')) v(name, value)
     """
 )
 def gate_text(spark, folder):
     long = metrics_long(weighted_metrics(scored(spark, folder)))
     rows = long.select("metric_name", F.col("value").alias("candidate"))
-    shown = gate_report(rows, ()).withColumn("candidate", F.format_string("%.6f", F.col("candidate")))
-    return report_lines(shown)
+    text = F.when(F.col("candidate").isNotNull(), F.format_string("%.6f", F.col("candidate")))
+    return report_text(gate_report(rows, RULES).withColumn("candidate", text))
 
 
 @query(
