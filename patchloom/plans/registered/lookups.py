@@ -42,6 +42,28 @@ def feature_table_upsert(spark, folder):
     return write_features(updates, spec, location)
 
 
+@query(
+    """
+    SELECT CASE WHEN o_orderkey % 5 > 0 THEN 0 ELSE o_custkey END AS k, o_orderkey AS t,
+           CASE WHEN o_orderkey % 4 = 0 THEN o_totalprice + 100 ELSE o_totalprice END AS price FROM orders
+    """
+)
+def timed_upsert_hot_key(spark, folder):
+    """Most rows of a timed table have one key; a quarter of them is replaced."""
+    orders = table(spark, folder, "orders", "o_orderkey", "o_custkey", "o_totalprice")
+    rows = orders.select(
+        F.when(F.col("o_orderkey") % 5 > 0, 0).otherwise(F.col("o_custkey")).alias("k"),
+        F.col("o_orderkey").alias("t"),
+        F.col("o_totalprice").alias("price"),
+    )
+    location = scratch_path(spark, "timed_features")
+    name = f"patchloom_features.{location.rsplit('/', 1)[-1].replace('-', '_')}"
+    spec = FeatureTable(name, ("k",), time_key="t", buckets=8)
+    write_features(rows, spec, location)
+    changed = rows.filter("t % 4 = 0").withColumn("price", F.col("price") + 100)
+    return write_features(changed, spec, location)
+
+
 @query(
     """
     SELECT o_orderkey, o_totalprice, c_acctbal, c_mktsegment

@@ -1,14 +1,15 @@
 """Keyed feature tables: create, upsert, read.
 
 A feature table is a catalog table whose rows are identified by a primary key.
-It is partitioned by a hash bucket of that key, so an upsert reads and replaces
-only the buckets its batch touches; the others are not opened. The key list is
-kept in the table properties.
+It is partitioned by a hash bucket of its whole key, time key included, so an
+upsert reads and replaces only the buckets its batch touches, and all times of a
+busy key are spread over the buckets. A bucket is written by as many tasks as
+its bytes ask for. The key list is kept in the table properties.
 
 An upsert first writes its merged buckets to the shared scratch folder and then
-replaces the touched partitions from there. If the driver is lost while the
-partitions are replaced, :func:`publish` repeats that last step; repeating a
-whole upsert is safe too, since equal keys replace each other.
+replaces the touched partitions from there. While that lasts, the table property
+``patchloom.pending`` names the staged folder. If it fails, :func:`publish`
+repeats that last step; repeating a whole upsert is safe too, since equal keys replace each other.
 """
 
 from __future__ import annotations
@@ -29,6 +30,9 @@ BUCKET = "_bucket"
 KEYS_PROPERTY = "patchloom.primary_keys"
 TIME_PROPERTY = "patchloom.time_key"
 BUCKETS_PROPERTY = "patchloom.buckets"
+# Tables made before the time key took part lack this property and keep their layout.
+LAYOUT_PROPERTY = "patchloom.bucket_by"
+PENDING_PROPERTY = "patchloom.pending"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 # The keys of an update batch are broadcast when their measured size, with
@@ -37,6 +41,10 @@ OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 128
 
+# Stored bytes that one task writes into a bucket, about.
+FILE_BYTES = 256 * 1024 * 1024
+_FILE = "_file"
+
 
 class KeyViolation(ValueError):
     """A primary key is null or occurs more than once."""
@@ -55,14 +63,16 @@ class FeatureTable:
     primary_keys: tuple[str, ...]
     time_key: str | None = None
     buckets: int = 16
+    bucket_by_time: bool = True
 
     @property
     def all_keys(self) -> tuple[str, ...]:
         return self.primary_keys + ((self.time_key,) if self.time_key else ())
 
     def bucket(self) -> Column:
-        """Bucket of a row; by the primary key only, so all times of a key are together."""
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.primary_keys]), F.lit(self.buckets)).cast("int")
+        """Bucket of a row, by its whole key."""
+        keys = self.all_keys if self.bucket_by_time else self.primary_keys
+        return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(self.buckets)).cast("int")
 
 
 def describe(spark: SparkSession, name: str) -> FeatureTable:
@@ -76,6 +86,7 @@ def describe(spark: SparkSession, name: str) -> FeatureTable:
         parse_keys(properties[KEYS_PROPERTY]),
         properties.get(TIME_PROPERTY),
         int(properties[BUCKETS_PROPERTY]),
+        properties.get(LAYOUT_PROPERTY) == "all",
     )
 
 
@@ -110,6 +121,7 @@ def create_feature_table(
         return existing
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema)
     properties = {KEYS_PROPERTY: ",".join(table.primary_keys), BUCKETS_PROPERTY: str(table.buckets)}
+    properties[LAYOUT_PROPERTY] = "all" if table.bucket_by_time else "primary"
     if table.time_key:
         properties[TIME_PROPERTY] = table.time_key
     listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
@@ -143,18 +155,31 @@ def merge_rows(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> Da
     return kept.select(*updates.columns).unionByName(updates)
 
 
-def _merge_by_shuffle(target: DataFrame, updates: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+def _by_file(df: DataFrame, keys: Sequence[str], n_buckets: int, stored_bytes: int) -> DataFrame:
+    """Rows dealt to the tasks that write their bucket, FILE_BYTES each; column ``_file`` tells a bucket's tasks apart."""
+    files = max(1, -(-stored_bytes // (FILE_BYTES * max(1, n_buckets))))
+    share = F.pmod(F.xxhash64(F.lit("file"), *keys), F.lit(files)).cast("int")
+    return df.withColumn(_FILE, share).repartition(files * max(1, n_buckets), BUCKET, _FILE)
+
+
+def _merge_by_shuffle(target: DataFrame, updates: DataFrame, keys: Sequence[str], n_buckets: int, stored_bytes: int) -> DataFrame:
     """``merge_rows`` with one shuffle on the bucket that the write needs anyway."""
     both = target.withColumn("_newer", F.lit(0)).unionByName(updates.withColumn("_newer", F.lit(1)))
-    newest = Window.partitionBy(BUCKET, *keys).orderBy(F.desc("_newer"))
+    newest = Window.partitionBy(BUCKET, _FILE, *keys).orderBy(F.desc("_newer"))
     return (
-        both.repartition(buckets, BUCKET)
+        _by_file(both, keys, n_buckets, stored_bytes)
         .withColumn("_rank", F.row_number().over(newest))
         .filter("_rank = 1")
-        .drop("_rank", "_newer")
+        .drop("_rank", "_newer", _FILE)
     )
 
 
+def stored_size(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below a path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
 def publish(spark: SparkSession, name: str, merged_path: str, gather: bool = False) -> None:
     """Replace the buckets present in ``merged_path``; safe to repeat.
 
@@ -164,18 +189,41 @@ def publish(spark: SparkSession, name: str, merged_path: str, gather: bool = Fal
     target = spark.table(name)
     merged = spark.read.schema(target.schema).parquet(merged_path).select(*target.columns)
     if gather:
-        merged = merged.repartition(BUCKET)
+        keys = describe(spark, name).all_keys
+        n_buckets = merged.select(BUCKET).distinct().count()
+        merged = _by_file(merged, keys, n_buckets, stored_size(spark, merged_path)).select(*target.columns)
+    spark.sql(f"ALTER TABLE {quoted(name)} SET TBLPROPERTIES ('{PENDING_PROPERTY}' = '{merged_path}')")
     before = spark.conf.get(OVERWRITE_MODE)
     # insertInto takes this mode from the session only; in static mode it would
     # remove the untouched buckets as well.
     spark.conf.set(OVERWRITE_MODE, "dynamic")
     try:
         merged.write.insertInto(name, overwrite=True)
+    except Exception as error:
+        error.add_note(f"staged at {merged_path}; publish() on {name} repeats the last step")
+        raise
     finally:
         spark.conf.set(OVERWRITE_MODE, before)
+    spark.sql(f"ALTER TABLE {quoted(name)} UNSET TBLPROPERTIES IF EXISTS ('{PENDING_PROPERTY}')")
     spark.catalog.refreshTable(name)
 
 
+def pending(spark: SparkSession, name: str) -> str | None:
+    """The staged folder of an upsert whose last step did not end."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect()
+    return {row["key"]: row["value"] for row in rows}.get(PENDING_PROPERTY)
+
+
+def compact(spark: SparkSession, name: str) -> None:
+    """Rewrite every bucket into files of about FILE_BYTES, after many small upserts."""
+    target = spark.table(name)
+    path = scratch_path(spark, "compact")
+    target.write.partitionBy(BUCKET).parquet(path)
+    if _filled_buckets(spark, name):
+        publish(spark, name, path, gather=True)
+    discard(spark, path)
+
+
 def _filled_buckets(spark: SparkSession, name: str) -> set[int]:
     """Buckets that have a partition, from the catalog alone."""
     rows = spark.sql(f"SHOW PARTITIONS {quoted(name)}").collect()
@@ -244,7 +292,8 @@ def upsert(df: DataFrame, name: str, keep_staged: bool = False) -> str | None:
         kept = old.join(updated, [BUCKET, *keys], "left_anti")
         merged = kept.select(*columns).unionByName(batch.select(*columns).repartition(BUCKET))
     else:
-        merged = _merge_by_shuffle(old.select(*columns), batch.select(*columns), keys, len(touched))
+        size = stored_size(spark, batch_path) + sum(stored_size(spark, f) for f in _folders(spark, name, touched))
+        merged = _merge_by_shuffle(old.select(*columns), batch.select(*columns), keys, len(touched), size)
     merged_path = scratch_path(spark, "merged")
     merged.write.partitionBy(BUCKET).parquet(merged_path)
     publish(spark, name, merged_path)
@@ -252,6 +301,13 @@ def upsert(df: DataFrame, name: str, keep_staged: bool = False) -> str | None:
     return _staged(spark, keep_staged, merged_path)
 
 
+def _folders(spark: SparkSession, name: str, buckets: Sequence[int]) -> list[str]:
+    """Where the given buckets of a table lie; those without a partition are left out."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}").filter("col_name = 'Location'").collect()
+    root = rows[0]["data_type"].rstrip("/")
+    return [f"{root}/{BUCKET}={b}" for b in sorted(_filled_buckets(spark, name).intersection(buckets))]
+
+
 def _staged(spark: SparkSession, keep: bool, path: str) -> str | None:
     if keep:
         return path

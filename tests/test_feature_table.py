@@ -136,3 +136,26 @@ def test_failed_publish_can_be_repeated(spark, rows, table, monkeypatch):
 def test_scratch_follows_the_session(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_busy_key_is_spread_over_buckets_tasks_and_files(spark, tmp_path, monkeypatch):
+    import patchloom.sinks.feature_table as module
+
+    monkeypatch.setattr(module, "FILE_BYTES", 4000)
+    frame = spark.range(20_000).select(F.when(F.col("id") % 10 > 0, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("t"), F.rand(1).alias("v"))
+    spec = FeatureTable("ft_tests.busy", ("k",), time_key="t", buckets=4)
+    location = str(tmp_path / "busy")
+    write_features(frame, spec, location)
+    files = spark.read.parquet(location).filter("k = 1").groupBy(F.input_file_name().alias("f")).count().collect()
+    assert len(files) > 8 and max(r["count"] for r in files) < 18_000 / 4
+    for limit in (0, 1 << 30):
+        monkeypatch.setattr(module, "BROADCAST_BYTES", limit)
+        changed = frame.filter("t % 3 = 0").withColumn("v", F.lit(limit).cast("double"))
+        found = write_features(changed, spec, location)
+        assert found.count() == 20_000 and found.filter(F.col("v") == limit).count() == changed.count()
+    many = len(list((tmp_path / "busy").glob("*/part-*.parquet")))
+    monkeypatch.setattr(module, "FILE_BYTES", 1 << 30)
+    module.compact(spark, spec.name)
+    assert len(list((tmp_path / "busy").glob("*/part-*.parquet"))) == 4 < many
+    assert read_feature_table(spark, spec.name).count() == 20_000 and module.pending(spark, spec.name) is None
+    spark.sql("DROP TABLE ft_tests.busy")
