@@ -107,7 +107,9 @@ def one_hot(column: Column, categories: Sequence, unseen: str = "error") -> Colu
         raise ValueError(f"unseen must be 'error' or 'ignore', not {unseen!r}")
     width = len(categories)
     known = [value for value in categories if value is not None]
-    found = F.array_position(F.array(*[F.lit(value) for value in known]), column) if known else F.lit(0)
+    # In one array with the value, the categories get its type, decimals of any width included.
+    typed = F.array(column, *[F.lit(value) for value in known])
+    found = F.array_position(F.slice(typed, 2, len(known)), F.get(typed, F.lit(0))) if known else F.lit(0)
     place = [F.nullif(found.cast("int"), F.lit(0))]
     if width > len(known):
         place.append(F.when(column.isNull(), F.lit(width)))

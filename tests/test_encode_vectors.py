@@ -1,10 +1,13 @@
+from datetime import date, datetime
+from decimal import Decimal
+
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
-from patchloom.functions.encode import ColumnEncoder, fit_categories, fit_moments, one_hot, standard_scale
+from patchloom.functions.encode import category_places, with_places, ColumnEncoder, fit_categories, fit_moments, one_hot, standard_scale
 from patchloom.functions.pixels import array_to_bytes, bytes_to_array, normalize_channels, scale_to_unit
 from patchloom.functions.vectors import DenseVectorizer, argmax
 
@@ -108,3 +111,24 @@ def test_bytes_and_channels(spark):
     assert inter == pytest.approx(((unit.reshape(2, 3) - mean) / std).ravel().tolist())
     planes = unit.reshape(3, 2)
     assert plane == pytest.approx(((planes - np.reshape(mean, (3, 1))) / np.reshape(std, (3, 1))).ravel().tolist())
+
+
+def test_encoder_keeps_dates_and_decimals(spark):
+    rows = [(date(2024, 1, 2), Decimal("1.50"), datetime(2024, 1, 2, 3, 4, 5), True), (None, Decimal("2.00"), None, False)]
+    frame = spark.createDataFrame(rows, "d date, n decimal(5,2), t timestamp, b boolean")
+    encoder = ColumnEncoder.fit(frame, ["d", "n", "t", "b"], [])
+    again = ColumnEncoder.from_json(encoder.to_json())
+    assert again == encoder
+    assert again.transform(frame).collect() == encoder.transform(frame).collect()
+
+
+def test_places_are_those_of_the_sorted_values(spark):
+    values = [None if i % 50 == 0 else f"v{i * 7919 % 3000:05d}" for i in range(5000)]
+    frame = spark.createDataFrame([(v,) for v in values], "v string").repartition(7)
+    places = category_places(frame, "v")
+    order = sorted({v for v in values if v is not None}) + [None]
+    assert {r["v"]: r["place"] for r in places.collect()} == {v: i for i, v in enumerate(order)}
+    extra = frame.unionByName(spark.createDataFrame([("unseen",)], "v string"))
+    found = with_places(extra, "v", places)
+    assert found.count() == 5001 and [r["v"] for r in found.filter("place is null").collect()] == ["unseen"]
+    assert category_places(frame.limit(0), "v").collect() == []

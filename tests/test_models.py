@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -131,3 +132,38 @@ def test_embed_and_train(spark):
     scored = embed_and_train(df, embed, "text", ["id"], pipeline=classifier(maxIter=20))
     assert scored.columns == ["id", "label", "probability", "prediction"]
     assert scored.filter(F.col("label") == F.col("prediction")).count() == scored.count() > 30
+
+
+def test_ridge_beyond_the_normal_equations(spark, tmp_path):
+    """5,000 features, of which two matter."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(400):
+        x = np.zeros(5000)
+        x[[7, 4321]] = rng.normal(size=2)
+        x[rng.integers(0, 5000, 3)] += 0.01
+        rows.append((float(2 * x[7] - 3 * x[4321] + 1), x.tolist()))
+    frame = spark.createDataFrame(rows, "label double, features array<double>")
+    pipeline = regression(penalty=1e-6)
+    pipeline.write().overwrite().save(str(tmp_path / "unfitted"))
+    stage = Pipeline.load(str(tmp_path / "unfitted")).getStages()[-1]
+    assert stage.getOrDefault(stage.penalty) == 1e-6
+    fitted = pipeline.fit(frame).stages[-1]
+    assert fitted.numFeatures == 5000
+    assert (fitted.coefficients[7], fitted.coefficients[4321], fitted.intercept) == pytest.approx((2, -3, 1), abs=0.02)
+
+
+def test_rows_without_features_stay_unscored(spark, trained, features, rows):
+    package, base = trained[0].package, spark.createDataFrame([(0,), (999,), (None,)], "id int")
+    kept = FeatureLookup("f", ("features",), ("id",))
+    some = {"f": features.select("id", "features")}.__getitem__
+    found = score_batch(ModelPackage(package.model, (kept,)), base, some)
+    assert [(r["id"], r["prediction"] is None) for r in found.orderBy("id").collect()] == [(None, True), (0, False), (999, True)]
+    with pytest.raises(Exception, match="no row in f"):
+        score_batch(package, base, some).collect()
+
+
+def test_predictor_keeps_nulls(spark):
+    sums = predictor(lambda: 2.0, lambda model, batch: batch.sum(axis=1) * model)
+    frame = spark.createDataFrame([(1, [1.0, 2.0]), (2, None)], "k int, v array<double>")
+    assert {r["k"]: r["p"] for r in frame.select("k", sums("v").alias("p")).collect()} == {1: 6.0, 2: None}
