@@ -8,10 +8,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
+from patchloom.llm.common import in_small_batches
 from patchloom.llm.shingles import grouped_bytes
 
 # N-grams of 1 to 3 bytes of lower-cased text share so many counters.
@@ -97,7 +99,7 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMo
     known = rows.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")
     )
-    sums = known.mapInArrow(_count_by_language, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    sums = in_small_batches(known).mapInArrow(_count_by_language, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     frame = sums.toPandas()
     languages = tuple(sorted(frame["lang"].unique()))
     counts = np.zeros((len(languages), BUCKETS))
@@ -195,7 +197,7 @@ def identify(docs: DataFrame, model: LanguageModel, carry: tuple[str, ...] = ("d
     rows = docs.select(*carry, value.alias("__text"), F.coalesce(value.rlike(r"\p{L}"), F.lit(False)).alias("__letter"))
     fields = [f for f in rows.schema.fields if f.name in carry]
     added = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("ambiguous", BooleanType())]
-    return rows.mapInArrow(_predictor(model, margin), StructType(fields + added))
+    return in_small_batches(rows).mapInArrow(_predictor(model, margin), StructType(fields + added))
 
 
 def learnable(docs: DataFrame, id_column: str = "doc_id", folds: int = 3, held: int = 1) -> DataFrame:
@@ -213,8 +215,15 @@ def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text", l
     What goes is ``und`` and what is ambiguous with a score below ``least``. A text
     that mixes languages still has its strongest one, so it stays.
     """
-    # Under names of their own, columns can't clash with those of the prediction.
-    plain = docs.toDF(*[f"__{i}" for i in range(len(docs.columns))])
-    found = identify(plain, model, carry=tuple(plain.columns), text=f"__{docs.columns.index(text)}")
-    kept = found.filter((F.col("lang_pred") != UNKNOWN) & ~(F.col("ambiguous") & (F.col("score") < least)))
-    return kept.select(*plain.columns).toDF(*docs.columns)
+    # Only the text and its answer pass through Python; the other columns stay where they are.
+    predict = _predictor(model, AMBIGUITY)
+
+    def keeps(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, letters in columns:
+            (found,) = predict(iter([pa.RecordBatch.from_arrays([texts, letters], names=["text", "letter"])]))
+            doubt = pc.and_(found.column("ambiguous"), pc.less(found.column("score"), least))
+            yield pc.and_not(pc.not_equal(found.column("lang_pred"), UNKNOWN), doubt)
+
+    value = docs[text].cast("string")
+    letter = F.coalesce(value.rlike(r"\p{L}"), F.lit(False))
+    return in_small_batches(docs).filter(F.arrow_udf(keeps, "boolean")(value, letter))

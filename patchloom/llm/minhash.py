@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patchloom.llm.common import bitmap_of, flag_by_bitmap, store
+from patchloom.llm.common import bitmap_of, flag_by_bitmap, in_small_batches, store
 from patchloom.llm.components import connected_components
 from patchloom.llm.shingles import WordHasher, mix, shingles
 
@@ -31,7 +31,7 @@ class MinMax:
     bands: int = 32
     rows: int = 4
     # Documents compared in one task: at most about so many shingles, a larger document alone.
-    task_shingles: int = 2_000_000
+    task_shingles: int = 500_000
 
 
 def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +95,7 @@ def signatures(docs: DataFrame, settings: MinMax = MinMax(), id_column: str = "d
     """(id, n_shingles, print1, print2, bands) of every text that has words; equal prints mean equal sets."""
     rows = docs.select(F.col(id_column).cast("bigint"), F.col(text_column).cast("string"))
     schema = "id bigint, n_shingles bigint, print1 bigint, print2 bigint, bands array<bigint>"
-    return rows.mapInArrow(_signer(settings), schema)
+    return in_small_batches(rows).mapInArrow(_signer(settings), schema)
 
 
 def near_duplicates(
@@ -175,7 +175,7 @@ def texts_of(docs: DataFrame, wanted: DataFrame, id_column: str, text_column: st
     rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).cast("string").alias("text"))
     bitmap = bitmap_of(wanted.select(F.xxhash64("id").alias("key")), "key")
     near = flag_by_bitmap(rows.filter("id IS NOT NULL AND text IS NOT NULL"), F.xxhash64("id"), bitmap, "near").filter("near")
-    return near.select("id", "text").join(wanted, "id")
+    return in_small_batches(near.select("id", "text").join(wanted, "id"))
 
 
 def _resolve(docs: DataFrame, members: DataFrame, settings: MinMax, id_column: str, text_column: str) -> DataFrame:

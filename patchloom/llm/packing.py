@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patchloom.llm.common import store
+from patchloom.llm.common import in_small_batches, store
 from patchloom.llm.tokens import Encoder, tokenizer_path
 
 
@@ -157,7 +157,7 @@ def pack_documents(
         raise ValueError("a full piece must fit a sequence")
     rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).cast("string").alias("text"))
     tokenise = _tokenise(tokenizer or tokenizer_path(), end_id, capacity.tokens)
-    encoded = rows.mapInArrow(tokenise, "id bigint, n bigint, sums array<bigint>")
+    encoded = in_small_batches(rows).mapInArrow(tokenise, "id bigint, n bigint, sums array<bigint>")
     # The row number is written down here, so it stays the same whoever reads it again.
     stored = store(encoded.withColumn("row", F.monotonically_increasing_id()), "token-counts")
     blocks = max(1, round(stored.count() / block_documents))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patchloom.llm.common import store
+from patchloom.llm.common import in_small_batches, store
 from patchloom.llm.shingles import WordHasher
 
 _SEED = 99991
@@ -159,7 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
         .repartition(TRAINING_TASKS, "place")
     )
     sample = store(sample, "quality-sample")
-    parts = sample.select("text").mapInArrow(_contexts, "slot bigint, v array<bigint>")
+    parts = in_small_batches(sample).select("text").mapInArrow(_contexts, "slot bigint, v array<bigint>")
     sums = parts.groupBy("slot").agg(F.array(*[F.sum(F.col("v")[i]) for i in range(WIDTH)]).alias("v"))
     rows = sums.toArrow()
     vectors = np.zeros((SLOTS, WIDTH), np.float32)
@@ -210,4 +210,4 @@ def score(docs: DataFrame, model: QualityModel, id_column: str = "doc_id", text_
     independent, so repeated rows agree but for rounding, and null ids stay null.
     """
     rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).cast("string").alias("text"))
-    return rows.mapInArrow(_scorer(model), "id bigint, score double").withColumnRenamed("id", id_column)
+    return in_small_batches(rows).mapInArrow(_scorer(model), "id bigint, score double").withColumnRenamed("id", id_column)

@@ -27,6 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from patchloom.llm.common import in_small_batches
 from patchloom.llm.tokens import Encoder, tokenizer_path
 
 # The dictionary is trained on at most so many documents, chosen by hash among those of at most so many bytes.
@@ -172,7 +173,7 @@ def write_tokens(
         shares = [i / parts for i in range(1, parts)]
         found = rows.agg(F.percentile_approx("id", shares, max(10_000, 20 * parts))).first()[0]
         bounds = np.unique(np.array(found or [], np.int64))
-    framed = rows.mapInArrow(_compress(tokenizer, end_id, form, bounds), "segment bigint, id bigint, n bigint, frame binary")
+    framed = in_small_batches(rows).mapInArrow(_compress(tokenizer, end_id, form, bounds), "segment bigint, id bigint, n bigint, frame binary")
     segments = framed.groupBy("segment").applyInArrow(
         _segment(form.hash),
         "segment bigint, first_id bigint, last_id bigint, n_nulls bigint, n_docs bigint, n_tokens bigint, "
