@@ -50,45 +50,37 @@ def weighted_metrics(
     is a miss of its label's class, so a model that answers seldom scores low. Rows without a
     label can't be judged; ``n_unlabelled`` counts them, ``n_unpredicted`` the labelled rows without prediction.
     """
-    counted = confusion(df, label, predictions, by)
     groups = [*by, "role"]
     zero = F.lit(0).cast("bigint")
+    judged = F.when(F.col("label").isNotNull(), F.col("n")).otherwise(zero)
     hit = F.when(F.col("label") == F.col("predicted"), F.col("n")).otherwise(zero)
+    silent = F.when(F.col("predicted").isNull(), judged).otherwise(zero)
+    # The null class has no support, so it only carries the rows that can't be judged.
+    sums = ("support", "called", "hits", "unlabelled", "unpredicted")
+
+    def side(name: str, *values: Column) -> Column:
+        return F.struct(F.col(name).alias("class"), *[v.alias(c) for v, c in zip(values, sums, strict=True)])
+
     sides = F.array(
-        F.struct(F.col("label").alias("class"), F.col("n").alias("support"), zero.alias("called"), hit.alias("hits")),
-        F.struct(F.col("predicted").alias("class"), zero.alias("support"), F.col("n").alias("called"), zero.alias("hits")),
+        side("label", judged, zero, hit, F.col("n") - judged, silent),
+        side("predicted", zero, judged, zero, zero, zero),
     )
     per_class = (
-        counted.filter("label is not null")
+        confusion(df, label, predictions, by)
         .select(*groups, F.inline(sides))
-        .filter("class is not null")
         .groupBy(*groups, "class")
-        .agg(*[F.sum(c).cast("double").alias(c) for c in ("support", "called", "hits")])
+        .agg(*[F.sum(c).cast("double").alias(c) for c in sums])
         .withColumns({"p": _ratio("hits", "called"), "r": _ratio("hits", "support")})
         .withColumn("f", F.when(F.col("p") + F.col("r") > 0, 2 * F.col("p") * F.col("r") / (F.col("p") + F.col("r"))).otherwise(0.0))
     )
     support = F.col("support")
-    total = F.sum(support)
-    measured = per_class.groupBy(*groups).agg(
+    total = F.nullif(F.sum(support), F.lit(0.0))
+    return per_class.groupBy(*groups).agg(
         (F.sum(F.col("f") * support) / total).alias("f1_score"),
         (F.sum(F.col("p") * support) / total).alias("precision"),
         (F.sum(F.col("r") * support) / total).alias("recall"),
         (F.sum("hits") / total).alias("accuracy"),
-        total.cast("bigint").alias("n_rows"),
-    )
-    # A few rows per group: what the metrics can't show.
-    left_out = counted.groupBy(*groups).agg(
-        F.coalesce(F.sum(F.when(F.col("label").isNull(), F.col("n"))), zero).alias("n_unlabelled"),
-        F.coalesce(F.sum(F.when(F.col("label").isNotNull() & F.col("predicted").isNull(), F.col("n"))), zero).alias("n_unpredicted"),
-    )
-    same = [F.col(f"left.{c}").eqNullSafe(F.col(f"right.{c}")) for c in groups]
-    joined = left_out.alias("left").join(measured.alias("right"), same, "left")
-    figures = [*CLASS_METRICS, "n_rows"]
-    return joined.select(
-        *[F.col(f"left.{c}") for c in groups],
-        *[F.col(c) if c != "n_rows" else F.coalesce(c, zero).alias(c) for c in figures],
-        "n_unlabelled",
-        "n_unpredicted",
+        *[F.sum(c).cast("bigint").alias(n) for c, n in (("support", "n_rows"), ("unlabelled", "n_unlabelled"), ("unpredicted", "n_unpredicted"))],
     )
 
 
