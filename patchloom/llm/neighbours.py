@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from patchloom.llm.common import store
+from patchloom.llm.common import in_small_batches, store
 
 _SEED = 31337
 
@@ -239,7 +239,7 @@ def nearest(
     firsts = rows.select("class", "id", F.row_number().over(share).alias("n")).filter(F.col("n") <= most + 1)
     members = store(firsts.select("class", "id", F.row_number().over(whole).alias("n")).filter(F.col("n") <= most + 1), "vector-classes")
     vertices = store(
-        rows.join(members.filter("n = 1").select("class", "id"), ["class", "id"], "left_semi").select(
+        in_small_batches(rows).join(members.filter("n = 1").select("class", "id"), ["class", "id"], "left_semi").select(
             F.col("id").alias("member"), "class", "vector", F.size("vector").alias("dim")
         ),
         "vertices",
@@ -247,7 +247,9 @@ def nearest(
     sizes = vertices.groupBy("dim").agg(F.ceil(F.count("*") / settings.shard_vectors).cast("int").alias("shards"))
     sizes = store(sizes, "shards")
     placed = vertices.join(sizes, "dim").withColumn("shard", F.concat_ws("/", "dim", F.pmod(F.xxhash64("member"), "shards")))
-    graphs = placed.select("shard", "member", "vector").groupBy("shard").applyInArrow(
+    n_shards = max(1, sizes.agg(F.sum("shards")).first()[0] or 0)
+    # A task per shard: building a graph costs far more than its bytes tell.
+    graphs = placed.select("shard", "member", "vector").repartition(n_shards, "shard").groupBy("shard").applyInArrow(
         _build(settings), "shard string, members binary, vectors binary, edges binary, start int"
     )
     graphs = store(graphs, "graphs")
@@ -262,7 +264,6 @@ def nearest(
         .select(F.concat_ws("/", "dim", "number").alias("shard"), "block", "members", "vectors")
     )
     work = graphs.withColumn("block", F.lit(-1)).unionByName(sent, allowMissingColumns=True)
-    n_shards = max(1, sizes.agg(F.sum("shards")).first()[0] or 0)
     found = (
         work.repartition(n_shards, "shard").sortWithinPartitions("shard", "block").mapInArrow(_query(settings, most), "query_id bigint, member bigint")
     )
