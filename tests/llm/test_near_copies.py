@@ -175,3 +175,15 @@ def test_passages_of_hard_rows(documents, hard_rows):
     found = repeated_passages(documents(hard_rows)).collect()
     pairs = {(r["doc_id"], r["partner_id"]) for r in found}
     assert {(5, 4), (9, 8)} <= pairs and all(a != b for a, b in pairs)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 6), max_size=25), max_size=4), st.integers(2, 6))
+def test_every_stretch_is_in_one_window(texts, least):
+    flat = np.array([v for t in texts for v in t], np.uint32)
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    found = list(zip(*(x.tolist() for x in compact_windows(flat, bounds, least, every=True)), strict=True))
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        for s in range(a, b - least + 1):
+            holders = [c for l, c, r in found if max(l, c - least + 1) <= s <= min(c, r - least + 1)]
+            assert holders == [s + int(flat[s : s + least].argmin())]
