@@ -187,3 +187,22 @@ def test_every_stretch_is_in_one_window(texts, least):
         for s in range(a, b - least + 1):
             holders = [c for l, c, r in found if max(l, c - least + 1) <= s <= min(c, r - least + 1)]
             assert holders == [s + int(flat[s : s + least].argmin())]
+
+
+def test_passage_behind_a_repeated_line(documents):
+    rows = []
+    for n in range(40):
+        line, fillers = prose(10_000 + n, 30), [prose(20_000 + 10 * n + k, 20) for k in range(4)]
+        rows.append((2 * n, " ".join(f"{line} {filler}" for filler in fillers)))
+        rows.append((2 * n + 1, f"{prose(30_000 + n, 40)} {line} {fillers[2]} {prose(40_000 + n, 40)}"))
+    found = {(r["doc_id"], r["partner_id"]) for r in repeated_passages(documents(rows)).collect()}
+    assert found == {(2 * n + 1, 2 * n) for n in range(40)}
+
+
+def test_passage_of_two_frequent_lines(documents):
+    rng = random.Random(9)
+    a, b = prose(1, 25), prose(2, 25)
+    rows = [(i, f"{prose(100 + i, 30)} {rng.choice([a, b])} {prose(5000 + i, 30)}") for i in range(400)]
+    for i in (57, 311):
+        rows[i] = (i, f"{prose(100 + i, 30)} {a} {b} {prose(5000 + i, 30)}")
+    assert {(r["doc_id"], r["partner_id"]) for r in repeated_passages(documents(rows)).collect()} == {(311, 57)}
