@@ -206,3 +206,18 @@ def test_passage_of_two_frequent_lines(documents):
     for i in (57, 311):
         rows[i] = (i, f"{prose(100 + i, 30)} {a} {b} {prose(5000 + i, 30)}")
     assert {(r["doc_id"], r["partner_id"]) for r in repeated_passages(documents(rows)).collect()} == {(311, 57)}
+
+
+def near_pairs(n):
+    """Pairs (2k, 2k + 1) that share 50 words but one: 41 of 51 shingles, a similarity just above 0.8."""
+    rows = []
+    for k in range(n):
+        words = " ".join(f"w{k}x{i}" for i in range(50)).split(" ")
+        near = words[:25] + [f"new{k}"] + words[26:]
+        rows += [(2 * k + j, f"{prose(7000 + 4 * k + j, 30)} {' '.join(own)} {prose(9000 + 4 * k + j, 30)}") for j, own in enumerate((words, near))]
+    return rows
+
+
+def test_recall_of_least_length_at_the_limit(documents):
+    found = {(r["doc_id"], r["partner_id"]) for r in repeated_passages(documents(near_pairs(400))).collect()}
+    assert {(2 * k + 1, 2 * k) for k in range(400)} <= found
