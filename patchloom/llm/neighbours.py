@@ -39,9 +39,18 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & F.coalesce(finite, F.lit(False)) & F.exists(vector, lambda x: x != 0)
 
 
+def _band(vector: Column) -> Column:
+    """Of the vector's length: lengths within one band differ by a factor of 8 at most, so that no vector drowns others in rounding."""
+    square = F.aggregate(vector, F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
+    return F.round(F.log2(square) / 6).cast("int")
+
+
 def _lifted(vectors: np.ndarray) -> np.ndarray:
-    """One more coordinate, so that the largest inner product is the smallest distance among vectors."""
+    """Vectors over the longest one's length, with one more coordinate, so that the largest inner product is the smallest distance among them."""
+    vectors = vectors.astype(np.float64)
     norms = (vectors * vectors).sum(axis=1)
+    longest = np.sqrt(norms.max(initial=0)) or 1.0
+    vectors, norms = vectors / longest, norms / longest**2
     return np.concatenate([vectors, np.sqrt(np.maximum(norms.max(initial=0) - norms, 0))[:, None]], axis=1).astype(np.float32)
 
 
@@ -174,12 +183,14 @@ def _query(settings: Graph, most: int) -> Callable[[Iterator[pa.RecordBatch]], I
                     vectors = np.frombuffer(row["vectors"], np.float32).reshape(len(members), -1)
                     points = _lifted(vectors)
                     edges = np.frombuffer(row["edges"], "<i4").reshape(len(members), -1).astype(np.int64)
-                    graph = (members, points, (points * points).sum(axis=1), edges, row["start"])
+                    # A query ranks by the inner product alone: the lifted squares are all the same.
+                    graph = (members, points, np.zeros(len(points), np.float32), edges, row["start"])
                     continue
                 members, points, squares, edges, start = graph
                 asked = np.frombuffer(row["members"], "<i8")
-                queries = np.frombuffer(row["vectors"], np.float32).reshape(len(asked), -1)
-                lifted = np.concatenate([queries, np.zeros((len(queries), 1), np.float32)], axis=1)
+                queries = np.frombuffer(row["vectors"], np.float32).reshape(len(asked), -1).astype(np.float64)
+                queries /= np.sqrt((queries * queries).sum(axis=1, keepdims=True))
+                lifted = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1).astype(np.float32)
                 found, _ = _search(points, squares, edges, start, lifted, max(settings.beam, most + 1))
                 found = found[:, : most + 1]
                 q, r = np.nonzero(found >= 0)
@@ -215,7 +226,7 @@ def nearest(
 
     Nearness is the largest inner product. Equal vectors are one vertex that
     stands for its smallest ``most + 1`` ids, which is all that a result can
-    show of them. Vertices are dealt to shards by hash; each shard is one graph,
+    show of them. Vertices are dealt to shards by length and hash; each shard is one graph,
     built in one task, and every block of queries goes through every shard of
     its dimension. Found vertices are scored anew in double precision on the stored vectors.
 
@@ -240,13 +251,13 @@ def nearest(
     members = store(firsts.select("class", "id", F.row_number().over(whole).alias("n")).filter(F.col("n") <= most + 1), "vector-classes")
     vertices = store(
         in_small_batches(rows).join(members.filter("n = 1").select("class", "id"), ["class", "id"], "left_semi").select(
-            F.col("id").alias("member"), "class", "vector", F.size("vector").alias("dim")
+            F.col("id").alias("member"), "class", "vector", F.size("vector").alias("dim"), _band(F.col("vector")).alias("band")
         ),
         "vertices",
     )
-    sizes = vertices.groupBy("dim").agg(F.ceil(F.count("*") / settings.shard_vectors).cast("int").alias("shards"))
+    sizes = vertices.groupBy("dim", "band").agg(F.ceil(F.count("*") / settings.shard_vectors).cast("int").alias("shards"))
     sizes = store(sizes, "shards")
-    placed = vertices.join(sizes, "dim").withColumn("shard", F.concat_ws("/", "dim", F.pmod(F.xxhash64("member"), "shards")))
+    placed = vertices.join(sizes, ["dim", "band"]).withColumn("shard", F.concat_ws("/", "dim", "band", F.pmod(F.xxhash64("member"), "shards")))
     n_shards = max(1, sizes.agg(F.sum("shards")).first()[0] or 0)
     # A task per shard: building a graph costs far more than its bytes tell.
     graphs = placed.select("shard", "member", "vector").repartition(n_shards, "shard").groupBy("shard").applyInArrow(
@@ -261,7 +272,7 @@ def nearest(
     sent = (
         blocks.join(sizes, "dim")
         .withColumn("number", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-        .select(F.concat_ws("/", "dim", "number").alias("shard"), "block", "members", "vectors")
+        .select(F.concat_ws("/", "dim", "band", "number").alias("shard"), "block", "members", "vectors")
     )
     work = graphs.withColumn("block", F.lit(-1)).unionByName(sent, allowMissingColumns=True)
     found = (

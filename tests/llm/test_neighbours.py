@@ -73,3 +73,14 @@ def test_graph_has_bounded_degree_and_no_loops():
     for v, own in enumerate(edges):
         own = own[own >= 0]
         assert len(own) and v not in own and len(set(own.tolist())) == len(own)
+
+
+def test_recall_beside_very_long_vectors(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=8).astype("float32").tolist()) for i in range(1500)]
+    rows += [(2001, [-5e3, *[0.0] * 7]), (2002, [0.0, -4e5, *[0.0] * 6]), (2003, [*[0.0] * 7, -1e20])]
+    frame = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
+    found = found_by(frame, F.col("vec_id") % 20 == 0, 10)
+    want = exact(rows, lambda i: i % 20 == 0, 10)
+    assert found.keys() == want.keys()
+    assert sum(len({i for i, _ in found[q]} & {i for i, _ in want[q]}) for q in want) >= 0.95 * 10 * len(want)
