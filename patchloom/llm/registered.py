@@ -183,6 +183,84 @@ def op5_neighbours(spark, folder):
     return nearest(read(spark, folder, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0)
 
 
+@query()
+def op11_sharding(spark, folder):
+    from patchloom.llm.sharding import read_shards, row_size, write_shards
+    from patchloom.session import scratch_path
+
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    path = scratch_path(spark, "shards")
+    write_shards(docs, path)
+    found = read_shards(spark, path, docs.schema).withColumn("text", F.col("row.text"))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        row_size("text").alias("size"),
+        F.crc32(text_of("text").cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query()
+def op12_whitening(spark, folder):
+    from patchloom.llm.whitening import whitened
+
+    return whitened(read(spark, folder, "embeddings", "vec_id", "embedding"))
+
+
+TRIE_SQL = """
+    WITH ranked AS (
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+               md5(coalesce(role, '') || chr(31) || coalesce(text, '')) AS said, length(coalesce(text, '')) AS chars
+        FROM conversations
+    ),
+    convs AS (
+        SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS base,
+               xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ord(s)::BIGINT)),
+                   lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 6 AS h
+        FROM conversations
+    ),
+    turns AS (
+        SELECT c.conv_id, 0 AS part, r.pos, r.said, r.chars FROM convs c JOIN ranked r ON r.conv_id = c.base AND r.pos <= c.h
+        UNION ALL SELECT c.conv_id, 1, r.pos, r.said, r.chars FROM convs c JOIN ranked r ON r.conv_id = c.conv_id AND r.pos > c.h
+    ),
+    rebuilt AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS depth, said, chars FROM turns),
+    ways AS (
+        SELECT conv_id, 0 AS depth, '' AS node, NULL AS parent, 0 AS chars FROM convs
+        UNION ALL
+        SELECT conv_id, depth, node, coalesce(lag(node) OVER (PARTITION BY conv_id ORDER BY depth), ''), chars FROM (
+            SELECT conv_id, depth, chars, md5(array_to_string(list(said) OVER (PARTITION BY conv_id ORDER BY depth), ' ')) AS node FROM rebuilt)
+    ),
+    nodes AS (
+        SELECT node, depth, any_value(parent) AS parent, any_value(chars) AS chars, min(conv_id) AS conv_id, count(*) AS n_convs
+        FROM ways GROUP BY node, depth
+    ),
+    kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent),
+    full_nodes AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (node)),
+    below AS (
+        SELECT w.node, sum(CASE WHEN n.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n.n_convs - 1) * n.chars) AS saved_tokens
+        FROM full_nodes n JOIN ways w ON w.conv_id = n.conv_id AND w.depth <= n.depth GROUP BY w.node
+    ),
+    lengths AS (SELECT conv_id, max(depth) AS depth FROM ways GROUP BY conv_id),
+    ends AS (SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM ways JOIN lengths USING (conv_id, depth) GROUP BY node)
+    SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, b.n_leaves::BIGINT AS n_leaves,
+           b.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+    FROM full_nodes n JOIN below b USING (node) LEFT JOIN nodes p ON p.node = n.parent AND n.depth > 0 LEFT JOIN ends e ON e.node = n.node
+"""
+
+
+@query(TRIE_SQL)
+def op13_prefix_trie(spark, folder):
+    from patchloom.llm.common import store
+    from patchloom.llm.prefix_trie import ordered_turns, prefix_trie, with_openings
+
+    given = store(ordered_turns(read(spark, folder, "conversations")), "turns")
+    turns, conversations = with_openings(given)
+    return prefix_trie(store(turns, "rebuilt-turns"), conversations)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 

@@ -19,7 +19,8 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("folder", [FOLDER, "/root/testdata/sf0.01"])
 def test_sql(spark, name, folder):
     duck = duckdb.connect()
-    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     cursor = duck.execute(registered.ORACLES[name])
     columns = [d[0] for d in cursor.description]
     found = registered.QUERIES[name](spark, folder)
@@ -29,7 +30,7 @@ def test_sql(spark, name, folder):
 
 def test_every_operator_has_a_query():
     numbers = {int(re.match(r"op(\d+)_", n)[1]) for n in registered.QUERIES if n != "pipeline"}
-    assert numbers == set(range(1, 11)) and "pipeline" in registered.QUERIES
+    assert numbers == set(range(1, 14)) and "pipeline" in registered.QUERIES
 
 
 @pytest.mark.parametrize("name, columns", [
@@ -40,6 +41,8 @@ def test_every_operator_has_a_query():
     ("op7_quality", {"doc_id", "held_out", "score", "predicted"}),
     ("op8_minhash", {"doc_id", "n_shingles", "component_id", "kept"}),
     ("op9_language", {"doc_id", "held_out", "lang_pred", "score"}),
+    ("op11_sharding", {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"}),
+    ("op12_whitening", {"vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"}),
     ("op10_packing", {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}),
 ])
 def test_contract_columns(spark, name, columns):
