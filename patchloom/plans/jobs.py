@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from patchloom.functions.keys import build_key, row_id
+from patchloom.operators.descent import LastLayer
 from patchloom.operators.gate import DEFAULT_THRESHOLDS, Threshold, enforce, gate_report
 from patchloom.operators.featurize import image_struct
 from patchloom.operators.joins import annotate
@@ -187,13 +188,21 @@ def embed_and_train(
     seed: int = SPLIT_SEED,
     pipeline: Pipeline | None = None,
 ) -> DataFrame:
-    """Frozen featurizer with a trained classifier on top; held-out rows with predictions.
+    """Frozen featurizer with a trained layer on top; held-out rows with predictions.
 
-    The embedding is computed and written once; every pass of the fit reads it.
+    The embedding is computed and written once; every pass of the fit reads it,
+    and it is deleted when the held-out rows are scored. The layer is
+    trained by mini-batch descent, unless ``pipeline`` says otherwise.
     """
-    embedded = materialise(df.select(*keys, label, featurize(F.col(content)).alias("features")))
+    spark = df.sparkSession
+    stored = scratch_path(spark, "embedding")
+    embedded = materialise(df.select(*keys, label, featurize(F.col(content)).alias("features")), stored)
     splits = split_frames(embedded, keys, weights, seed)
     names = list(splits)
-    model = (pipeline or classifier(label=label)).fit(splits[names[0]])
+    layer = pipeline or Pipeline(stages=[LastLayer(labelCol=label, keys=list(keys))])
+    model = layer.fit(splits[names[0]])
     rest = reduce(DataFrame.unionByName, [splits[name] for name in names[1:]])
-    return apply_model(model, rest, keep_stages=True).select(*keys, label, "probability", "prediction")
+    scored = apply_model(model, rest, keep_stages=True).select(*keys, label, "probability", "prediction")
+    found = materialise(scored)
+    discard(spark, stored)
+    return found

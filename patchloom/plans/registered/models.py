@@ -1,14 +1,18 @@
 """Training, scoring and the whole feature-to-gate path."""
 
-from pyspark.ml.functions import vector_to_array
+from dataclasses import replace
+
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
+from patchloom.operators.descent import Descent, LastLayer, Run
 from patchloom.operators.featurize import share_weights, text_featurizer
 from patchloom.operators.gate import Threshold
 from patchloom.operators.joins import annotate
 from patchloom.operators.lookup import FeatureLookup
 from patchloom.operators.metrics import CUSTOM_METRICS, custom_metrics, loss_and_accuracy
 from patchloom.operators.models import ModelPackage, classifier, coefficients, predict_table, regression, score_batch
+from patchloom.operators.splits import TRAIN_VALIDATION_WIDE, split_frames
 from patchloom.plans.jobs import embed_and_train, train, train_and_validate, validate, write_features
 from patchloom.plans.registered import query, table
 from patchloom.plans.registered.features import text_weights
@@ -125,15 +129,131 @@ def train_and_score(spark, folder):
     )
 
 
-@query()
+def _batch_sql(key, batches):
+    return f"('0x' || substr(md5('12345|batch|' || {key}), 1, 8))::BIGINT % {batches}"
+
+
+def _judged_sql(weights, rows):
+    """Probability of every class, and on each row its loss and whether the likeliest class is its own."""
+    each = "OVER (PARTITION BY id)"
+    return f"""
+        SELECT id, y, b, k, exp(z - top) / sum(exp(z - top)) {each} AS p,
+               top + ln(sum(exp(z - top)) {each}) - max(CASE WHEN k = y THEN z END) {each} AS loss,
+               row_number() OVER (PARTITION BY id ORDER BY z DESC, k) = 1 AND k = y AS hit
+        FROM (SELECT *, max(z) {each} AS top FROM (
+            SELECT r.id, r.y, r.b, w.k, sum(x.v * w.w) AS z FROM r JOIN x USING (id) JOIN {weights} w USING (d) WHERE {rows} GROUP BY ALL))
+    """
+
+
+def _descent_sql(rows, numbers, dims, classes, settings, validated=True):
+    """The steps of a run, one after the other: w0, w1, ... and ``h``, its history; and the name of the last weights.
+
+    ``rows`` gives (id, y, b, split), ``numbers`` (id, d, v) with 1 at ``d = dims``.
+    """
+    parts = [
+        f"r AS MATERIALIZED ({rows})",
+        f"x AS MATERIALIZED ({numbers})",
+        f"w0 AS MATERIALIZED (SELECT k, d, 0.0::DOUBLE AS w, 0.0::DOUBLE AS u FROM unnest(range({classes})) a(k), unnest(range({dims + 1})) b(d))",
+    ]
+    step, lines = 0, []
+    for epoch in range(1, settings.epochs + 1):
+        rate = settings.learning_rate * settings.decay_by ** ((epoch - 1) // settings.decay_every)
+        judged = []
+        for batch in settings.order(epoch):
+            parts.append(f"p{step} AS MATERIALIZED ({_judged_sql(f'w{step}', f"r.split = 'train' AND r.b = {batch}")})")
+            judged.append(f"SELECT * FROM p{step}")
+            moved = f"{settings.momentum!r}::DOUBLE * w.u + g.g"
+            parts.append(f"""w{step + 1} AS MATERIALIZED (
+                SELECT w.k, w.d, w.w - {rate!r}::DOUBLE * ({moved}) AS w, {moved} AS u FROM w{step} w JOIN (
+                    SELECT p.k, x.d, sum((p.p - (p.k = p.y)::INTEGER) * x.v) / count(*) AS g FROM p{step} p JOIN x USING (id) GROUP BY p.k, x.d) g USING (k, d))""")
+            step += 1
+        lines.append(f"""SELECT {epoch} AS epoch, 'train' AS split, {rate!r}::DOUBLE AS learning_rate, avg(loss) FILTER (k = 0) AS loss,
+            (count(*) FILTER (hit))::DOUBLE / count(*) FILTER (k = 0) AS accuracy, count(*) FILTER (k = 0) AS n_rows FROM ({" UNION ALL ".join(judged)})""")
+        if validated:
+            lines.append(f"""SELECT {epoch}, 'validation', {rate!r}::DOUBLE, avg(l), sum(h) / sum(n), sum(n)::BIGINT FROM (
+                SELECT b, avg(loss) FILTER (k = 0) AS l, (count(*) FILTER (hit))::DOUBLE AS h, count(*) FILTER (k = 0) AS n
+                FROM ({_judged_sql(f"w{step}", "r.split = 'validation'")}) GROUP BY b)""")
+    return ",\n".join([*parts, f"h AS ({' UNION ALL '.join(lines)})"]), f"w{step}"
+
+
+VECTOR_DESCENT = Descent(epochs=4, batches=3, learning_rate=4.0, decay_every=2, classes=10)
+VECTOR_DESCENT_SQL, VECTOR_WEIGHTS = _descent_sql(
+    f"""SELECT vec_id AS id, label AS y, {_batch_sql('vec_id', 3)} AS b,
+        CASE WHEN ('0x' || substr(md5('12345|' || vec_id), 1, 8))::BIGINT < 3865470566 THEN 'train' ELSE 'validation' END AS split FROM embeddings""",
+    "SELECT vec_id AS id, i AS d, CASE WHEN i < 64 THEN embedding[i + 1]::DOUBLE ELSE 1.0 END AS v FROM embeddings, unnest(range(65)) t(i)",
+    64, 10, VECTOR_DESCENT,
+)
+
+
+def _vector_run(spark, folder, epochs):
+    """A layer on the vectors, trained in runs that stop after the given epochs, each going on from the one before."""
+    vectors = table(spark, folder, "embeddings", "vec_id", "label", "embedding")
+    parts = split_frames(vectors, ["vec_id"], TRAIN_VALIDATION_WIDE)
+    path = scratch_path(spark, "descent")
+    for last in epochs:
+        run = Run(spark, path)
+        asked = replace(VECTOR_DESCENT, epochs=last)
+        settings, dims = run.prepare(parts["train"], parts["validation"], ["vec_id"], asked, "embedding", "label")
+        run.advance(settings, dims, validated=True)
+    run.drop_rows()
+    return run
+
+
+@query(
+    f"""
+    WITH {VECTOR_DESCENT_SQL}
+    SELECT epoch, split, learning_rate, round(loss, 6) AS loss, round(accuracy, 6) AS accuracy, n_rows, 0::BIGINT AS n_left_out FROM h
+    """
+)
+def head_history(spark, folder):
+    """A last layer by mini-batch descent: a row per epoch and split, of a run that stopped after two epochs and went on."""
+    found = _vector_run(spark, folder, (2, 4)).history()
+    return found.withColumns({"loss": F.round("loss", 6), "accuracy": F.round("accuracy", 6)})
+
+
+@query(f"WITH {VECTOR_DESCENT_SQL} SELECT k::INTEGER AS class, d::INTEGER AS pos, round(w, 6) + 0.0 AS weight FROM {VECTOR_WEIGHTS}")
+def head_weights(spark, folder):
+    """What twelve steps of momentum and decay make of the layer's weights; the intercept comes last."""
+    weights = _vector_run(spark, folder, (4,)).weights(4)
+    rows = [(k, d, float(w)) for k, line in enumerate(weights) for d, w in enumerate(line)]
+    return spark.createDataFrame(rows, "class int, pos int, weight double").withColumn("weight", F.round("weight", 6) + 0.0)
+
+
+TEXT_DESCENT = Descent(epochs=3, batches=4, learning_rate=0.2, classes=2)
+TEXT_DESCENT_SQL, TEXT_WEIGHTS = _descent_sql(
+    f"""SELECT doc_id AS id, quality AS y, {_batch_sql('doc_id', 4)} AS b,
+        CASE WHEN ('0x' || substr(md5('12345|' || doc_id), 1, 8))::BIGINT < 3006477107 THEN 'train' ELSE 'held out' END AS split
+        FROM labels JOIN documents USING (doc_id)""",
+    """SELECT id, d, CASE WHEN d < 8 THEN coalesce(s, 0.0) / greatest(n, 1) ELSE 1.0 END AS v
+       FROM (SELECT doc_id AS id, length(text) AS n, unnest(range(9)) AS d FROM documents) LEFT JOIN (
+           SELECT doc_id AS id, j AS d, sum(n * ((c * 7 + j * 13) % 17 - 8)) / 8.0::DOUBLE AS s FROM (
+               SELECT doc_id, (cs[k] * 31 + cs[k + 1]) % 64 AS c, count(*) AS n FROM (
+                   SELECT doc_id, cs, unnest(range(1, len(cs))) AS k FROM (
+                       SELECT doc_id, list_transform(string_split(text, ''), lambda c: unicode(c)::BIGINT) AS cs FROM documents)) GROUP BY ALL),
+               unnest(range(8)) t(j) GROUP BY doc_id, j) USING (id, d)""",
+    8, 2, TEXT_DESCENT, validated=False,
+)
+
+
+@query(
+    f"""
+    WITH {TEXT_DESCENT_SQL}, judged AS ({_judged_sql(TEXT_WEIGHTS, "r.split = 'held out'")})
+    SELECT round(avg(loss) FILTER (k = 0), 6) AS loss, round((count(*) FILTER (hit))::DOUBLE / count(*) FILTER (k = 0), 6) AS accuracy,
+           count(*) FILTER (k = 0) AS n_rows FROM judged
+    """
+)
 def embedding_head(spark, folder):
-    """Frozen text embedding with a trained classifier; loss and accuracy on held-out rows."""
+    """Frozen text embedding with a layer trained on top; loss and accuracy on held-out rows."""
     labels = table(spark, folder, "labels", "doc_id", "quality").withColumnRenamed("quality", "label")
     documents = table(spark, folder, "documents", "doc_id", "text")
     embed = text_featurizer(share_weights(spark, text_weights()))
-    held_out = embed_and_train(annotate(labels, documents, "doc_id"), embed, "text", ["doc_id"])
-    rows = held_out.withColumn("probability", vector_to_array("probability"))
-    return loss_and_accuracy(rows, prediction="prediction").select(
+
+    def per_character(text):
+        return F.transform(embed(text), lambda v: v.cast("double") / F.greatest(F.length(text), F.lit(1)))
+
+    layer = LastLayer(keys=["doc_id"], epochs=3, batches=4, learningRate=0.2, validationShare=0.0, keep="last")
+    held_out = embed_and_train(annotate(labels, documents, "doc_id"), per_character, "text", ["doc_id"], pipeline=Pipeline(stages=[layer]))
+    return loss_and_accuracy(held_out, prediction="prediction").select(
         F.round("loss", 6).alias("loss"), F.round("accuracy", 6).alias("accuracy"), "n_rows"
     )
 
