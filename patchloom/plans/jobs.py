@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ from patchloom.operators.splits import SPLIT_SEED, TRAIN_VALIDATION, split_frame
 from patchloom.session import discard, scratch_path
 from patchloom.sinks.feature_table import FeatureTable, create_feature_table, read_feature_table, upsert
 from patchloom.sources.batches import materialise
-from patchloom.sources.images import attach_content, scan_images
+from patchloom.sources.images import attach_content, decode_content, decoder, scan_images
+from patchloom.sources.manifest import attach_files, list_files
 
 
 def image_feature_rows(
@@ -34,34 +36,46 @@ def image_feature_rows(
     with_content: bool = True,
     partitions: int | None = None,
     rejects: str = "raise",
+    decode: Callable[[bytes], np.ndarray] | None = None,
 ) -> DataFrame:
     """``(id, slide_id, x_center, y_center, label[, content], features)``.
 
-    ``featurize`` is a column function of :func:`image_struct`. Only images that
-    have an annotation reach it; the planner broadcasts the annotated keys where
-    they are few. Features are made where the image was read, and the join
-    moves features and paths, except that ``partitions`` spreads the images over
-    more tasks for a slow model. A file that is no image, or whose name holds no key, ends the
-    job; with ``rejects="drop"`` it is left out, and :func:`image_rejects` lists it.
+    ``featurize`` is a column function of :func:`image_struct`. Names are joined
+    with the annotations first; only annotated files are opened, once, and read, decoded and featurized in
+    one task. ``decode`` gets a file's bytes; without it Pillow is used
+    where it is installed. Where it isn't, Spark's own decoder has to go through the
+    whole folder, and only annotated images reach the model. ``partitions`` spreads
+    the images over more tasks for a slow model. An annotated file that is no image ends the job;
+    with ``rejects="drop"`` it is left out. :func:`image_rejects` lists such files, annotated or not.
     """
     if rejects not in ("raise", "drop"):
         raise ValueError(f"rejects must be 'raise' or 'drop', not {rejects!r}")
-    images = scan_images(spark, root, pattern, drop_invalid=False)
-    usable = F.col("imid").isNotNull() & (F.col("height") > 0)
-    if rejects == "raise":
-        usable = F.when(usable, True).otherwise(F.raise_error(F.concat(F.lit("not a named image: "), "path")).cast("boolean"))
-    images = images.filter(usable)
     keyed = annotations.withColumn("imid", build_key("sid", "x_center", "y_center", strict=True))
-    images = images.join(keyed.select("imid").distinct(), "imid", "left_semi")
+    usable = F.col("height") > 0
+    if rejects == "raise":
+        usable = F.when(usable, True).otherwise(F.raise_error(F.concat(F.lit("not an image: "), "path")).cast("boolean"))
+    decode = decode or decoder()
+    plain = ["id", "slide_id", "x_center", "y_center", "label"]
+    if decode:
+        named = list_files(spark, root, pattern).filter("imid IS NOT NULL").select("imid", "path", "length")
+        matched = annotate(keyed, named, "imid").select(
+            row_id("imid").alias("id"), F.col("sid").alias("slide_id"), "x_center", "y_center", "label", "path", "length"
+        )
+        images = decode_content(attach_files(matched), decode).filter(usable)
+        if partitions:
+            images = images.repartition(partitions)
+        return images.select(*plain, *(["content"] if with_content else []), featurize(image_struct()).alias("features"))
+    images = scan_images(spark, root, pattern, drop_invalid=False).filter("imid IS NOT NULL")
+    wanted = keyed.groupBy("imid").agg(F.count("*").alias("_wanted"))
+    # A check that names columns of both sides isn't moved before the join.
+    images = images.join(wanted, "imid").filter(F.when(F.col("_wanted") > 0, usable))
     if partitions:
         images = images.repartition(partitions)
     features = images.select("imid", "path", featurize(image_struct()).alias("features"))
-    rows = annotate(keyed, features, "imid")
-    columns = ["id", "slide_id", "x_center", "y_center", "label", "features"]
-    rows = rows.withColumnRenamed("sid", "slide_id").withColumn("id", row_id("imid"))
+    rows = annotate(keyed, features, "imid").withColumnRenamed("sid", "slide_id").withColumn("id", row_id("imid"))
     if not with_content:
-        return rows.select(*columns)
-    return attach_content(rows.select(*columns, "path")).select(*columns[:-1], "content", "features")
+        return rows.select(*plain, "features")
+    return attach_content(rows.select(*plain, "features", "path")).select(*plain, "content", "features")
 
 
 def image_rejects(spark: SparkSession, root: str, pattern: str = "*/*/*.jpg") -> DataFrame:

@@ -14,7 +14,8 @@ from patchloom.plans.jobs import image_feature_rows, image_rejects
 from patchloom.plans.registered import query, table
 from patchloom.session import scratch_path
 from patchloom.sinks.images import raw_bitmap, save_files, save_images
-from patchloom.sources.images import attach_content, crop_images, scan_files, scan_images
+from patchloom.sources.images import attach_content, crop_images, decode_bitmap, scan_files, scan_images
+from patchloom.sources.manifest import list_files, read_manifest, write_manifest
 from patchloom.sources.rasters import read_boxes
 from patchloom.sources.tables import explode_array
 
@@ -86,6 +87,22 @@ def content_after_join(spark, folder):
     return matched.select("imid", F.hex(F.substring("content", 55, 192)).alias("body"))
 
 
+@query(
+    f"""
+    SELECT imid, label, 246::BIGINT AS length, string_agg(printf('%02X%02X%02X', b, g, r), '' ORDER BY 7 - py, px) AS body
+    FROM ({PIXEL_SQL}) WHERE label IN (2, 5) GROUP BY imid, label
+    """
+)
+def manifest_scan(spark, folder):
+    """Files listed in tasks, joined with their labels, stored as a manifest and read in parts; only those of two labels are opened."""
+    found = list_files(spark, image_files(spark, folder), PATTERN).select("imid", "path", "length")
+    labels = tiles(spark, folder).select(patch_name("sid", F.col("tx") * TILE, F.col("ty") * TILE).alias("imid"), "label")
+    path = scratch_path(spark, "manifest")
+    write_manifest(found.join(labels, "imid"), path, part_bytes=20 * 246)
+    files = read_manifest(spark, path, {"label": [2, 5]})
+    return files.select("imid", "label", "length", F.hex(F.substring("content", 55, 192)).alias("body"))
+
+
 @query(
     f"""
     SELECT imid, 8 AS height, 8 AS width, 3 AS channels,
@@ -213,7 +230,7 @@ def image_feature_job(spark, folder):
     annotations = tiles(spark, folder).filter("label < 7").select(
         "sid", (F.col("tx") * TILE).alias("x_center"), (F.col("ty") * TILE).alias("y_center"), "label"
     )
-    rows = image_feature_rows(spark, annotations, image_files(spark, folder), embed, PATTERN)
+    rows = image_feature_rows(spark, annotations, image_files(spark, folder), embed, PATTERN, decode=decode_bitmap)
     return rows.select(
         "id",
         "slide_id",

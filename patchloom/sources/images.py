@@ -7,14 +7,16 @@ in the task that uses them, so they never go through a shuffle.
 
 from __future__ import annotations
 
+import importlib.util
 import re
-from collections.abc import Iterator
+import struct
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
 
 from patchloom.functions.keys import PATCH_KEY_PATTERN, parse_key
 from patchloom.sources.files import Opener
@@ -121,6 +123,72 @@ def scan_images(
     return images.withColumn(key, parse_key("path", key_pattern)) if key else images
 
 
+def decode_bitmap(data: bytes) -> np.ndarray:
+    """An uncompressed bitmap of 24 or 32 bits a pixel as a height x width x channels array, top down, blue first."""
+    if len(data) < 54 or data[:2] != b"BM":
+        raise ValueError("not a bitmap")
+    start, = struct.unpack_from("<I", data, 10)
+    _, width, height, _, bits, packing = struct.unpack_from("<IiiHHI", data, 14)
+    if bits not in (24, 32) or packing or width <= 0 or not height:
+        raise ValueError("not an uncompressed bitmap of 24 or 32 bits")
+    channels, rows = bits // 8, abs(height)
+    line = -(-width * channels // 4) * 4
+    if len(data) < start + rows * line:
+        raise ValueError("a bitmap that ends early")
+    pixels = np.frombuffer(data, np.uint8, rows * line, start).reshape(rows, line)[:, : width * channels]
+    return (pixels if height < 0 else pixels[::-1]).reshape(rows, width, channels)
+
+
+def decode_picture(data: bytes) -> np.ndarray:
+    """A picture of any format that Pillow knows, blue first; uncompressed bitmaps need no Pillow."""
+    if data[:2] == b"BM":
+        return decode_bitmap(data)
+    from io import BytesIO
+
+    from PIL import Image
+
+    with Image.open(BytesIO(data)) as picture:
+        if picture.mode == "L":
+            return np.asarray(picture)[:, :, None]
+        alpha = "A" in picture.mode or "transparency" in picture.info
+        rgb = np.asarray(picture.convert("RGBA" if alpha else "RGB"))
+        return rgb[:, :, [2, 1, 0, 3][: rgb.shape[2]]]
+
+
+def decoder() -> Callable[[bytes], np.ndarray] | None:
+    """:func:`decode_picture` where Pillow is installed, else None."""
+    return decode_picture if importlib.util.find_spec("PIL") else None
+
+
+def decode_content(df: DataFrame, decode: Callable[[bytes], np.ndarray], content: str = "content") -> DataFrame:
+    """Add ``height, width, channels, pixels`` of the picture in ``content``; what ``decode`` can't read has height -1, as in :func:`scan_images`."""
+    shape = [StructField(c, IntegerType()) for c in ("height", "width", "channels")]
+    schema = StructType([*df.schema.fields, *shape, StructField("pixels", BinaryType())])
+
+    def one(data: bytes | None) -> tuple[int, int, int, bytes]:
+        try:
+            image = decode(data or b"")
+        except ImportError:
+            raise
+        except Exception:  # whatever a decoder says about broken files
+            return -1, -1, -1, b""
+        return *image.shape, np.ascontiguousarray(image, np.uint8).tobytes()
+
+    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            # Pixels are larger than files, so they are handed on a few at a time.
+            done, held, first = [], 0, 0
+            for place, data in enumerate(frame[content], 1):
+                done.append(one(data))
+                held += len(done[-1][3]) + len(data or b"")
+                if held >= BATCH_BYTES or place == len(frame):
+                    columns = dict(zip(("height", "width", "channels", "pixels"), zip(*done, strict=True), strict=True))
+                    yield frame.iloc[first:place].assign(**{name: list(values) for name, values in columns.items()})
+                    done, held, first = [], 0, place
+
+    return df.mapInPandas(batches, schema)
+
+
 def to_rgb(pixels: bytes, height: int, width: int, channels: int) -> np.ndarray:
     """Decoded pixels (grey, BGR or BGRA) as a height x width x 3 RGB array."""
     image = np.frombuffer(pixels, np.uint8).reshape(height, width, channels)

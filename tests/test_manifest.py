@@ -1,0 +1,173 @@
+"""Files by manifest: listing, parts, filters before opening, and the image job on it."""
+
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from patchloom.operators.featurize import image_featurizer, share_weights
+from patchloom.plans.jobs import image_feature_rows, image_rejects
+from patchloom.session import scratch_path
+from patchloom.sinks.images import raw_bitmap
+from patchloom.sources.images import decode_bitmap, decode_content, scan_files, scan_images
+from patchloom.sources.manifest import attach_files, list_files, read_manifest, write_manifest
+
+
+@pytest.fixture(scope="module")
+def folder(tmp_path_factory):
+    """Four slides with five bitmaps each, one broken, one unnamed, hidden files and files at other depths."""
+    root = tmp_path_factory.mktemp("pictures") / "pics"
+    rng = np.random.default_rng(2)
+    images = {}
+    for s in range(4):
+        place = root / f"slide_{s}" / "0"
+        place.mkdir(parents=True)
+        for k in range(5):
+            image = rng.integers(0, 256, (4 + s, 5, 3), np.uint8)
+            images[f"slide_{s}-{k}-7"] = image
+            (place / f"slide_{s}-{k}-7.bmp").write_bytes(raw_bitmap(image.tobytes(), 4 + s, 5))
+        (place / "_hidden.bmp").write_bytes(b"x")
+        (place / "notes.txt").write_bytes(b"x")
+    (root / "slide_0" / "0" / "slide_0-99-7.bmp").write_bytes(b"BM no picture")
+    (root / "slide_1" / "0" / "unnamed.bmp").write_bytes(b"x")
+    (root / "slide_2" / "top.bmp").write_bytes(b"x")
+    (root / "slide_3" / "0" / "deeper").mkdir()
+    (root / "slide_3" / "0" / "deeper" / "slide_3-1-1.bmp").write_bytes(b"x")
+    return str(root), images
+
+
+PATTERN = "*/*/*.bmp"
+
+
+@pytest.mark.parametrize("pattern", [PATTERN, "slide_[13]/0/*.bmp", "slide_2/0/slide_2-?-7.bmp", "slide_2/*.bmp", "x*/*/*.bmp"])
+def test_listing_is_that_of_a_file_scan(spark, folder, pattern):
+    root, _ = folder
+    found = {(r["path"].rsplit("/", 1)[-1], r["length"], r["imid"]) for r in list_files(spark, root, pattern).collect()}
+    wanted = {(p.name, p.stat().st_size) for p in Path(root).glob(pattern) if not p.name.startswith(("_", ".")) and p.is_file()}
+    assert {f[:2] for f in found} == wanted
+    if pattern == PATTERN:
+        scanned = scan_files(spark, root, pattern).select("path", "length", "imid", "modificationTime").collect()
+        assert {(r["path"].rsplit("/", 1)[-1], r["length"], r["imid"]) for r in scanned} == found
+        times = {r["path"].rsplit("/", 1)[-1]: r["modificationTime"].replace(microsecond=0) for r in scanned}
+        listed = list_files(spark, root, pattern).collect()
+        assert all(r["modificationTime"].replace(microsecond=0) == times[r["path"].rsplit("/", 1)[-1]] for r in listed)
+
+
+def test_parts_by_bytes_and_rows(spark, tmp_path):
+    files = []
+    for k, size in enumerate([10, 20, 5, 70, 1, 1, 30, 30, 30]):
+        (tmp_path / f"f{k}").write_bytes(bytes([k]) * size)
+        files.append((str(tmp_path / f"f{k}"), size, k))
+    frame = spark.createDataFrame(files, "path string, length bigint, k int")
+    path = scratch_path(spark, "manifest")
+    write_manifest(frame.coalesce(1), path, part_bytes=60)
+    parts = spark.read.parquet(f"{path}/rows").groupBy("part").agg(F.sum("length").alias("bytes"), F.count("*").alias("n")).collect()
+    assert all(p["bytes"] <= 60 or p["n"] == 1 for p in parts)
+    read = read_manifest(spark, path)
+    assert read.columns == ["path", "length", "k", "content"] and read.rdd.getNumPartitions() == len(parts)
+    assert {r["k"]: bytes(r["content"]) for r in read.collect()} == {k: bytes([k]) * size for _, size, k in files}
+
+
+def test_a_file_that_most_rows_name(spark, tmp_path):
+    (tmp_path / "hot").write_bytes(b"hot")
+    (tmp_path / "cold").write_bytes(b"cold")
+    rows = [(str(tmp_path / "hot"), 3, i) for i in range(3000)] + [(str(tmp_path / "cold"), 4, -1)]
+    path = scratch_path(spark, "manifest")
+    write_manifest(spark.createDataFrame(rows, "path string, length bigint, i int"), path, part_rows=500)
+    found = read_manifest(spark, path)
+    assert found.rdd.getNumPartitions() >= 6
+    assert {r["i"]: bytes(r["content"]) for r in found.collect()} == {i: b"cold" if i < 0 else b"hot" for _, _, i in rows}
+
+
+def test_only_wanted_files_are_opened(spark, tmp_path):
+    rows = [(str(tmp_path / f"f{k}"), 1, f"key{k}", None if k == 3 else k, k < 5) for k in range(6)]
+    for k in (1, 4):
+        (tmp_path / f"f{k}").write_bytes(b"%d" % k)  # the others are not there
+    path = scratch_path(spark, "manifest")
+    write_manifest(spark.createDataFrame(rows, "path string, length bigint, key string, n int, flag boolean"), path)
+    assert [r["key"] for r in read_manifest(spark, path, {"key": ["key4"]}).collect()] == ["key4"]
+    two = read_manifest(spark, path, {"key": ["key1", "key4", "key9"], "flag": [True]})
+    assert sorted(r["n"] for r in two.collect()) == [1, 4]
+    # A filter of one query doesn't stay with the source.
+    assert [bytes(r["content"]) for r in two.filter("n > 2 AND key = 'key4'").collect()] == [b"4"] and two.count() == 2
+    assert [r["n"] for r in read_manifest(spark, path, {"n": [4, 7]}).collect()] == [4]
+    assert read_manifest(spark, path, {"key": []}).collect() == []
+    with pytest.raises(PySparkException, match="No such file"):
+        read_manifest(spark, path).collect()
+    with pytest.raises(ValueError, match="no columns"):
+        read_manifest(spark, path, {"other": [1]})
+
+
+def test_columns_of_many_types_and_clashing_names(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"")
+    columns = "path string, length bigint, file string, held int, rows array<int>, at timestamp, amount decimal(9,2), inner struct<path:string>"
+    rows = [(str(tmp_path / "a"), None, None, 1, [1, 2], None, None, ("x",)), (str(tmp_path / "a"), 0, "f", None, None, None, None, None)]
+    frame = spark.createDataFrame(rows, columns)
+    found = attach_files(frame)
+    assert found.columns == [*frame.columns, "content"]
+    assert sorted(map(repr, found.drop("content").collect())) == sorted(map(repr, frame.collect()))
+    assert all(bytes(r["content"]) == b"" for r in found.collect())
+
+
+def test_an_empty_manifest_and_rows_without_path(spark):
+    empty = spark.createDataFrame([], "path string, length bigint")
+    assert attach_files(empty).collect() == []
+    with pytest.raises(PySparkException, match="no path"):
+        attach_files(spark.createDataFrame([(None, 1)], "path string, length bigint"))
+
+
+@pytest.mark.parametrize("height, width", [(1, 1), (3, 5), (4, 4)])
+def test_bitmaps(height, width):
+    image = np.random.default_rng(0).integers(0, 256, (height, width, 3), np.uint8)
+    data = raw_bitmap(image.tobytes(), height, width)
+    assert np.array_equal(decode_bitmap(data)[:, :, ::-1], image)
+    for broken in (b"", b"BM", data[:-1] if width % 4 else data[:-2], b"PN" + data[2:], data[:28] + b"\x08" + data[29:]):
+        with pytest.raises(ValueError, match="bitmap"):
+            decode_bitmap(broken)
+
+
+def test_decoded_as_spark_does(spark, folder):
+    root, _ = folder
+    files = attach_files(list_files(spark, root, PATTERN).select("path", "length"))
+    own = {r["path"].rsplit("/", 1)[-1]: tuple(r)[3:] for r in decode_content(files, decode_bitmap).collect()}
+    theirs = scan_images(spark, root, PATTERN, drop_invalid=False, key=None).collect()
+    theirs = {r["path"].rsplit("/", 1)[-1]: (r["height"], r["width"], r["channels"], r["pixels"]) for r in theirs}
+    assert own.keys() == theirs.keys()
+    assert all(own[n][:3] == theirs[n][:3] and (own[n][0] < 0 or own[n][3] == theirs[n][3]) for n in own)
+
+
+def test_only_annotated_files_are_decoded(spark, folder):
+    root, images = folder
+    annotations = spark.createDataFrame(
+        [("slide_0", 0, 7, 1), ("slide_3", 2, 7, 0), ("slide_3", 2, 7, 5), ("slide_9", 1, 1, 1), (None, 1, 1, 1)], "sid string, x_center int, y_center int, label int"
+    )
+    opened = spark.sparkContext.accumulator(0)
+
+    def decode(data):
+        opened.add(1)
+        return decode_bitmap(data)
+
+    @F.pandas_udf("array<float>")
+    def total(batch):
+        return batch["pixels"].map(lambda p: [float(np.frombuffer(p, np.uint8).sum())])
+
+    found = image_feature_rows(spark, annotations, root, total.asNondeterministic(), PATTERN, decode=decode).collect()
+    assert opened.value == 3
+    wanted = [(k, float(images[k].sum()), label) for k, label in (("slide_0-0-7", 1), ("slide_3-2-7", 0), ("slide_3-2-7", 5))]
+    assert sorted((f"{r['slide_id']}-{r['x_center']}-{r['y_center']}", r["features"][0], r["label"]) for r in found) == sorted(wanted)
+    assert all(bytes(r["content"])[:2] == b"BM" for r in found)
+
+
+def test_an_annotated_file_that_is_no_image(spark, folder):
+    root, _ = folder
+    rows = [("slide_0", 99, 7, 1), ("slide_0", 1, 7, 0)]
+    annotations = spark.createDataFrame(rows, "sid string, x_center int, y_center int, label int")
+    embed = image_featurizer(share_weights(spark, np.ones((60, 1))), 4, 5)
+    for decode in (decode_bitmap, None):
+        with pytest.raises(PySparkException, match="not an image: .*slide_0-99-7.bmp"):
+            image_feature_rows(spark, annotations, root, embed, PATTERN, decode=decode).collect()
+        found = image_feature_rows(spark, annotations, root, embed, PATTERN, with_content=False, rejects="drop", partitions=3, decode=decode)
+        assert [r["x_center"] for r in found.collect()] == [1] and found.columns[-1] == "features" and "content" not in found.columns
+    assert {(r["path"].rsplit("/", 1)[-1], r["reason"]) for r in image_rejects(spark, root, PATTERN).collect()} == {("slide_0-99-7.bmp", "invalid"), ("unnamed.bmp", "invalid")}
