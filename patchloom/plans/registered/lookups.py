@@ -8,6 +8,7 @@ from patchloom.plans.jobs import write_features
 from patchloom.plans.registered import query, table
 from patchloom.session import scratch_path
 from patchloom.sinks.feature_table import FeatureTable, merge_rows
+from patchloom.sinks.versions import VersionedTable
 
 UPSERT_SQL = """
     WITH target AS (SELECT c_custkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 3 <> 0),
@@ -32,6 +33,25 @@ def upsert_by_key(spark, folder):
     return merge_rows(target, updates, ["c_custkey"])
 
 
+@query(
+    f"""
+    SELECT 1 AS version, c_custkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 3 <> 0
+    UNION ALL SELECT 2, * FROM ({UPSERT_SQL})
+    UNION ALL SELECT 3, c_custkey, c_acctbal + 100, 'UPDATED' FROM customer WHERE c_custkey % 4 = 0
+    """
+)
+def versioned_upsert(spark, folder):
+    """A reader on version 1 while version 2 is written, version 2, and (as 3) what changed between them."""
+    target, updates = _upsert_input(spark, folder)
+    held = VersionedTable.create(target, FeatureTable("customers", ("c_custkey",), buckets=8), scratch_path(spark, "versions"))
+    held.upsert(target)
+    pinned = held.read()
+    held.upsert(updates)
+    parts = [pinned, held.read(), held.changes(1)]
+    tagged = [rows.select(F.lit(k).alias("version"), "c_custkey", "c_acctbal", "c_mktsegment") for k, rows in enumerate(parts, 1)]
+    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+
+
 @query(UPSERT_SQL)
 def feature_table_upsert(spark, folder):
     target, updates = _upsert_input(spark, folder)
