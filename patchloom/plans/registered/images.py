@@ -16,6 +16,7 @@ from patchloom.session import scratch_path
 from patchloom.sinks.images import raw_bitmap, save_files, save_images
 from patchloom.sources.images import attach_content, crop_images, decode_bitmap, scan_files, scan_images
 from patchloom.sources.manifest import list_files, read_manifest, write_manifest
+from patchloom.sources.pyramids import cut_tiles, read_pyramid, write_pyramid
 from patchloom.sources.rasters import read_boxes
 from patchloom.sources.tables import explode_array
 
@@ -157,6 +158,43 @@ def raster_patches(spark, folder):
     return read_boxes(stored, boxes, 12, TILE).select("patch_id", F.hex("pixels").alias("patch"))
 
 
+@query(
+    f"""
+    WITH p AS (SELECT slide, vec_id % 4 * 8 + px AS x, vec_id // 4 % 4 * 8 + py AS y, r, g, b FROM ({PIXEL_SQL})),
+    l0 AS (SELECT slide, x, y, coalesce(r, 0) AS r, coalesce(g, 0) AS g, coalesce(b, 0) AS b
+           FROM (SELECT * FROM (SELECT DISTINCT slide FROM p), unnest(range(32)) t1(x), unnest(range(32)) t2(y)) LEFT JOIN p USING (slide, x, y)),
+    l1 AS (SELECT slide, x // 2 AS x, y // 2 AS y, (sum(r) + 2) // 4 AS r, (sum(g) + 2) // 4 AS g, (sum(b) + 2) // 4 AS b FROM l0 GROUP BY ALL),
+    l2 AS (SELECT slide, x // 2 AS x, y // 2 AS y, (sum(r) + 2) // 4 AS r, (sum(g) + 2) // 4 AS g, (sum(b) + 2) // 4 AS b FROM l1 GROUP BY ALL),
+    up AS (SELECT 1 AS level, * FROM l1 UNION ALL SELECT 2, * FROM l2),
+    o AS (SELECT vec_id, vec_id // 16 AS slide, 1 + vec_id % 2 AS level, floor(vec_id * 7 % 32 / (2.0 + vec_id % 2 * 2))::BIGINT - 5 AS x0,
+                 floor(vec_id * 13 % 32 / (2.0 + vec_id % 2 * 2))::BIGINT - 5 AS y0 FROM embeddings),
+    c AS (SELECT vec_id, slide, level, dy * 10 + dx AS pos, x0 + dx AS x, y0 + dy AS y FROM o, unnest(range(10)) t1(dx), unnest(range(10)) t2(dy))
+    SELECT vec_id AS patch_id, level::INTEGER AS level, string_agg(coalesce(printf('%02X%02X%02X', r::INTEGER, g::INTEGER, b::INTEGER), '000000'), '' ORDER BY pos) AS patch
+    FROM c LEFT JOIN up USING (slide, level, x, y) GROUP BY vec_id, level
+    """
+)
+def pyramid_patches(spark, folder):
+    """Slides of 32 x 32 pixels as image files, cut to tiles of 12 with small ones at the edge, halved twice; boxes on both levels."""
+    stored = tiles(spark, folder)
+    slides = stored.select("sid", F.lit(0).alias("level"), F.lit(16).alias("x_center"), F.lit(16).alias("y_center")).distinct()
+    whole = read_boxes(stored, slides.withColumn("slide", F.col("sid")), 32, TILE, key="slide")
+    root = scratch_path(spark, "slides")
+    named = whole.withColumn("path", patch_path(F.concat(F.lit(f"{root}/"), "slide", F.lit("/0")), F.col("slide"), "bmp"))
+    save_images(named, "path", "pixels", 32, 32, ["slide"]).write.format("noop").mode("overwrite").save()
+    images = scan_images(spark, root, PATTERN, key=None).withColumn("sid", F.regexp_extract("path", r"([^/]*)\.bmp$", 1))
+    path = scratch_path(spark, "pyramid")
+    write_pyramid(cut_tiles(images, 12), path, 12)
+    boxes = stored.select(
+        F.col("vec_id").alias("patch_id"),
+        "sid",
+        (F.col("vec_id") % 2 + 1).cast("int").alias("level"),
+        (F.col("vec_id") * 7 % 32).alias("x_center"),
+        (F.col("vec_id") * 13 % 32).alias("y_center"),
+    )
+    found = read_boxes(read_pyramid(spark, path), boxes, 10, 12, keep=["level"], downsample={0: 1, 1: 2, 2: 4})
+    return found.select("patch_id", "level", F.hex("pixels").alias("patch"))
+
+
 @query(
     f"""
     WITH taps AS (SELECT o, i, w / sum(w) OVER (PARTITION BY o) AS w FROM (
