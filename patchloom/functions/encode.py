@@ -17,6 +17,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from patchloom.session import discard, scratch_path
 from patchloom.sources.batches import materialise
 
 
@@ -151,21 +152,29 @@ def _untagged(value):
     return value
 
 
-def category_places(df: DataFrame, column: str) -> DataFrame:
+def category_places(df: DataFrame, column: str, path: str | None = None) -> DataFrame:
     """(column, place): every distinct value with its number in sorted order, from 0, null last; any number of values.
 
     Values are sorted and stored in ranges; a value's number is its place in
     its range plus the sizes of the ranges before. Nothing but those sizes, one
-    per partition, is in one place.
+    per partition, is in one place. With ``path`` the result is stored there and the ranges are
+    deleted; without it they stay in the scratch folder, because the lazy result reads them.
     """
+    spark = df.sparkSession
     ordered = df.select(column).distinct().orderBy(F.col(column).asc_nulls_last())
-    rows = materialise(ordered.withColumn("_row", F.monotonically_increasing_id()))
+    ranges = scratch_path(spark, "categories")
+    rows = materialise(ordered.withColumn("_row", F.monotonically_increasing_id()), ranges)
     part = F.shiftright("_row", 33)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     place = F.col("_offset") + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
-    return rows.withColumn("_part", part).join(offsets, "_part").select(column, place.alias("place"))
+    found = rows.withColumn("_part", part).join(offsets, "_part").select(column, place.alias("place"))
+    if path is None:
+        return found
+    stored = materialise(found, path)
+    discard(spark, ranges)
+    return stored
 
 
 def with_places(df: DataFrame, column: str, places: DataFrame, output: str = "place") -> DataFrame:

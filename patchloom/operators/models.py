@@ -126,7 +126,8 @@ def score_batch(
     whole = reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in names], F.lit(True))
     arrays = [f for f in names if isinstance(rows.schema[f].dataType, ArrayType)]
     n_features = getattr(package.model.stages[-1], "numFeatures", -1)
-    if len(arrays) <= 1 and n_features >= len(names) and not set(names) & set(base.columns):
+    fillable = not any(getattr(stage, "needs_whole_rows", False) for stage in package.model.stages)
+    if fillable and len(arrays) <= 1 and n_features >= len(names) and not set(names) & set(base.columns):
         # One pass: absent features are filled for the model, and what it makes of them is dropped.
         zeros = {f: F.lit(0).cast(rows.schema[f].dataType) for f in names if f not in arrays}
         zeros |= {f: F.array_repeat(F.lit(0.0), n_features - len(zeros)).cast(rows.schema[f].dataType) for f in arrays}

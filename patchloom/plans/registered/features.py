@@ -1,7 +1,7 @@
 """Time and encoding features, vectors, pixels, featurizers."""
 
 import numpy as np
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -17,7 +17,9 @@ from patchloom.functions.times import (
 )
 from patchloom.functions.vectors import DenseVectorizer, argmax
 from patchloom.operators.featurize import predictor, share_weights, text_featurizer
+from patchloom.operators.wide import WideEncoder
 from patchloom.plans.registered import query, table
+from patchloom.session import scratch_path
 from patchloom.sources.tables import explode_array
 
 
@@ -313,3 +315,36 @@ def category_places_large(spark, folder):
     """One category per order: numbered in a table and joined, with nothing on the driver."""
     orders = table(spark, folder, "orders", "o_orderkey", "o_custkey")
     return with_places(orders, "o_orderkey", category_places(orders, "o_orderkey"))
+
+
+@query(
+    """
+    WITH places AS (SELECT l_orderkey, row_number() OVER (ORDER BY l_orderkey) - 1 AS place FROM (SELECT DISTINCT l_orderkey FROM lineitem)),
+    flags AS (SELECT l_returnflag, row_number() OVER (ORDER BY l_returnflag) - 1 AS flag FROM (SELECT DISTINCT l_returnflag FROM lineitem)),
+    s AS (SELECT (SELECT count(*) FROM places) AS n, (SELECT count(*) FROM flags) AS m, avg(l_quantity) AS mean, stddev_pop(l_quantity) AS std FROM lineitem)
+    SELECT l_orderkey, l_linenumber, l_partkey, (n + m + 1)::INTEGER AS width, place::INTEGER AS order_place, (n + flag)::INTEGER AS flag_place,
+           2::BIGINT AS n_ones, round((l_quantity - mean) / std, 6) AS quantity
+    FROM lineitem JOIN places USING (l_orderkey) JOIN flags USING (l_returnflag), s
+    """
+)
+def column_transform_wide(spark, folder):
+    """A category for every order, one for every flag and a scaled number as a sparse vector, by a saved and loaded pipeline."""
+    lines = table(spark, folder, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_quantity")
+    encoder = WideEncoder(inputCols=["l_orderkey", "l_returnflag"], scaleCols=["l_quantity"])
+    path = scratch_path(spark, "encoder")
+    Pipeline(stages=[encoder]).fit(lines).save(path)
+    encoded = PipelineModel.load(path).transform(lines)
+    # A vector's parts, as Spark writes them.
+    parts = F.from_json(F.to_json(F.struct("features")), "features struct<size int, indices array<int>, values array<double>>")["features"]
+    rows = encoded.withColumn("_parts", parts).select("l_orderkey", "l_linenumber", "l_partkey", "_parts.size", "_parts.indices", "_parts.values")
+    scaled = F.element_at(F.map_from_arrays("indices", "values"), F.col("size") - 1)
+    return rows.select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        F.col("size").alias("width"),
+        F.get("indices", F.lit(0)).alias("order_place"),
+        F.get("indices", F.lit(1)).alias("flag_place"),
+        F.size(F.filter(F.slice("values", 1, 2), lambda v: v == 1)).cast("bigint").alias("n_ones"),
+        F.round(F.coalesce(scaled, F.lit(0.0)), 6).alias("quantity"),
+    )

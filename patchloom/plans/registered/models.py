@@ -1,12 +1,15 @@
 """Training, scoring and the whole feature-to-gate path."""
 
 from dataclasses import replace
+from io import BytesIO
 
-from pyspark.ml import Pipeline
+import numpy as np
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from patchloom.operators.descent import Descent, LastLayer, Run
 from patchloom.operators.featurize import share_weights, text_featurizer
+from patchloom.operators.foreign import ForeignModel
 from patchloom.operators.gate import Threshold
 from patchloom.operators.joins import annotate
 from patchloom.operators.lookup import FeatureLookup
@@ -333,3 +336,26 @@ def three_way_training_split(spark, folder):
     )
     parts = [rows.select("o_orderkey", F.lit(name).alias("split")) for name, rows in trained.splits.items()]
     return parts[0].unionByName(parts[1])
+
+
+@query(
+    """
+    WITH hidden AS (
+        SELECT vec_id, label, j, list_sum(list_transform(range(64), lambda i: embedding[i + 1]::DOUBLE * ((i * 5 + j * 3) % 7 - 3))) + j / 8.0::DOUBLE AS h
+        FROM embeddings, unnest(range(6)) t(j)),
+    scored AS (SELECT vec_id, label, sum(greatest(h, 0) * (j - 2)) + 0.25 AS p FROM hidden GROUP BY vec_id, label)
+    SELECT vec_id, label, CASE WHEN vec_id % 9 > 0 THEN round(p, 6) END AS prediction FROM scored
+    """
+)
+def foreign_package(spark, folder):
+    """A network from elsewhere, packaged with its lookup, saved, loaded and applied to a table of keys; a ninth of them have no features."""
+    vectors = table(spark, folder, "embeddings", "vec_id", "label", "embedding")
+    i, j = np.meshgrid(np.arange(64), np.arange(6), indexing="ij")
+    layers = BytesIO()
+    np.savez(layers, w0=(i * 5 + j * 3) % 7 - 3.0, b0=np.arange(6) / 8, w1=np.arange(6)[:, None] - 2.0, b1=np.array([0.25]))
+    model = ForeignModel.package(spark, {"layers.npz": layers.getvalue()}, "patchloom.operators.foreign:numpy_layers", "embedding")
+    path = scratch_path(spark, "package")
+    ModelPackage(PipelineModel(stages=[model]), tuple(LABELLED)).save(path)
+    resolve = {"embeddings": vectors.filter("vec_id % 9 > 0").select("vec_id", "embedding")}.__getitem__
+    found = score_batch(ModelPackage.load(spark, path), vectors.select("vec_id", "label"), resolve)
+    return found.withColumn("prediction", F.round("prediction", 6))

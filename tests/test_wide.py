@@ -1,0 +1,122 @@
+"""Sparse encoding of any number of categories against a plain one."""
+
+from datetime import date
+from decimal import Decimal
+from math import nan
+
+import numpy as np
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import functions as F
+
+from patchloom.operators.lookup import FeatureLookup
+from patchloom.operators.models import ModelPackage, score_batch
+from patchloom.operators.wide import WideEncoder, WideEncoderModel
+from patchloom.plans.jobs import train
+
+SCHEMA = "id int, a string, b int, c decimal(20,4), d date, x double, _place0 int, features string"
+
+
+def frame_of(spark, rows):
+    return spark.createDataFrame([(*r, 1, "replaced") for r in rows], SCHEMA)
+
+
+ROWS = [
+    (1, "é", 5, Decimal("1.5"), date(2024, 1, 2), 1.0), (2, None, 5, None, None, 2.0), (3, "", -7, Decimal("12345678901234.5678"), date(1960, 1, 1), 4.5),
+    (4, "é", None, Decimal("1.5"), date(2024, 1, 2), nan), (5, "z", 5, Decimal("1.5"), None, None), (6, "z", 5, Decimal("1.5"), None, 1.0),
+]
+
+
+def plain(rows, fitted, columns, numbers):
+    """id to dense vector; categories in the type's order, null last."""
+    blocks = {c: sorted({r[c] for r in fitted if r[c] is not None}) + ([None] if any(r[c] is None for r in fitted) else []) for c in columns}
+    known = {c: np.array([r[c] for r in fitted if r[c] is not None and r[c] == r[c]]) for c in numbers}
+    out = {}
+    for r in rows:
+        parts = [np.array([float(r[c] == v and (r[c] is None) == (v is None)) for v in blocks[c]]) for c in columns]
+        scaled = [((nan if r[c] is None else r[c]) - known[c].mean()) / (known[c].std() or 1.0) for c in numbers]
+        out[r[0]] = np.concatenate([*parts, scaled])
+    return out
+
+
+def vectors(df):
+    return {r["id"]: r["features"].toArray() for r in df.select("id", "features").collect()}
+
+
+def same(found, wanted):
+    assert found.keys() == wanted.keys()
+    for k in wanted:
+        np.testing.assert_allclose(found[k], wanted[k], atol=1e-12, equal_nan=True)
+
+
+def test_types_nulls_and_clashing_names(spark, tmp_path):
+    frame = frame_of(spark, ROWS)
+    encoder = WideEncoder(inputCols=["a", "b", "c", "d"], scaleCols=["x"])
+    model = encoder.fit(frame)
+    encoded = model.transform(frame)
+    assert encoded.columns == frame.columns and model.width == 4 + 3 + 3 + 3 + 1
+    wanted = plain(ROWS, ROWS, [1, 2, 3, 4], [5])
+    same(vectors(encoded), wanted)
+    PipelineModel(stages=[model]).write().overwrite().save(str(tmp_path / "m"))
+    PipelineModel(stages=[model]).write().overwrite().save(str(tmp_path / "m"))
+    (tmp_path / "m").rename(tmp_path / "moved")
+    loaded = PipelineModel.load(str(tmp_path / "moved")).stages[0]
+    assert loaded.uid == model.uid and str(tmp_path / "moved") in loaded.getOrDefault(loaded.path)
+    same(vectors(loaded.transform(frame)), wanted)
+    Pipeline(stages=[encoder]).write().overwrite().save(str(tmp_path / "unfitted"))
+    again = Pipeline.load(str(tmp_path / "unfitted")).getStages()[0]
+    same(vectors(again.fit(frame).transform(frame)), wanted)
+
+
+def test_unseen_categories_are_raised_ignored_and_counted(spark):
+    fitted = [r for r in ROWS if r[0] in (1, 3, 6)]
+    error = WideEncoder(inputCols=["a", "b"]).fit(frame_of(spark, fitted))
+    with pytest.raises(PySparkException, match="unseen category of [ab]: null"):
+        error.transform(frame_of(spark, ROWS)).collect()
+    ignore = WideEncoder(inputCols=["a", "b"], unseen="ignore").fit(frame_of(spark, fitted))
+    same(vectors(ignore.transform(frame_of(spark, ROWS))), plain(ROWS, fitted, [1, 2], []))
+    assert {r["column"]: r["n_unseen"] for r in ignore.unseen_counts(frame_of(spark, ROWS)).collect()} == {"a": 1, "b": 1}
+    with pytest.raises(ValueError, match="unseen must be"):
+        WideEncoder(inputCols=["a"], unseen="other").fit(frame_of(spark, ROWS))
+
+
+def test_many_categories_of_which_one_is_hot(spark):
+    frame = spark.range(60_000).select(F.col("id"), F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") * 7).alias("a"), (F.col("id") % 2).alias("b"))
+    model = WideEncoder(inputCols=["a", "b"]).fit(frame)
+    assert model.getOrDefault(model.sizes) == [40_001, 2] and model.width == 40_003
+    found = model.transform(frame).filter("id IN (0, 1, 3, 59999)").collect()
+    order = sorted({-1, *(i * 7 for i in range(60_000) if i % 3)})
+    for r in found:
+        a = -1 if r["id"] % 3 == 0 else r["id"] * 7
+        assert r["features"].indices.tolist() == [order.index(a), 40_001 + r["id"] % 2] and r["features"].size == 40_003
+    plan = model.transform(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_nothing_to_learn(spark):
+    with pytest.raises(ValueError, match="no columns"):
+        WideEncoder().fit(frame_of(spark, ROWS))
+    with pytest.raises(ValueError, match="no rows"):
+        WideEncoder(inputCols=["a"]).fit(frame_of(spark, []))
+    only = WideEncoder(scaleCols=["x"]).fit(frame_of(spark, ROWS))
+    assert only.width == 1 and only.transform(frame_of(spark, [])).collect() == []
+
+
+def test_in_a_package_with_lookup(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    weight = rng.normal(size=50)
+    rows = [(i, int(k), float(x), float(weight[k] + 2 * x)) for i, (k, x) in enumerate(zip(rng.integers(0, 50, 900), rng.normal(size=900), strict=True))]
+    features = spark.createDataFrame([(i, f"shop {k}", x) for i, k, x, _ in rows], "id int, shop string, x double")
+    base = spark.createDataFrame([(i, y) for i, _, _, y in rows], "id int, label double")
+    pipeline = Pipeline(stages=[WideEncoder(inputCols=["shop"], scaleCols=["x"], outputCol="wide"), LinearRegression(featuresCol="wide", regParam=1e-6)])
+    resolve = {"f": features}.__getitem__
+    trained = train(base, ["id"], [FeatureLookup("f", ("shop", "x"), ("id",))], pipeline, resolve=resolve)
+    trained.package.save(str(tmp_path / "p"))
+    package = ModelPackage.load(spark, str(tmp_path / "p"))
+    assert isinstance(package.model.stages[0], WideEncoderModel)
+    unknown = spark.createDataFrame([(5000, 0.0)], "id int, label double")
+    scored = {r["id"]: (r["prediction"], r["label"]) for r in score_batch(package, trained.held_out.unionAll(unknown), resolve).collect()}
+    assert scored.pop(5000)[0] is None
+    assert len(scored) > 200 and max(abs(p - y) for p, y in scored.values()) < 0.01
