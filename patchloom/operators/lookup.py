@@ -121,8 +121,9 @@ def with_features(
 
 # A key with more questions and feature rows than this is cut into time ranges of about so many rows.
 BLOCK_ROWS = 2_000_000
-# The finest division of one key: its time ranges lie between its own 1,024-quantiles.
-FINEST = 1024
+# Quantiles that a hot key's time ranges lie between: as many as the hottest key has ranges, within these
+# bounds. At the upper one, reached at 3 x 10^10 rows of one key, a task's sketch of a key takes some 4 MB.
+COARSEST, FINEST = 1024, 16_384
 
 
 def point_in_time_lookup(
@@ -205,16 +206,17 @@ def _time_ranges(times: DataFrame, keys: list[str], block_rows: int) -> DataFram
         return None
     spark = times.sparkSession
     sizes = spark.createDataFrame([(r["_hash"], r["_n"]) for r in hot], "_hash bigint, _n bigint")
-    shares = [i / FINEST for i in range(1, FINEST)]
+    finest = min(max(COARSEST, -(-max(r["_n"] for r in hot) // block_rows)), FINEST)
+    shares = [i / finest for i in range(1, finest)]
     quantiles = (
         times.withColumn("_hash", F.xxhash64(*keys))
         .join(F.broadcast(sizes), "_hash")
         .groupBy("_hash", "_n")
-        .agg(F.percentile_approx("_ts", shares, 10 * FINEST).alias("_q"))
+        .agg(F.percentile_approx("_ts", shares, 10 * finest).alias("_q"))
     )
-    blocks = F.least(F.ceil(F.col("_n") / block_rows), F.lit(FINEST)).cast("int")
+    blocks = F.least(F.ceil(F.col("_n") / block_rows), F.lit(finest)).cast("int")
     picked = F.transform(
-        F.sequence(F.lit(1), blocks - 1), lambda i: F.get("_q", F.floor(i * FINEST / blocks).cast("int") - 1)
+        F.sequence(F.lit(1), blocks - 1), lambda i: F.get("_q", F.floor(i * F.lit(finest) / blocks).cast("int") - 1)
     )
     found = quantiles.select("_hash", F.array_distinct(picked).alias("_cuts"))
     return spark.createDataFrame(found.collect(), found.schema)

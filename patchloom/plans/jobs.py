@@ -154,9 +154,13 @@ def validate(
     """Metrics of one or two prediction columns, the report, and the gate.
 
     In mode ``enabled`` a missed threshold raises. Custom metrics join the
-    report under their own names.
+    report under their own names. With them, labels and predictions are stored first,
+    so that lookups and models behind ``scored`` run once, whatever is computed of their results.
     """
     roles = {"candidate": prediction} | ({"baseline": baseline} if baseline else {})
+    stored = scratch_path(scored.sparkSession, "scored") if custom else None
+    if stored:
+        scored = materialise(scored.select(*dict.fromkeys([label, *roles.values()])), stored)
     long = metrics_long(weighted_metrics(scored, label, roles))
     if custom:
         for role, column in roles.items():
@@ -169,6 +173,8 @@ def validate(
     if run_mode != "disabled":
         # One row per metric: evaluated once, for the gate and for the caller.
         report = report.sparkSession.createDataFrame(report.collect(), report.schema)
+        if stored:
+            discard(report.sparkSession, stored)
     return Validated(report, enforce(report, run_mode))
 
 

@@ -7,6 +7,7 @@ the 4 x 4 tiles of one slide.
 import numpy as np
 from pyspark.sql import functions as F
 
+from patchloom.functions import pixels as px
 from patchloom.functions.keys import box_origin, patch_name, patch_path
 from patchloom.functions.pixels import array_to_bytes
 from patchloom.operators.featurize import image_featurizer, image_struct, preprocess_images, share_weights
@@ -222,12 +223,31 @@ def image_preprocess(spark, folder):
     )
 
 
-@query()
+@query(
+    f"""
+    SELECT imid, 432 AS width, 432::BIGINT AS n_in_range, true AS repeatable, true AS channels_together
+    FROM ({PIXEL_SQL}) GROUP BY imid
+    """
+)
 def image_augment(spark, folder):
-    """Random box and flip for training; the random numbers follow from id and epoch."""
+    """Random box and flip for training: every value lies in its channel's range, and all of them follow from id and epoch.
+
+    Boxes and flips move the channels together. Green is three times red here and blue its complement, so
+    values of red and blue add up to the same at every place, resized or not.
+    """
     images = scan_images(spark, image_files(spark, folder), PATTERN)
-    ready = preprocess_images(images, ["imid"], train=True, size=12, epoch=1)
-    return ready.select("imid", F.size("features").alias("width"), F.round(F.get("features", F.lit(0)), 4).alias("first"))
+    ready, again = (preprocess_images(images, ["imid"], train=True, size=12, epoch=1) for _ in range(2))
+    both = ready.join(again.select("imid", F.col("features").alias("again")), "imid")
+    mean, std = (F.array(*[F.lit(v) for v in values]) for values in (px.CHANNEL_MEAN, px.CHANNEL_STD))
+    unit = F.transform("features", lambda v, i: v.cast("double") * F.get(std, F.floor(i / 144).cast("int")) + F.get(mean, F.floor(i / 144).cast("int")))
+    alike = F.zip_with(F.slice("unit", 1, 144), F.slice("unit", 289, 144), lambda red, blue: F.abs(red + blue - 1) < 1e-4)
+    return both.withColumn("unit", unit).select(
+        "imid",
+        F.size("features").alias("width"),
+        F.size(F.filter("unit", lambda v: (v > -1e-5) & (v < 1 + 1e-5))).cast("bigint").alias("n_in_range"),
+        (F.col("features") == F.col("again")).alias("repeatable"),
+        F.forall(alike, lambda x: x).alias("channels_together"),
+    )
 
 
 @query(

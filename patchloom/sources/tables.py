@@ -63,7 +63,8 @@ def _same_header(spark: SparkSession, files: list[str]) -> list[list[str]]:
         for frame in frames:
             yield frame.assign(header=[_first_line(path) for path in frame["path"]])
 
-    named = spark.createDataFrame([(f,) for f in files], "path string").repartition(min(len(files), 256))
+    # A task opens a few hundred files, so tasks follow from the number of files.
+    named = spark.createDataFrame([(f,) for f in files], "path string").repartition(max(min(len(files), 256), len(files) // 256))
     found = named.mapInPandas(first_lines, "path string, header string").collect()
     groups: dict[str, list[str]] = {}
     place = {path: i for i, path in enumerate(files)}
