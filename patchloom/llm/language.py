@@ -19,6 +19,8 @@ from patchloom.llm.shingles import grouped_bytes
 # N-grams of 1 to 3 bytes of lower-cased text share so many counters.
 BUCKETS = 8192
 LONGEST = 3
+# Texts whose counters are held at once: 16 MB of them.
+GROUP_TEXTS = 256
 _SEED = 424242
 # Rows on which scale and bit weights are set, chosen by hash from the rows to learn from.
 CALIBRATION_ROWS = 1000
@@ -36,6 +38,15 @@ class LanguageModel:
     sharpness: float  # from losses to the score
 
 
+def few_texts(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Groups as of :func:`grouped_bytes`, of GROUP_TEXTS texts at most: a group's counters take as much for short texts as for long ones."""
+    for at, to, data, bounds in grouped_bytes(texts):
+        for first in range(at, to, GROUP_TEXTS):
+            last = min(first + GROUP_TEXTS, to)
+            start, end = bounds[first - at], bounds[last - at]
+            yield first, last, data[start:end], bounds[first - at : last - at + 1] - start
+
+
 def counts_of(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """N-gram counts, texts x BUCKETS, of texts that lie one after the other in ``data``."""
     n = len(bounds) - 1
@@ -76,7 +87,7 @@ def _count_by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     totals: dict[str, np.ndarray] = {}
     for batch in batches:
         languages = batch.column(0).to_pylist()
-        for at, to, data, bounds in grouped_bytes(batch.column(1)):
+        for at, to, data, bounds in few_texts(batch.column(1)):
             found = counts_of(data, bounds)
             for name, row in zip(languages[at:to], found, strict=True):
                 totals[name] = totals[name] + row if name in totals else row.copy()
@@ -121,7 +132,7 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMo
     sample = picked.toPandas().sort_values("h")
     scale, reliability, sharpness = 1.0, np.ones(codes.shape[1]), 1.0
     if len(sample) and len(languages) > 1:
-        raw = np.concatenate([_mean_odds(d, b, weights) for _, _, d, b in grouped_bytes(pa.array(sample["text"], pa.string()))])
+        raw = np.concatenate([_mean_odds(d, b, weights) for _, _, d, b in few_texts(pa.array(sample["text"], pa.string()))])
         truth = sample["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy(int)
         signed = raw * codes[truth]
         scale = 4.0 / max(float(np.median(np.abs(raw))), 1e-6)
@@ -158,7 +169,7 @@ def _predictor(model: LanguageModel, margin: float) -> Callable[[Iterator[pa.Rec
             n = batch.num_rows
             names, scores, unsure = np.full(n, UNKNOWN, object), np.zeros(n), np.ones(n, bool)
             lettered = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
-            for at, to, data, bounds in grouped_bytes(batch.column(batch.num_columns - 2)):
+            for at, to, data, bounds in few_texts(batch.column(batch.num_columns - 2)):
                 if not model.languages:
                     break
                 losses = _losses(_mean_odds(data, bounds, model.weights) * model.scale, model.codes, model.reliability)

@@ -109,3 +109,26 @@ def test_word_vectors_are_sums_of_neighbours():
     one, two, three = (quality.word_slots(w)[0] for w in (next(hasher.texts(pa.array([x])))[2] for x in ("one", "two", "three")))
     assert (found[one] == index[two].astype(int) + index[three]).all()
     assert (found[two] == index[one].astype(int) + index[three]).all()
+
+
+@pytest.mark.parametrize("text", [None, "a", "ab cd"])
+def test_memory_of_many_short_texts(text):
+    """10,000 texts of one batch stay below 200 MB, and no group is left out."""
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    book = language.codewords(4)
+    model = language.LanguageModel(("de", "en", "es", "fr"), book, rng.normal(size=(language.BUCKETS, book.shape[1])).astype(np.float32), 1.0, np.full(book.shape[1], 1 / book.shape[1]), 1.0)
+    texts = pa.array([text] * 9_999 + ["the last one"], pa.string())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10_000)), texts, pa.array([True] * 10_000)], names=["doc_id", "__text", "__letter"])
+    tracemalloc.start()
+    (found,) = language._predictor(model, 0.05)(iter([batch]))
+    counted = list(language._count_by_language(iter([pa.RecordBatch.from_arrays([pa.array(["en"] * 10_000), texts], names=["lang", "text"])])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
+    (alone,) = language._predictor(model, 0.05)(iter([batch.slice(9_999)]))
+    (last,), (same,) = found.slice(9_999).to_pylist(), alone.to_pylist()
+    assert last.pop("score") == pytest.approx(same.pop("score"), abs=1e-6) and last == same
+    each = len(set(found.column("lang_pred").to_pylist()[:9_999]))
+    assert each == 1 and sum(counted[0].column("n").to_pylist()) == 9_999 * sum(max(0, len(text or "") - k) for k in range(3)) + 12 + 11 + 10
