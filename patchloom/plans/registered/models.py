@@ -232,19 +232,34 @@ def head_weights(spark, folder):
 
 
 TEXT_DESCENT = Descent(epochs=3, batches=4, learning_rate=0.2, classes=2)
-TEXT_DESCENT_SQL, TEXT_WEIGHTS = _descent_sql(
-    f"""SELECT doc_id AS id, quality AS y, {_batch_sql('doc_id', 4)} AS b,
-        CASE WHEN ('0x' || substr(md5('12345|' || doc_id), 1, 8))::BIGINT < 3006477107 THEN 'train' ELSE 'held out' END AS split
-        FROM labels JOIN documents USING (doc_id)""",
-    """SELECT id, d, CASE WHEN d < 8 THEN coalesce(s, 0.0) / greatest(n, 1) ELSE 1.0 END AS v
-       FROM (SELECT doc_id AS id, length(text) AS n, unnest(range(9)) AS d FROM documents) LEFT JOIN (
-           SELECT doc_id AS id, j AS d, sum(n * ((c * 7 + j * 13) % 17 - 8)) / 8.0::DOUBLE AS s FROM (
-               SELECT doc_id, (cs[k] * 31 + cs[k + 1]) % 64 AS c, count(*) AS n FROM (
-                   SELECT doc_id, cs, unnest(range(1, len(cs))) AS k FROM (
-                       SELECT doc_id, list_transform(string_split(text, ''), lambda c: unicode(c)::BIGINT) AS cs FROM documents)) GROUP BY ALL),
-               unnest(range(8)) t(j) GROUP BY doc_id, j) USING (id, d)""",
-    8, 2, TEXT_DESCENT, validated=False,
-)
+
+
+def _text_descent_sql(key):
+    """Quality learnt from the text features per character, rows named by ``key``; what the split holds out is not trained on."""
+    return _descent_sql(
+        f"""SELECT {key} AS id, quality AS y, {_batch_sql(key, 4)} AS b,
+            CASE WHEN ('0x' || substr(md5('12345|' || {key}), 1, 8))::BIGINT < 3006477107 THEN 'train' ELSE 'held out' END AS split
+            FROM labels JOIN documents USING (doc_id)""",
+        f"""SELECT {key} AS id, d, CASE WHEN d < 8 THEN coalesce(s, 0.0) / greatest(n, 1) ELSE 1.0 END AS v
+            FROM (SELECT doc_id, length(text) AS n, unnest(range(9)) AS d FROM documents) LEFT JOIN (
+                SELECT doc_id, j AS d, sum(n * ((c * 7 + j * 13) % 17 - 8)) / 8.0::DOUBLE AS s FROM (
+                    SELECT doc_id, (cs[k] * 31 + cs[k + 1]) % 64 AS c, count(*) AS n FROM (
+                        SELECT doc_id, cs, unnest(range(1, len(cs))) AS k FROM (
+                            SELECT doc_id, list_transform(string_split(text, ''), lambda c: unicode(c)::BIGINT) AS cs FROM documents)) GROUP BY ALL),
+                    unnest(range(8)) t(j) GROUP BY doc_id, j) USING (doc_id, d)""",
+        8, 2, TEXT_DESCENT, validated=False,
+    )
+
+
+def _per_character(embed):
+    return lambda text: F.transform(embed(text), lambda v: v.cast("double") / F.greatest(F.length(text), F.lit(1)))
+
+
+def _text_layer(key):
+    return Pipeline(stages=[LastLayer(keys=[key], epochs=3, batches=4, learningRate=0.2, validationShare=0.0, keep="last")])
+
+
+TEXT_DESCENT_SQL, TEXT_WEIGHTS = _text_descent_sql("doc_id")
 
 
 @query(
@@ -258,13 +273,8 @@ def embedding_head(spark, folder):
     """Frozen text embedding with a layer trained on top; loss and accuracy on held-out rows."""
     labels = table(spark, folder, "labels", "doc_id", "quality").withColumnRenamed("quality", "label")
     documents = table(spark, folder, "documents", "doc_id", "text")
-    embed = text_featurizer(share_weights(spark, text_weights()))
-
-    def per_character(text):
-        return F.transform(embed(text), lambda v: v.cast("double") / F.greatest(F.length(text), F.lit(1)))
-
-    layer = LastLayer(keys=["doc_id"], epochs=3, batches=4, learningRate=0.2, validationShare=0.0, keep="last")
-    held_out = embed_and_train(annotate(labels, documents, "doc_id"), per_character, "text", ["doc_id"], pipeline=Pipeline(stages=[layer]))
+    embed = _per_character(text_featurizer(share_weights(spark, text_weights())))
+    held_out = embed_and_train(annotate(labels, documents, "doc_id"), embed, "text", ["doc_id"], pipeline=_text_layer("doc_id"))
     return loss_and_accuracy(held_out, prediction="prediction").select(
         F.round("loss", 6).alias("loss"), F.round("accuracy", 6).alias("accuracy"), "n_rows"
     )
@@ -289,12 +299,28 @@ def dry_run_gate(spark, folder):
     return ruled.select("metric_name", F.round("candidate", 6).alias("candidate"), "passed")
 
 
-@query()
+GATE_DESCENT_SQL, GATE_WEIGHTS = _text_descent_sql("sha256(doc_id::VARCHAR)")
+
+
+@query(
+    f"""
+    WITH {GATE_DESCENT_SQL}, judged AS ({_judged_sql(GATE_WEIGHTS, "r.split = 'held out'")}),
+    told AS (SELECT id, y, max_by(k, p) AS k FROM judged GROUP BY id, y),
+    n AS (SELECT c, count(*) FILTER (y = c)::DOUBLE AS own, count(*) FILTER (k = c)::DOUBLE AS said, count(*) FILTER (y = c AND k = c)::DOUBLE AS hit
+          FROM told, unnest(range(2)) t(c) GROUP BY c),
+    m AS (SELECT sum(own * CASE WHEN said > 0 THEN hit / said ELSE 0 END) / sum(own) AS precision, sum(hit) / sum(own) AS recall,
+                 sum(own * CASE WHEN hit > 0 THEN 2 * hit / (said + own) ELSE 0 END) / sum(own) AS f1_score, sum(hit) / sum(own) AS accuracy FROM n),
+    long AS (UNPIVOT m ON f1_score, precision, recall, accuracy INTO NAME metric_name VALUE candidate)
+    SELECT metric_name, round(candidate, 6) AS candidate, NULL::DOUBLE AS baseline, threshold, higher_is_better, candidate >= threshold AS passed
+    FROM long LEFT JOIN (VALUES ('accuracy', 0.8::DOUBLE, true), ('f1_score', 0.5::DOUBLE, true)) v(metric_name, threshold, higher_is_better)
+        USING (metric_name)
+    """
+)
 def features_to_gate(spark, folder):
     """The whole path: annotate, featurize, upsert, split, look up, fit, score, measure, gate."""
     labels = table(spark, folder, "labels", "doc_id", "quality")
     documents = table(spark, folder, "documents", "doc_id", "text")
-    embed = text_featurizer(share_weights(spark, text_weights()))
+    embed = _per_character(text_featurizer(share_weights(spark, text_weights())))
     annotated = annotate(labels, documents, "doc_id").withColumn("id", F.sha2(F.col("doc_id").cast("string"), 256))
     rows = annotated.select("id", F.col("quality").alias("label"), embed("text").alias("features"))
 
@@ -307,6 +333,7 @@ def features_to_gate(spark, folder):
         [FeatureLookup(name, ("features",), ("id",), missing="error")],
         scratch_path(spark, "package"),
         run_mode="dry_run",
+        pipeline=_text_layer("id"),
     )
     return result.report.withColumn("candidate", F.round("candidate", 6))
 
