@@ -10,6 +10,7 @@ way from the root, so that all blocks of all conversations are aggregated togeth
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -108,7 +109,7 @@ def _rolled(blocks: DataFrame, **aggregates: str) -> DataFrame:
     conversations that end earlier: no node. The node at a block's start is the
     end of the block before, so only the root is taken from there.
     """
-    view = "patchloom_trie_blocks"
+    view = f"trie_blocks_{uuid.uuid4().hex}"  # a session may build several tries at once
     blocks.createOrReplaceTempView(view)
     listed = ", ".join(_TURNS)
     session = blocks.sparkSession
