@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,45 +31,93 @@ BACKOFF = 8.0
 # Evidence asked for before a string counts as random, in nats.
 LEAST_EVIDENCE = 12.0
 _BLOCK = 256
+_FOUND = "array<struct<start:bigint,end:bigint,value:string>>"
 
 
-def _running(lengths: Column) -> Column:
-    """Running totals of an array, in blocks, so that the work per element is bounded."""
-    block = lambda b: F.slice(lengths, b * _BLOCK + 1, F.lit(_BLOCK))
-    add = lambda a, x: a + x
-    zero = F.lit(0).cast("bigint")
-    blocks = F.when(F.size(lengths) > 0, F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / _BLOCK).cast("int")))
-    blocks = F.coalesce(blocks, F.array().cast("array<int>"))
-    totals = F.transform(blocks, lambda b: F.aggregate(block(b), zero, add))
-    before = lambda b: F.aggregate(F.slice(totals, F.lit(1), b), zero, add)
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once; an expression that a lambda mentions is computed at every mention."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-    def one(b: Column) -> Column:
-        start = before(b)
-        return F.transform(block(b), lambda _, i: start + F.aggregate(F.slice(block(b), F.lit(1), i + 1), zero, add))
 
-    return F.flatten(F.transform(blocks, one))
+def _scan_array(items: Column, state: Column, step: Callable, emit: Callable, emitted: str) -> Column:
+    """What ``emit(state, item)``, an array of type ``emitted``, gives along an array; ``step(state, item)`` is the next state.
+
+    Work is linear: what has been given out is copied in blocks of 256 only.
+    """
+    none = F.array().cast(emitted)
+
+    def one(acc: Column, item: Column) -> Column:
+        return F.struct(
+            step(acc["state"], item).alias("state"), F.concat(acc["out"], emit(acc["state"], item)).alias("out")
+        )
+
+    def scan(array: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.size(array) - 1) / _BLOCK).cast("int"))
+
+        def block(acc: Column, b: Column) -> Column:
+            start = F.struct(acc["state"].alias("state"), none.alias("out"))
+            done = F.aggregate(F.slice(array, b * _BLOCK + 1, F.lit(_BLOCK)), start, one)
+            return _let(done, lambda d: F.struct(d["state"].alias("state"), F.concat(acc["out"], F.array(d["out"])).alias("out")))
+
+        zero = F.struct(state.alias("state"), F.array().cast(f"array<{emitted}>").alias("out"))
+        return F.when(F.size(array) > 0, F.flatten(F.aggregate(blocks, zero, block, lambda acc: acc["out"]))).otherwise(none)
+
+    return _let(items, scan)
 
 
 def matches(text: Column, pattern: str) -> Column:
     """All leftmost, non-overlapping matches: array of (start, end, value), in code points, end exclusive.
 
-    The pieces between matches give the places; texts without a match stop at the first look.
+    The pieces between matches give the places; texts without a match stop at the
+    first look. Work is linear in the text and in the number of matches.
     """
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    # Each match ends where the pieces and matches up to it end.
-    pairs = F.zip_with(
-        values,
-        F.slice(pieces, F.lit(1), F.size(values)),
-        lambda v, p: F.struct(v.alias("value"), (F.length(p) + F.length(v)).cast("bigint").alias("step")),
+    pairs = F.zip_with(values, F.split(text, pattern, -1), lambda v, p: F.struct(v.alias("value"), p.alias("before")))
+    # The piece after the last match has no value beside it.
+    pairs = F.filter(pairs, lambda x: x["value"].isNotNull())
+    begin = lambda end, x: end + F.length(x["before"])
+    close = lambda end, x: (begin(end, x) + F.length(x["value"])).cast("bigint")
+    found = _scan_array(
+        pairs,
+        F.lit(0).cast("bigint"),
+        close,
+        lambda end, x: F.array(F.struct(begin(end, x).alias("start"), close(end, x).alias("end"), x["value"].alias("value"))),
+        _FOUND,
     )
-    ends = _running(F.transform(pairs, lambda x: x["step"]))
-    found = F.zip_with(
-        values,
-        ends,
-        lambda v, e: F.struct((e - F.length(v)).alias("start"), e.alias("end"), v.alias("value")),
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_FOUND))
+
+
+def apart_from(found: Column, spans: Column) -> Column:
+    """The matches, in order, that overlap none of the spans (arrays of structs with start and end); linear after sorting.
+
+    Of the spans that begin before a match's end, all must have ended by its start: one walk
+    over the sorted ends of both counts them.
+    """
+    none = F.lit(None).cast(_FOUND.removeprefix("array<").removesuffix(">"))
+    event = lambda at, order, match: F.struct(at.alias("at"), F.lit(order).alias("order"), match.alias("match"))
+    # At one place: spans and matches end before any begins; a span's end is counted before a match begins.
+    events = F.concat(
+        F.transform(found, lambda m: event(m["end"], 0, m)),
+        F.transform(spans, lambda s: event(s["end"], 1, none)),
+        F.transform(found, lambda m: event(m["start"], 2, none)),
+        F.transform(spans, lambda s: event(s["start"], 3, none)),
+    )
+
+    def step(state: Column, e: Column) -> Column:
+        ended = state["ended"] + F.when(e["order"] == 1, 1).otherwise(0)
+        return F.struct(
+            (state["begun"] + F.when(e["order"] == 3, 1).otherwise(0)).alias("begun"),
+            ended.alias("ended"),
+            F.when(e["order"] == 2, ended).otherwise(state["before"]).alias("before"),
+        )
+
+    return _scan_array(
+        F.array_sort(events),
+        F.struct(*[F.lit(0).alias(n) for n in ("begun", "ended", "before")]),
+        step,
+        lambda state, e: F.when((e["order"] == 0) & (state["begun"] == state["before"]), F.array(e["match"])).otherwise(F.array().cast(_FOUND)),
+        _FOUND,
     )
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,value:string>>"))
 
 
 def base_spans(text: Column) -> Column:
@@ -86,15 +135,11 @@ def _as_kind(found: Column, kind: int) -> Column:
     )
 
 
-def _state(value: Column, i: Column) -> Column:
-    """The state of the i-th character, counted from 1; 0 before the first."""
-    return F.when(i < 1, 0).otherwise(F.instr(F.lit(ALPHABET), F.substr(value, i, F.lit(1))))
-
-
 def transitions(value: Column) -> Column:
     """Numbers of the character pairs of a string, its start included."""
-    steps = F.when(F.length(value) > 0, F.sequence(F.lit(1), F.length(value)))
-    return F.transform(steps, lambda i: _state(value, i - 1) * STATES + _state(value, i))
+    states = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    pairs = _let(states, lambda s: F.zip_with(F.concat(F.array(F.lit(0)), F.slice(s, F.lit(1), F.size(s) - 1)), s, lambda a, b: a * STATES + b))
+    return F.when(F.length(value) > 0, pairs)
 
 
 def fit(samples: DataFrame, value: str = "value", random: str = "random") -> list[float]:
@@ -168,13 +213,13 @@ def scan(
     Candidates of the models are runs of 16 or more key characters that touch no
     span of a fixed pattern; they count from ``least_evidence`` nats on. Null
     text is empty and has no spans; rows are independent of each other, so
-    repeated rows and null ids each give a row; an empty table gives none.
+    repeated rows and null ids each give a row; an empty table gives none. However many
+    matches a text has, its work grows with its length and with n log n of them.
     """
     rows = docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text"))
     with_base = rows.withColumn("base", base_spans(F.col("text")))
-    apart = lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
     scored = F.transform(
-        F.filter(matches(F.col("text"), CANDIDATE), apart),
+        _let(matches(F.col("text"), CANDIDATE), lambda found: apart_from(found, F.col("base"))),
         lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value"), evidence(m["value"], ratios).alias("evidence")),
     )
     full = lambda kind, level: lambda m: F.struct(

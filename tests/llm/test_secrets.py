@@ -1,7 +1,9 @@
 """Fixed patterns against Python's engine; the models on held-out strings."""
 
+import math
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,3 +71,81 @@ def test_samples_come_from_a_bounded_number_of_documents(spark):
     assert sum(r["random"] for r in samples) == 10
     again = secrets.labelled_samples(docs.repartition(3), "doc_id", "text", most=10).collect()
     assert sorted(map(tuple, samples)) == sorted(map(tuple, again))
+
+
+def _plain_pairs(value):
+    states = [secrets.ALPHABET.find(c) + 1 for c in value]
+    return [a * secrets.STATES + b for a, b in zip([0, *states], states, strict=False)]
+
+
+def _plain_fit(samples):
+    counts = [[0.0] * secrets.STATES**2 for _ in range(2)]
+    for value, kind in samples:
+        for pair in _plain_pairs(value or "") if kind is not None else ():
+            counts[kind][pair] += 1
+    share = []
+    for own in counts:
+        after = [sum(own[a * secrets.STATES + b] for a in range(secrets.STATES)) + 0.5 for b in range(secrets.STATES)]
+        from_ = [sum(own[a * secrets.STATES : (a + 1) * secrets.STATES]) for a in range(secrets.STATES)]
+        share.append(
+            [
+                (own[p] + secrets.BACKOFF * after[p % secrets.STATES] / sum(after)) / (from_[p // secrets.STATES] + secrets.BACKOFF)
+                for p in range(secrets.STATES**2)
+            ]
+        )
+    return [math.log(r / o) for o, r in zip(*share, strict=True)]
+
+
+def _plain_spans(text, ratios):
+    spans = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 6]
+    spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if m.end() - m.start() >= 20]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if m.end() - m.start() >= 24]
+    added = []
+    for m in re.finditer("[A-Za-z0-9+/_=-]{16,}", text):
+        if not any(a < m.end() and m.start() < b for a, _, b in spans):
+            level = sum(ratios[p] for p in _plain_pairs(m.group()))
+            added.append((m.start(), 3, m.end(), level))
+    # Beside the limit the order of the sum decides; such a span may be there or not.
+    return spans + [x[:3] for x in added if x[3] >= secrets.LEAST_EVIDENCE], {x[:3] for x in added if abs(x[3] - secrets.LEAST_EVIDENCE) < 1e-9}
+
+
+def test_model_and_spans_against_plain_python(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    samples = [(r["value"], r["random"]) for r in secrets.labelled_samples(docs, "doc_id", "text").collect()]
+    ratios = secrets.fit(secrets.labelled_samples(docs, "doc_id", "text"))
+    assert ratios == pytest.approx(_plain_fit(samples))
+    rng = random.Random(3)
+    marks = ["".join(rng.choice(secrets.ALPHABET) for _ in range(rng.choice([15, 16, 30]))) for _ in range(40)]
+    made = [(10**9 + i, " ".join(rng.choice([*marks, "token=", "é", "ab" * 14, "AKIA" + "B" * 16, "=", "a_name_of_something"]) for _ in range(60))) for i in range(20)]
+    made += [(2 * 10**9 + i, "".join(rng.choice([*marks, "token=", ".", " ", "ab" * 14]) for _ in range(40))) for i in range(20)]
+    rows = docs.unionByName(spark.createDataFrame(made, "doc_id bigint, text string"))
+    found = {r["doc_id"]: [(s["start"], s["kind"], s["end"]) for s in r["spans"]] for r in secrets.scan(rows, ratios).collect()}
+    extra = 0
+    for doc_id, text in rows.collect():
+        want, either = _plain_spans(text or "", ratios)
+        assert found[doc_id] == sorted(found[doc_id])
+        assert set(found[doc_id]) - either == set(want) - either
+        extra += sum(k == 3 for _, k, _ in want)
+    assert extra > 100
+
+
+def test_many_matches_and_long_runs_take_linear_work(spark):
+    rng = random.Random(11)
+    text = lambda n: " ".join(f"{rng.getrandbits(128):032x} " + "".join(rng.choice(secrets.ALPHABET[:62]) for _ in range(24)) for _ in range(n))
+    ratios = _plain_fit([("Zq3Xv9Lk2", True), ("a_plain_name", False)] * 20)
+
+    def seconds(body):
+        docs = spark.createDataFrame([(1, body)], "doc_id bigint, text string")
+        begin = time.monotonic()
+        spans = [(s["start"], s["kind"], s["end"]) for s in secrets.scan(docs, ratios).first()["spans"]]
+        return time.monotonic() - begin, spans
+
+    seconds(text(10))
+    body = text(10_000)
+    took, spans = seconds(body)
+    hexes = [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]{24,}", body)]
+    assert [s for s in spans if s[1] == 2] == hexes
+    assert took < 30
+    run = "".join(rng.choice(secrets.ALPHABET[:62]) for _ in range(1_000_000))
+    took, spans = seconds(f"é {run} end")
+    assert took < 30 and spans in ([], [(2, 3, 1_000_002)])
