@@ -9,10 +9,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from patchloom.llm.common import in_small_batches, store
 
 _SEED = 31337
+_CLASS_BYTES = 32
 
 
 @dataclass(frozen=True)
@@ -41,19 +43,32 @@ def usable(vector: Column) -> Column:
 
 def _band(vector: Column) -> Column:
     """Of the vector's length: lengths within one band differ by a factor of 8 at most, so that no vector drowns others in rounding."""
-    square = F.aggregate(vector, F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
-    return F.round(F.log2(square) / 6).cast("int")
+    # Against the largest component, because the square of a large one leaves the range of doubles.
+    largest = F.array_max(F.transform(vector, lambda x: F.abs(x).cast("double")))
+    square = lambda top: F.aggregate(vector, F.lit(0.0), lambda total, x: total + (x / top) * (x / top))
+    length = F.get(F.transform(F.array(largest), lambda top: F.log2(top) + F.log2(square(top)) / 2), F.lit(0))
+    return F.round(length / 3).cast("int")
 
 
 def _lifted(vectors: np.ndarray) -> np.ndarray:
     """Vectors over the longest one's length, with one more coordinate, so that the largest inner product is the smallest distance among them."""
     vectors = vectors.astype(np.float64)
+    vectors = vectors / (np.abs(vectors).max(initial=0) or 1.0)
     norms = (vectors * vectors).sum(axis=1)
     longest = np.sqrt(norms.max(initial=0)) or 1.0
     vectors, norms = vectors / longest, norms / longest**2
     return np.concatenate([vectors, np.sqrt(np.maximum(norms.max(initial=0) - norms, 0))[:, None]], axis=1).astype(np.float32)
 
 
+def _products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Inner products row by row, summed in double precision from the first component to the last."""
+    total = np.zeros(len(queries))
+    with np.errstate(over="ignore", invalid="ignore"):
+        for a, b in zip(queries.T.astype(np.float64), vectors.T.astype(np.float64), strict=True):
+            total += a * b
+    return total
+
+
 def _search(points: np.ndarray, squares: np.ndarray, edges: np.ndarray, start: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """Beam search of many queries at once: vertices and distances (less the query's own square), nearest first; -1 where none."""
     m = len(queries)
@@ -153,15 +168,16 @@ def build_graph(vectors: np.ndarray, settings: Graph) -> tuple[np.ndarray, int]:
     return edges, start
 
 
-def _build(settings: Graph) -> Callable[[pa.Table], pa.Table]:
+def _build(settings: Graph, kind: str) -> Callable[[pa.Table], pa.Table]:
     def build(table: pa.Table) -> pa.Table:
         table = table.sort_by("member")
-        vectors = np.stack(table.column("vector").to_numpy(zero_copy_only=False)).astype(np.float32)
+        vectors = np.stack(table.column("vector").to_numpy(zero_copy_only=False)).astype(kind)
         edges, start = build_graph(vectors, settings)
         return pa.table(
             {
                 "shard": table.column("shard").slice(0, 1),
                 "members": pa.array([table.column("member").to_numpy().astype("<i8").tobytes()], pa.binary()),
+                "classes": pa.array([b"".join(table.column("class").to_pylist())], pa.binary()),
                 "vectors": pa.array([vectors.tobytes()], pa.binary()),
                 "edges": pa.array([edges.astype("<i4").tobytes()], pa.binary()),
                 "start": pa.array([start], pa.int32()),
@@ -171,8 +187,11 @@ def _build(settings: Graph) -> Callable[[pa.Table], pa.Table]:
     return build
 
 
-def _query(settings: Graph, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows sorted by (shard, block): a shard's graph (block -1), then the blocks of queries that go through it."""
+def _query(settings: Graph, most: int, kind: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows sorted by (shard, block): a shard's graph (block -1), then the blocks of queries that go through it.
+
+    Every vertex of a query's beam is scored on the stored vectors; the shard's best ``most + 1`` go on.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = None
@@ -180,38 +199,49 @@ def _query(settings: Graph, most: int) -> Callable[[Iterator[pa.RecordBatch]], I
             for row in batch.to_pylist():
                 if row["block"] < 0:
                     members = np.frombuffer(row["members"], "<i8")
-                    vectors = np.frombuffer(row["vectors"], np.float32).reshape(len(members), -1)
-                    points = _lifted(vectors)
+                    classes = np.frombuffer(row["classes"], f"V{_CLASS_BYTES}")
+                    vectors = np.frombuffer(row["vectors"], kind).reshape(len(members), -1)
                     edges = np.frombuffer(row["edges"], "<i4").reshape(len(members), -1).astype(np.int64)
-                    # A query ranks by the inner product alone: the lifted squares are all the same.
-                    graph = (members, points, np.zeros(len(points), np.float32), edges, row["start"])
+                    graph = (members, classes, vectors, _lifted(vectors), edges, row["start"])
                     continue
-                members, points, squares, edges, start = graph
+                members, classes, vectors, points, edges, start = graph
                 asked = np.frombuffer(row["members"], "<i8")
-                queries = np.frombuffer(row["vectors"], np.float32).reshape(len(asked), -1).astype(np.float64)
+                own = np.frombuffer(row["vectors"], kind).reshape(len(asked), -1)
+                queries = own.astype(np.float64)
+                queries /= np.abs(queries).max(axis=1, keepdims=True)
                 queries /= np.sqrt((queries * queries).sum(axis=1, keepdims=True))
                 lifted = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1).astype(np.float32)
-                found, _ = _search(points, squares, edges, start, lifted, max(settings.beam, most + 1))
-                found = found[:, : most + 1]
+                # A query ranks by the inner product alone: the lifted squares are all the same.
+                found, _ = _search(points, np.zeros(len(points), np.float32), edges, start, lifted, max(settings.beam, most + 1))
                 q, r = np.nonzero(found >= 0)
+                vertex = found[q, r]
+                score = _products(own[q], vectors[vertex])
+                order = np.lexsort((members[vertex], -score, q))
+                q, vertex, score = q[order], vertex[order], score[order]
+                place = np.arange(len(q)) - np.searchsorted(q, q)
+                q, vertex, score = (x[place <= most] for x in (q, vertex, score))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(asked[q]), pa.array(members[found[q, r]])], names=["query_id", "member"]
+                    [pa.array(asked[q]), pa.array([c.tobytes() for c in classes[vertex]], pa.binary()), pa.array(score)],
+                    names=["query_id", "class", "score"],
                 )
 
     return run
 
 
-def _blocks(rows: pa.Table) -> pa.Table:
-    rows = rows.sort_by("id")
-    vectors = np.stack(rows.column("vector").to_numpy(zero_copy_only=False)).astype(np.float32)
-    return pa.table(
-        {
-            "dim": rows.column("dim").slice(0, 1),
-            "block": rows.column("block").slice(0, 1),
-            "members": pa.array([rows.column("id").to_numpy().astype("<i8").tobytes()], pa.binary()),
-            "vectors": pa.array([vectors.tobytes()], pa.binary()),
-        }
-    )
+def _blocks(kind: str) -> Callable[[pa.Table], pa.Table]:
+    def block(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("id")
+        vectors = np.stack(rows.column("vector").to_numpy(zero_copy_only=False)).astype(kind)
+        return pa.table(
+            {
+                "dim": rows.column("dim").slice(0, 1),
+                "block": rows.column("block").slice(0, 1),
+                "members": pa.array([rows.column("id").to_numpy().astype("<i8").tobytes()], pa.binary()),
+                "vectors": pa.array([vectors.tobytes()], pa.binary()),
+            }
+        )
+
+    return block
 
 
 def nearest(
@@ -228,20 +258,24 @@ def nearest(
     stands for its smallest ``most + 1`` ids, which is all that a result can
     show of them. Vertices are dealt to shards by length and hash; each shard is one graph,
     built in one task, and every block of queries goes through every shard of
-    its dimension. Found vertices are scored anew in double precision on the stored vectors.
+    its dimension. Found vertices are scored there, in double precision on the stored vectors;
+    floats stay floats, any other number becomes a double.
 
     Null ids and vectors that are null, empty, zero or hold null or non-finite
     components take no part. Vectors of different length are never compared.
-    Rows that share an id and vector count once. Ties go to the smaller id.
-    An empty table gives an empty result.
+    Rows that share an id and vector count once; an id with several vectors can be found once
+    for each, and if it asks, its one list ranks every found row by the better score. Ties go to the smaller id.
+    A product beyond the range of doubles is infinite. An empty table gives an empty result.
     """
-    vector = F.col(vector_column).cast("array<float>")
+    narrow = isinstance(getattr(vectors.schema[vector_column].dataType, "elementType", None), FloatType)
+    kind, name = ("<f4", "float") if narrow else ("<f8", "double")
+    vector = F.col(vector_column).cast(f"array<{name}>")
     rows = vectors.select(F.col(id_column).cast("bigint").alias("id"), vector.alias("vector"), F.coalesce(queries, F.lit(False)).alias("asks"))
     rows = store(
         rows.filter(F.col("id").isNotNull() & usable(F.col("vector")))
         .groupBy("id", "vector")
         .agg(F.max("asks").alias("asks"))
-        .withColumn("class", F.sha2(F.concat(F.lit("v"), F.array_join(F.col("vector").cast("array<string>"), ",")), 256)),
+        .withColumn("class", F.unhex(F.sha2(F.array_join(F.col("vector").cast("array<string>"), ","), 4 * 2 * _CLASS_BYTES))),
         "vectors",
     )
     # The smallest ids of a class, first of each hashed share of it, then of all.
@@ -260,33 +294,26 @@ def nearest(
     placed = vertices.join(sizes, ["dim", "band"]).withColumn("shard", F.concat_ws("/", "dim", "band", F.pmod(F.xxhash64("member"), "shards")))
     n_shards = max(1, sizes.agg(F.sum("shards")).first()[0] or 0)
     # A task per shard: building a graph costs far more than its bytes tell.
-    graphs = placed.select("shard", "member", "vector").repartition(n_shards, "shard").groupBy("shard").applyInArrow(
-        _build(settings), "shard string, members binary, vectors binary, edges binary, start int"
+    graphs = placed.select("shard", "member", "class", "vector").repartition(n_shards, "shard").groupBy("shard").applyInArrow(
+        _build(settings, kind), "shard string, members binary, classes binary, vectors binary, edges binary, start int"
     )
     graphs = store(graphs, "graphs")
 
-    asking = rows.filter("asks").select("id", "vector", F.size("vector").alias("dim"), "class")
+    asking = rows.filter("asks").select("id", "vector", F.size("vector").alias("dim"))
     counts = asking.groupBy("dim").agg(F.ceil(F.count("*") / settings.query_block).cast("int").alias("blocks"))
     dealt = asking.join(store(counts, "query-blocks"), "dim").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    blocks = dealt.select("dim", "block", "id", "vector").groupBy("dim", "block").applyInArrow(_blocks, "dim int, block int, members binary, vectors binary")
+    blocks = dealt.select("dim", "block", "id", "vector").groupBy("dim", "block").applyInArrow(_blocks(kind), "dim int, block int, members binary, vectors binary")
     sent = (
         blocks.join(sizes, "dim")
         .withColumn("number", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
         .select(F.concat_ws("/", "dim", "band", "number").alias("shard"), "block", "members", "vectors")
     )
     work = graphs.withColumn("block", F.lit(-1)).unionByName(sent, allowMissingColumns=True)
-    found = (
-        work.repartition(n_shards, "shard").sortWithinPartitions("shard", "block").mapInArrow(_query(settings, most), "query_id bigint, member bigint")
-    )
-    # From found vertices to rows: the class's smallest ids, scored on the stored vectors.
-    candidates = (
-        found.join(vertices.select("member", "class", "vector"), "member")
-        .join(asking.select(F.col("id").alias("query_id"), F.col("vector").alias("own")).distinct(), "query_id")
-    )
-    product = F.aggregate(
-        F.zip_with("own", "vector", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda total, x: total + x
+    found = work.repartition(n_shards, "shard").sortWithinPartitions("shard", "block").mapInArrow(
+        _query(settings, most, kind), "query_id bigint, class binary, score double"
     )
-    scored = store(candidates.select("query_id", "class", product.alias("score")).distinct(), "scored")
+    # From found vertices to rows: the class's smallest ids.
+    scored = store(found.groupBy("query_id", "class").agg(F.max("score").alias("score")), "scored")
     top = scored.withColumn("place", F.rank().over(Window.partitionBy("query_id").orderBy(F.desc("score")))).filter(F.col("place") <= most + 1)
     named = top.join(members.select("class", F.col("id").alias("id")), "class").filter("id <> query_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))

@@ -1,5 +1,7 @@
 """Nearest neighbours against brute force."""
 
+from functools import reduce
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -84,3 +86,28 @@ def test_recall_beside_very_long_vectors(spark):
     want = exact(rows, lambda i: i % 20 == 0, 10)
     assert found.keys() == want.keys()
     assert sum(len({i for i, _ in found[q]} & {i for i, _ in want[q]}) for q in want) >= 0.95 * 10 * len(want)
+
+
+def test_doubles_keep_their_precision_and_range(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, (rng.normal(size=6) * 10.0 ** rng.choice([-30, 0, 30])).tolist()) for i in range(1200)]
+    rows += [(3000, [0.1, 0, 0, 0, 0, 0]), (3001, [1.7, 0, 0, 0, 0, 0]), (3002, [1e39, 1e-39, 0, 0, 0, 0]), (3020, [0, 0, 0, 0, 0, 1e200]), (3021, [0, 0, 0, 0, 1e-200, 0])]
+    rows = [(i, [float(x) for x in v]) for i, v in rows]
+    frame = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA.replace("float", "double"))
+    found = found_by(frame, F.col("vec_id") % 20 == 0, 10, Graph(shard_vectors=300))
+    vectors = dict(rows)
+    product = lambda a, b: reduce(lambda total, x: total + x, (x * y for x, y in zip(a, b, strict=True)), 0.0)  # noqa: E731 - sum() compensates
+    want = {}
+    for q in (i for i in vectors if i % 20 == 0):
+        scored = [(-product(vectors[q], v), i) for i, v in rows if i != q]
+        want[q] = sorted(scored)[:10]
+    assert found.keys() == want.keys()
+    assert all(s == product(vectors[q], vectors[i]) for q in found for i, s in found[q])
+    hits = sum(len({i for i, _ in found[q]} & {i for _, i in want[q]}) for q in want)
+    assert hits >= 0.95 * 10 * len(want)
+
+
+def test_one_id_with_several_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 2.0]), (1, [3.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])]
+    frame = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
+    assert found_by(frame, F.col("vec_id") == 0, 5) == {0: [(1, 3.0), (1, 2.0), (2, 2.0)]}
