@@ -10,14 +10,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patchloom.llm.common import in_small_batches, store
+from patchloom.llm.common import in_small_batches
 from patchloom.llm.shingles import WordHasher
 
 _SEED = 99991
 # Words share so many vectors of so many dimensions; an index vector has NONZERO entries of +1 or -1.
 SLOTS, WIDTH, NONZERO, WINDOW = 16384, 48, 6, 2
-# Labelled documents to fit on, chosen by hash, in a fixed number of tasks; texts beyond the size are not learnt from.
-TRAINING_ROWS, TRAINING_TASKS, TRAINING_BYTES = 12_000, 12, 65536
+# Labelled documents the network is fitted on, chosen by hash.
+TRAINING_ROWS = 12_000
+# Words that are looked at together.
+CHUNK_WORDS = 1 << 15
 HIDDEN, EPOCHS, BATCH, RATE = 32, 40, 256, 0.003
 
 
@@ -48,21 +50,25 @@ def word_slots(words: np.ndarray) -> np.ndarray:
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of the index vectors around every word, one row per slot that has any."""
-    hasher, index = WordHasher(), index_vectors().astype(np.int64)
+    hasher, index = WordHasher(), index_vectors()
     total = np.zeros((SLOTS, WIDTH), np.int64)
     for batch in batches:
         for _, _, words, offsets, _ in hasher.texts(batch.column(0)):
             slots = word_slots(words)
             owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-            around = np.zeros((len(slots), WIDTH), np.int64)
-            for step in range(1, WINDOW + 1):
-                same = (owner[step:] == owner[:-step])[:, None]
-                around[step:] += index[slots[:-step]] * same
-                around[:-step] += index[slots[step:]] * same
-            order = np.argsort(slots, kind="stable")
-            if len(order):
-                begins = np.flatnonzero(np.diff(slots[order], prepend=-1))
-                total[slots[order][begins]] += np.add.reduceat(around[order], begins, axis=0)
+            for at in range(0, len(slots), CHUNK_WORDS):
+                # With the neighbours before and after the chunk, whose own sums belong to other chunks.
+                first, to = max(0, at - WINDOW), min(len(slots), at + CHUNK_WORDS)
+                near, text = slots[first : to + WINDOW], owner[first : to + WINDOW]
+                around = np.zeros((len(near), WIDTH), np.int8)
+                for step in range(1, WINDOW + 1):
+                    same = (text[step:] == text[:-step])[:, None]
+                    around[step:] += index[near[:-step]] * same
+                    around[:-step] += index[near[step:]] * same
+                own, around = near[at - first : to - first], around[at - first : to - first]
+                order = np.argsort(own, kind="stable")
+                begins = np.flatnonzero(np.diff(own[order], prepend=-1))
+                total[own[order][begins]] += np.add.reduceat(around[order], begins, axis=0, dtype=np.int64)
     used = np.flatnonzero(total.any(axis=1))
     own = pa.ListArray.from_arrays(pa.array(np.arange(len(used) + 1, dtype=np.int32) * WIDTH), pa.array(total[used].reshape(-1)))
     yield pa.RecordBatch.from_arrays([pa.array(used), own], names=["slot", "v"])
@@ -137,11 +143,12 @@ def _fit_network(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality") -> QualityModel:
-    """Fit on at most TRAINING_ROWS labelled documents, those whose ids have the smallest hashes.
+    """Fit on all texts, and of the labels on at most TRAINING_ROWS, those whose ids have the smallest hashes.
 
-    Word vectors are learnt from the words around each word of those texts; a
-    fifth of them is kept from the network and sets the temperature. Null ids,
-    labels and texts are not learnt from. With one label only, or none, every score is
+    Word vectors need no label: they are learnt from the words around each word of all whole
+    texts, in one row per word slot and task. A fifth of the labelled documents is kept from
+    the network and sets the temperature. Texts stay where they are; of a labelled one its
+    features go on, however long it is. Null ids, labels and texts are not learnt from. With one label only, or none, every score is
     that label's share (one half without labels).
     """
     known = labels.filter(F.col(label_column).isNotNull() & F.col(id_column).isNotNull())
@@ -151,15 +158,8 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
         .limit(TRAINING_ROWS)
     )
     text = F.col(text_column).cast("string")
-    sample = (
-        docs.filter(F.octet_length(text) <= TRAINING_BYTES)
-        .select(F.col(id_column).alias("__id"), text.alias("__text"))
-        .join(F.broadcast(chosen), "__id")
-        .select(F.col("__text").alias("text"), F.col("__label").alias("label"), F.xxhash64("__id", "__label").alias("place"))
-        .repartition(TRAINING_TASKS, "place")
-    )
-    sample = store(sample, "quality-sample")
-    parts = in_small_batches(sample).select("text").mapInArrow(_contexts, "slot bigint, v array<bigint>")
+    texts = in_small_batches(docs.filter(text.isNotNull()).select(F.col(id_column).alias("__id"), text.alias("text")))
+    parts = texts.select("text").mapInArrow(_contexts, "slot bigint, v array<bigint>")
     sums = parts.groupBy("slot").agg(F.array(*[F.sum(F.col("v")[i]) for i in range(WIDTH)]).alias("v"))
     rows = sums.toArrow()
     vectors = np.zeros((SLOTS, WIDTH), np.float32)
@@ -167,6 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
         vectors[rows.column("slot").to_numpy()] = rows.column("v").combine_chunks().flatten().to_numpy().reshape(-1, WIDTH)
     vectors /= np.maximum(np.sqrt((vectors * vectors).sum(axis=1, keepdims=True)), 1e-9)
 
+    sample = texts.join(F.broadcast(chosen), "__id").select("text", F.col("__label").alias("label"), F.xxhash64("__id", "__label").alias("place"))
     fitted = sample.mapInArrow(_features(vectors), "features array<float>, label double, place bigint").toArrow().sort_by("place")
     width = 2 * WIDTH + 4
     if not fitted.num_rows:

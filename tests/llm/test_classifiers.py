@@ -1,5 +1,7 @@
 """Language and quality classifiers: held-out accuracy, and defined results for hard rows."""
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -111,6 +113,48 @@ def test_word_vectors_are_sums_of_neighbours():
     assert (found[two] == index[one].astype(int) + index[three]).all()
 
 
+def test_word_vectors_of_long_texts_against_a_plain_count(monkeypatch):
+    monkeypatch.setattr(quality, "CHUNK_WORDS", 7)
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 9, n)) for n in (200, 1, 0, 2, 3, 50)]
+    index, hasher = quality.index_vectors().astype(int), quality.WordHasher()
+    want = {}
+    for text in texts:
+        slots = quality.word_slots(next(hasher.texts(pa.array([text])))[2]) if text else []
+        for i, own in enumerate(slots):
+            near = [j for j in range(max(0, i - quality.WINDOW), min(len(slots), i + quality.WINDOW + 1)) if j != i]
+            want[own] = want.get(own, 0) + sum((index[slots[j]] for j in near), np.zeros(quality.WIDTH, int))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    found = {s: np.array(v) for b in quality._contexts(iter([batch])) for s, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)}
+    assert found.keys() == {s for s, v in want.items() if v.any()}
+    assert all((found[s] == want[s]).all() for s in found)
+
+
+def test_network_and_score_against_a_plain_version():
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(quality.SLOTS, quality.WIDTH)).astype(np.float32)
+    layers = (rng.normal(size=(2 * quality.WIDTH + 4, 3)), rng.normal(size=3), rng.normal(size=(3, 1)), rng.normal(size=1))
+    model = quality.QualityModel(vectors, rng.normal(size=2 * quality.WIDTH + 4), np.full(2 * quality.WIDTH + 4, 1.5), layers, 2.0)
+    words, hasher = "one two two three".split(), quality.WordHasher()
+    _, _, hashes, offsets, _ = next(hasher.texts(pa.array([" ".join(words)])))
+    own = [vectors[s].astype(float) for s in quality.word_slots(hashes)]
+    mean = sum(own) / 4
+    deviation = np.sqrt(sum((v - mean) ** 2 for v in own) / 4)
+    features = [*mean, *deviation, 1 / 4, math.sqrt(sum(mean**2)), sum(float(v @ v) for v in own) / 4, math.log(5)]
+    scaled = [(x - c) / 1.5 for x, c in zip(features, model.centre, strict=True)]
+    hidden = [max(0.0, sum(x * w for x, w in zip(scaled, layers[0][:, h], strict=True)) + layers[1][h]) for h in range(3)]
+    logit = sum(h * w for h, w in zip(hidden, layers[2][:, 0], strict=True)) + layers[3][0]
+    assert model.score(quality.pooled(hashes, offsets, vectors))[0] == pytest.approx(1 / (1 + math.exp(-logit / 2)), rel=1e-4)
+
+
+def test_long_labelled_texts_are_learnt_from(spark, documents):
+    rows = [(i, ("good fine " if i % 2 else "bad poor ") * 10_000) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id bigint, quality int")
+    frame = documents(rows)
+    scores = {r["doc_id"]: r["score"] for r in quality.score(frame, quality.train(frame, labels)).collect()}
+    assert all((scores[i] > 0.5) == (i % 2 == 1) for i in range(40))
+
+
 @pytest.mark.parametrize("text", [None, "a", "ab cd"])
 def test_memory_of_many_short_texts(text):
     """10,000 texts of one batch stay below 200 MB, and no group is left out."""
