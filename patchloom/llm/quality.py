@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -48,9 +49,10 @@ def word_slots(words: np.ndarray) -> np.ndarray:
     return (words >> np.uint64(50)).astype(np.int64)
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _contexts(batches: Iterator[pa.RecordBatch], index: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     """Sums of the index vectors around every word, one row per slot that has any."""
-    hasher, index = WordHasher(), index_vectors()
+    hasher = WordHasher()
+    index = index_vectors() if index is None else index
     total = np.zeros((SLOTS, WIDTH), np.int64)
     for batch in batches:
         for _, _, words, offsets, _ in hasher.texts(batch.column(0)):
@@ -159,7 +161,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     )
     text = F.col(text_column).cast("string")
     texts = in_small_batches(docs.filter(text.isNotNull()).select(F.col(id_column).alias("__id"), text.alias("text")))
-    parts = texts.select("text").mapInArrow(_contexts, "slot bigint, v array<bigint>")
+    parts = texts.select("text").mapInArrow(partial(_contexts, index=index_vectors()), "slot bigint, v array<bigint>")
     sums = parts.groupBy("slot").agg(F.array(*[F.sum(F.col("v")[i]) for i in range(WIDTH)]).alias("v"))
     rows = sums.toArrow()
     vectors = np.zeros((SLOTS, WIDTH), np.float32)
