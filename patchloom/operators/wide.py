@@ -8,15 +8,17 @@ driver. A row's features are a sparse vector: a one in each column's block, then
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import nan
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from patchloom.functions.encode import Moments, category_places, fit_moments, standard_scale
 from patchloom.session import scratch_path
@@ -25,6 +27,27 @@ from patchloom.session import scratch_path
 MOST_PLACES = (1 << 31) - 1
 
 
+def _vector(places: list[Column], numbers: list[Column], width: int) -> Column:
+    """A vector of ones at the places that aren't null, and of the numbers behind all blocks; sparse where that is smaller.
+
+    It is read from its parts as JSON, the form in which Spark writes vectors too; an assembler would
+    keep a name for every place on the driver. A number that is null has no place between
+    others in a vector: NaN, which models refuse or skip.
+    """
+    numbers = [F.coalesce(n, F.lit(nan)) for n in numbers]
+    behind = [F.when(n != 0, F.lit(width - len(numbers) + k)) for k, n in enumerate(numbers)]
+    known = F.filter(F.array(*places).cast("array<int>"), lambda p: p.isNotNull())
+    indices = F.concat(known, F.filter(F.array(*behind).cast("array<int>"), lambda p: p.isNotNull()))
+    values = F.concat(F.transform(known, lambda _: F.lit(1.0)), F.filter(F.array(*numbers).cast("array<double>"), lambda n: n != 0))
+    parts = F.struct(F.lit(0).alias("type"), F.lit(width).alias("size"), indices.alias("indices"), values.alias("values"))
+    text = F.to_json(F.struct(parts.alias("vector")))
+    if 1.5 * (len(places) + len(numbers) + 1) >= width:
+        each = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.coalesce(F.get(values, F.array_position(indices, i).cast("int") - 1), F.lit(0.0)))
+        dense = F.to_json(F.struct(F.struct(F.lit(1).alias("type"), each.alias("values")).alias("vector")))
+        text = F.when(1.5 * (F.size(indices) + 1) < width, text).otherwise(dense)
+    return F.from_json(text, StructType([StructField("vector", VectorUDT())]))["vector"]
+
+
 class _WideParams(HasInputCols, HasOutputCol):
     scaleCols = Param(Params._dummy(), "scaleCols", "columns of numbers to scale", TypeConverters.toListString)
     unseen = Param(Params._dummy(), "unseen", "what a category does that the fit has not seen: error, or ignore for an empty block", TypeConverters.toString)
@@ -114,24 +137,18 @@ class WideEncoderModel(Model, _WideParams, MLReadable, MLWritable):
         names, numbers, sizes = self.getInputCols(), self.getOrDefault(self.scaleCols), self.getOrDefault(self.sizes)
         moments = [Moments(m, d) for m, d in zip(self.getOrDefault(self.means), self.getOrDefault(self.deviations), strict=True)]
         kept, placed = dataset.columns, self._placed(dataset)
-        for k, (name, size) in enumerate(zip(names, sizes, strict=True)):
-            place = F.col(f"_wide_place{k}").cast("double")
+        places = []
+        for k, name in enumerate(names):
+            place = F.col(f"_wide_place{k}") + sum(sizes[:k])
             if self.getOrDefault(self.unseen) == "error":
                 told = F.concat(F.lit(f"unseen category of {name}: "), F.coalesce(F.col(name).cast("string"), F.lit("null")))
-                place = F.coalesce(place, F.raise_error(told).cast("double"))
-            # The place after the last one is that of invalid values, and is left off.
-            placed = placed.withColumn(f"_wide_place{k}", F.coalesce(place, F.lit(float(size))))
-        blocks = [f"_wide_place{k}" for k in range(len(names))]
-        if blocks:
-            spark = dataset.sparkSession
-            ends = spark.createDataFrame([tuple(float(size - 1) for size in sizes)], ", ".join(f"{b} double" for b in blocks))
-            one_hot = OneHotEncoder(inputCols=blocks, outputCols=[f"{b}_block" for b in blocks], handleInvalid="keep", dropLast=True).fit(ends)
-            placed = one_hot.transform(placed)
-        placed = placed.withColumns({f"_wide_scaled{k}": standard_scale(F.col(c), m) for k, (c, m) in enumerate(zip(numbers, moments, strict=True))})
-        parts = [f"{b}_block" for b in blocks] + [f"_wide_scaled{k}" for k in range(len(numbers))]
-        # A number that is null has no place between others in a vector: NaN, which models refuse or skip.
-        joined = VectorAssembler(inputCols=parts, outputCol="_wide_vector", handleInvalid="keep").transform(placed)
-        return joined.select(*[c for c in kept if c != self.getOutputCol()], F.col("_wide_vector").alias(self.getOutputCol()))
+                place = F.coalesce(place, F.raise_error(told).cast("bigint"))
+            places.append(place)
+        scaled = [standard_scale(F.col(c), m) for c, m in zip(numbers, moments, strict=True)]
+        vector = _vector(places, scaled, self.width)
+        # Of the width alone: names for all places would be as many objects on the driver.
+        vector = vector.alias(self.getOutputCol(), metadata={"ml_attr": {"num_attrs": self.width}})
+        return placed.select(*[c for c in kept if c != self.getOutputCol()], vector)
 
     def write(self) -> MLWriter:
         return _WideWriter(self)

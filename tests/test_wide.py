@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
@@ -95,6 +96,13 @@ def test_many_categories_of_which_one_is_hot(spark):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_the_schema_holds_the_width_and_no_list_of_places(spark):
+    frame = spark.range(5_000).select("id", (F.col("id") % 2).alias("b"), (F.col("id") % 2).cast("double").alias("x"))
+    encoded = WideEncoder(inputCols=["id", "b"], scaleCols=["x"]).fit(frame).transform(frame)
+    assert encoded.schema["features"].metadata == {"ml_attr": {"num_attrs": 5_003}}
+    assert encoded.filter("id = 4999").first()["features"] == Vectors.sparse(5_003, [4_999, 5_001, 5_002], [1, 1, 1])
+
+
 def test_nothing_to_learn(spark):
     with pytest.raises(ValueError, match="no columns"):
         WideEncoder().fit(frame_of(spark, ROWS))
