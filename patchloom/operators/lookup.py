@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import asdict, dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -124,6 +124,8 @@ BLOCK_ROWS = 2_000_000
 # Quantiles that a hot key's time ranges lie between: as many as the hottest key has ranges, within these
 # bounds. At the upper one, reached at 3 x 10^10 rows of one key, a task's sketch of a key takes some 4 MB.
 COARSEST, FINEST = 1024, 16_384
+# Cuts of a key that are looked through at once: FINEST ranges are as many such pieces.
+_PIECE = 128
 
 
 def point_in_time_lookup(
@@ -207,31 +209,50 @@ def _time_ranges(times: DataFrame, keys: list[str], block_rows: int) -> DataFram
     spark = times.sparkSession
     sizes = spark.createDataFrame([(r["_hash"], r["_n"]) for r in hot], "_hash bigint, _n bigint")
     finest = min(max(COARSEST, -(-max(r["_n"] for r in hot) // block_rows)), FINEST)
-    shares = [i / finest for i in range(1, finest)]
-    quantiles = (
-        times.withColumn("_hash", F.xxhash64(*keys))
-        .join(F.broadcast(sizes), "_hash")
-        .groupBy("_hash", "_n")
-        .agg(F.percentile_approx("_ts", shares, 10 * finest).alias("_q"))
-    )
+    # Only keys that need more than the coarsest quantiles get the finest, which are as many as the hottest has ranges.
+    few = F.col("_n") <= COARSEST * block_rows
+    each = F.when(few, COARSEST).otherwise(finest)
+
+    def quantiles_of(ts: Column, n: int) -> Column:
+        return F.percentile_approx(ts, [i / n for i in range(1, n)], 10 * n)
+
+    found = quantiles_of(F.when(few, F.col("_ts")), COARSEST)
+    if finest > COARSEST:
+        found = F.coalesce(found, quantiles_of(F.when(~few, F.col("_ts")), finest))
+    quantiles = times.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(sizes), "_hash").groupBy("_hash", "_n").agg(found.alias("_q"))
     blocks = F.least(F.ceil(F.col("_n") / block_rows), F.lit(finest)).cast("int")
     picked = F.transform(
-        F.sequence(F.lit(1), blocks - 1), lambda i: F.get("_q", F.floor(i * F.lit(finest) / blocks).cast("int") - 1)
+        F.sequence(F.lit(1), blocks - 1), lambda i: F.get("_q", F.floor(i * each / blocks).cast("int") - 1)
     )
     found = quantiles.select("_hash", F.array_distinct(picked).alias("_cuts"))
     return spark.createDataFrame(found.collect(), found.schema)
 
 
+def _passed(cuts: str) -> Column:
+    """How many of at most ``_PIECE`` rising cuts a row's time has passed, by halving."""
+
+    def step(passed: Column, more: Column) -> Column:
+        return F.when(F.get(cuts, passed + more - 1) <= F.col("_ts"), passed + more).otherwise(passed)
+
+    return F.aggregate(F.array(*[F.lit(_PIECE >> i) for i in range(_PIECE.bit_length())]), F.lit(0), step)
+
+
 def _in_ranges(rows: DataFrame, keys: list[str], ranges: DataFrame | None) -> DataFrame:
-    """Add ``_block``, the number of the key's time range a row lies in, and ``_last``, the number of its last one."""
+    """Add ``_block``, the number of the key's time range a row lies in, and ``_last``, the number of its last one.
+
+    A key's cuts are looked up in pieces: first the piece by its first cut, then the cut. So a row meets
+    arrays of at most ``_PIECE`` cuts, however many ranges its key has.
+    """
     if ranges is None:
         return rows.withColumns({"_block": F.lit(0), "_last": F.lit(0)})
-    marked = rows.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(ranges), "_hash", "left")
-    passed = F.size(F.filter("_cuts", lambda c: c <= F.col("_ts")))
-    hot = F.col("_cuts").isNotNull()
-    return marked.withColumns(
-        {"_block": F.when(hot, passed).otherwise(0), "_last": F.when(hot, F.size("_cuts")).otherwise(0)}
-    ).drop("_hash", "_cuts")
+    pieces = F.sequence(F.lit(0), F.ceil(F.size("_cuts") / _PIECE).cast("int") - 1)
+    heads = ranges.select("_hash", F.size("_cuts").alias("_size"), F.transform(pieces, lambda i: F.get("_cuts", i * _PIECE)).alias("_heads"))
+    parts = ranges.select("_hash", F.posexplode(F.transform(pieces, lambda i: F.slice("_cuts", i * _PIECE + 1, _PIECE))).alias("_piece", "_part"))
+    marked = rows.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(heads), "_hash", "left")
+    marked = marked.withColumn("_piece", _passed("_heads") - 1).drop("_heads")
+    marked = marked.join(F.broadcast(parts), ["_hash", "_piece"], "left")
+    block = F.when(F.col("_part").isNotNull(), F.col("_piece") * _PIECE + _passed("_part")).otherwise(0)
+    return marked.withColumns({"_block": block, "_last": F.coalesce("_size", F.lit(0))}).drop("_hash", "_piece", "_part", "_size")
 
 
 def _carried(facts: DataFrame, keys: list[str]) -> DataFrame:

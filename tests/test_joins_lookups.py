@@ -160,6 +160,19 @@ def test_every_hot_key_has_its_own_even_ranges(spark):
     assert _time_ranges(times, ["k"], 10_000) is None
 
 
+@pytest.mark.parametrize("n", [1, 127, 128, 129, 16_383])
+def test_ranges_are_looked_up_in_short_arrays(spark, n):
+    """A row beside, on and between cuts; no array of all cuts is carried by it."""
+    ranges = spark.range(1).select(F.xxhash64(F.lit(1)).alias("_hash"), F.sequence(F.lit(10), F.lit(10 * n), F.lit(10)).alias("_cuts"))
+    times = spark.range(-5, 10 * n + 25, 3).select(F.when(F.col("id") % 2 == 0, 2).otherwise(1).alias("k"), F.col("id").cast("int").alias("_ts"))
+    found = _in_ranges(times, ["k"], ranges)
+    passed = F.least(F.greatest(F.floor(F.col("_ts") / 10), F.lit(0)), F.lit(n))
+    assert found.columns == ["k", "_ts", "_block", "_last"] and found.count() == times.count()
+    assert found.filter("k = 2 AND (_block <> 0 OR _last <> 0)").isEmpty()
+    assert found.filter("k = 1").filter((F.col("_block") != passed) | (F.col("_last") != n)).isEmpty()
+    assert "filter(" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_timed_lookup_through_with_features(spark, rows):
     base = spark.createDataFrame([(1, 5), (1, 10), (2, 5), (3, 5)], "k int, t int")
     kept = spark.createDataFrame([(1, 1, 10), (1, 9, 20), (2, 6, 30), (3, 5, None)], "k int, t int, f int")
