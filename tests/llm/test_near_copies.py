@@ -118,6 +118,15 @@ def test_near_duplicates_of_hard_rows(documents, hard_rows):
     assert near_duplicates(documents([])).collect() == []
 
 
+def test_rows_that_are_no_copies_pass_without_a_join(documents):
+    rows = [(i, prose(i, 40)) for i in range(60)] + [(100 + i, prose(i, 40) + " x") for i in range(5)] + [(None, prose(0, 40)), (7, prose(7, 40))]
+    kept = drop_near_copies(documents(rows))
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == sorted([*((False, i) for i in range(60)), (False, 7), (True, 0)])
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    passed, matched = plan.split("Union", 1)[1].split("Join LeftAnti", 1)
+    assert "bitmap" in passed and "bitmap" in matched
+
+
 def brute_windows(values, least):
     out = set()
     for c, v in enumerate(values):
