@@ -30,8 +30,10 @@ from patchloom.sources.files import Opener
 FORMAT = "file_manifest"
 # Bytes of files, and rows, that one part holds at most; a larger file is a part of its own.
 PART_BYTES, PART_ROWS = 128 << 20, 10_000
-# Bytes of files handed on at once.
-BATCH_BYTES = 32 << 20
+# Bytes of files, and rows, handed on at once.
+BATCH_BYTES, BATCH_ROWS = 32 << 20, 1024
+# Bytes of a row group of the stored rows, so that a part's reader meets few rows of other parts.
+GROUP_BYTES = 1 << 20
 _FOUND = StructType([
     StructField("path", StringType()), StructField("length", LongType()), StructField("modificationTime", TimestampType()),
 ])
@@ -108,7 +110,7 @@ def write_manifest(files: DataFrame, path: str, part_bytes: int = PART_BYTES, pa
     named = F.when(F.col("path").isNull(), F.raise_error(F.lit("a row of the manifest has no path")).cast("string")).otherwise(F.col("path"))
     plain = [f.name for f in files.schema.fields if f.name != "path"]
     dealt = files.withColumn("path", named).repartitionByRange(F.col("path"), F.xxhash64(*plain)).sortWithinPartitions("path")
-    dealt.mapInPandas(numbered, schema).write.parquet(f"{path}/rows")
+    dealt.mapInPandas(numbered, schema).write.option("parquet.block.size", GROUP_BYTES).parquet(f"{path}/rows")
     stored = files.sparkSession.read.schema(schema).parquet(f"{path}/rows")
     listed = stored.groupBy(F.col("_metadata.file_path").alias("file"), "part").agg(F.count("*").alias("n_rows"))
     listed.coalesce(1).write.parquet(f"{path}/parts")
@@ -142,25 +144,42 @@ class _Reader(DataSourceReader):
             return
         opener = Opener()
         wanted = to_arrow_schema(self.schema)
-        columns = [name for name in wanted.names if name != "content"]
         test = pc.field("part") == partition.part
         for name, values in self.only.items():
             test &= pc.field(name).isin(pa.array(values, wanted.field(name).type))
         filesystem, location = opener(partition.file)
-        rows = ds.dataset(location, filesystem=filesystem, format="parquet").to_table(columns=columns, filter=test)
-        body, before, first, held = b"", None, 0, 0
-        bodies: list[bytes] = []
-        for place, name in enumerate(rows.column("path").to_pylist(), 1):
-            if name != before:
-                source, where = opener(name)
-                with source.open_input_stream(where) as stream:
-                    body, before = stream.read(), name
-            bodies.append(body)
-            held += len(body)
-            if held >= BATCH_BYTES or place == len(rows):
-                table = rows.slice(first, place - first).append_column("content", pa.array(bodies, pa.binary()))
-                yield from table.select(wanted.names).cast(wanted).combine_chunks().to_batches()
-                bodies, first, held = [], place, 0
+        body, before = b"", None
+        with filesystem.open_input_file(location) as stored:
+            for rows in _rows_of(stored, partition.part, [name for name in wanted.names if name != "content"], test):
+                bodies, first, held = [], 0, 0
+                for place, name in enumerate(rows.column("path").to_pylist(), 1):
+                    if name != before:
+                        source, where = opener(name)
+                        with source.open_input_stream(where) as stream:
+                            body, before = stream.read(), name
+                    bodies.append(body)
+                    held += len(body)
+                    if held >= BATCH_BYTES or place == len(rows):
+                        table = rows.slice(first, place - first).append_column("content", pa.array(bodies, pa.binary()))
+                        yield from table.select(wanted.names).cast(wanted).combine_chunks().to_batches()
+                        bodies, first, held = [], place, 0
+
+
+def _rows_of(stored: pa.NativeFile, part: int, columns: list[str], test: pc.Expression) -> Iterator[pa.Table]:
+    """A part's rows that pass ``test``, a few at a time, out of those row groups that can hold any."""
+    import pyarrow.parquet as pq
+
+    file = pq.ParquetFile(stored)
+    place = file.schema_arrow.names.index("part")
+    wanted = []
+    for group in range(file.num_row_groups):
+        found = file.metadata.row_group(group).column(place).statistics
+        if found is None or not found.has_min_max or found.min <= part <= found.max:
+            wanted.append(group)
+    for batch in file.iter_batches(BATCH_ROWS, wanted, [*columns, "part"], use_threads=False):
+        rows = pa.Table.from_batches([batch]).filter(test).select(columns)
+        if len(rows):
+            yield rows
 
 
 class FileManifest(DataSource):

@@ -6,12 +6,14 @@ import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from patchloom.operators.featurize import image_featurizer, share_weights
 from patchloom.plans.jobs import image_feature_rows, image_rejects
 from patchloom.session import scratch_path
 from patchloom.sinks.images import raw_bitmap
 from patchloom.sources.images import decode_bitmap, decode_content, scan_files, scan_images
+from patchloom.sources import manifest
 from patchloom.sources.manifest import attach_files, list_files, read_manifest, write_manifest
 
 
@@ -171,3 +173,14 @@ def test_an_annotated_file_that_is_no_image(spark, folder):
         found = image_feature_rows(spark, annotations, root, embed, PATTERN, with_content=False, rejects="drop", partitions=3, decode=decode)
         assert [r["x_center"] for r in found.collect()] == [1] and found.columns[-1] == "features" and "content" not in found.columns
     assert {(r["path"].rsplit("/", 1)[-1], r["reason"]) for r in image_rejects(spark, root, PATTERN).collect()} == {("slide_0-99-7.bmp", "invalid"), ("unnamed.bmp", "invalid")}
+
+
+def test_a_part_is_read_a_few_rows_at_a_time(spark, tmp_path):
+    (tmp_path / "one").write_bytes(b"abc")
+    files = spark.range(3_000).select("id", F.lit(str(tmp_path / "one")).alias("path"), F.lit(3).cast("bigint").alias("length"))
+    write_manifest(files.coalesce(1), str(tmp_path / "m"), part_rows=2_500)
+    reader = manifest._Reader(str(tmp_path / "m"), StructType([*files.schema.fields, StructField("content", BinaryType())]), {})
+    batches = [batch for part in reader.partitions() for batch in reader.read(part)]
+    assert max(b.num_rows for b in batches) <= manifest.BATCH_ROWS
+    assert sorted(i for b in batches for i in b.column("id").to_pylist()) == list(range(3_000))
+    assert {c for b in batches for c in b.column("content").to_pylist()} == {b"abc"}
