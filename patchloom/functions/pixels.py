@@ -7,6 +7,8 @@ tasks.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -61,8 +63,16 @@ def array_to_bytes(values: str | Column) -> Column:
     return F.unhex(F.array_join(F.transform(_column(values), lambda v: F.lpad(F.hex(v), 2, "0")), ""))
 
 
+# Weights of so many numbers are kept for the next image of the same size.
+KEPT_TAPS = 1 << 16
+
+
 def _taps(n_in: int, n_out: int) -> np.ndarray:
     """Weights (n_out x n_in) of a triangle filter, widened when shrinking."""
+    return _kept_taps(n_in, n_out) if n_in * n_out <= KEPT_TAPS else _new_taps(n_in, n_out)
+
+
+def _new_taps(n_in: int, n_out: int) -> np.ndarray:
     scale = n_in / n_out
     support = max(scale, 1.0)
     centres = (np.arange(n_out) + 0.5) * scale
@@ -71,6 +81,13 @@ def _taps(n_in: int, n_out: int) -> np.ndarray:
     return weights / weights.sum(axis=1, keepdims=True)
 
 
+@lru_cache(maxsize=64)
+def _kept_taps(n_in: int, n_out: int) -> np.ndarray:
+    taps = _new_taps(n_in, n_out)
+    taps.setflags(write=False)
+    return taps
+
+
 def resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
     """Bilinear resize with the filter widened when shrinking; float64 result.
 

@@ -291,3 +291,10 @@ def test_boxes_over_edge_tiles_levels_and_equal_keys(spark):
     assert plain.count() == 4
     with pytest.raises(Exception, match="no downsample"):
         read_boxes(tiles, boxes, 6, 4, downsample={0: 1}).collect()
+
+
+def test_resize_weights_are_made_once_for_a_size_unless_large():
+    assert px._taps(8, 12) is px._taps(8, 12) and not px._taps(8, 12).flags.writeable
+    assert (px._taps(8, 12) == px._new_taps(8, 12)).all()
+    large = px.KEPT_TAPS // 8 + 1
+    assert px._taps(large, 8) is not px._taps(large, 8)
