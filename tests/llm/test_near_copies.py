@@ -230,3 +230,47 @@ def near_pairs(n):
 def test_recall_of_least_length_at_the_limit(documents):
     found = {(r["doc_id"], r["partner_id"]) for r in repeated_passages(documents(near_pairs(400))).collect()}
     assert {(2 * k + 1, 2 * k) for k in range(400)} <= found
+
+
+def test_near_passages_around_a_frequent_line(documents):
+    line, rows, pairs = prose(50_000, 35), [], set()
+    rows += [(i, f"{prose(60_000 + i, 30)} {line} {prose(70_000 + i, 30)}") for i in range(120)]
+    for k in range(40):
+        before, after = prose(80_000 + k, 7), prose(90_000 + k, 8)
+        other = after.split(" ")
+        other[0] = f"new{k}"
+        rows.append((1000 + 2 * k, f"{prose(100_000 + k, 30)} {before} {line} {after} {prose(110_000 + k, 30)}"))
+        rows.append((1001 + 2 * k, f"{prose(120_000 + k, 30)} {before} {line} {' '.join(other)} {prose(130_000 + k, 30)}"))
+        pairs.add((1001 + 2 * k, 1000 + 2 * k))
+    found = {(r["doc_id"], r["partner_id"]) for r in repeated_passages(documents(rows)).collect()}
+    assert pairs <= found and {x for p in found for x in p} == {x for p in pairs for x in p}
+
+
+def test_every_repeated_passage_connects_its_holders(documents, monkeypatch):
+    """Against all pairs: near copies of a few passages in several documents, with keys in one part and in many."""
+    rng = random.Random(21)
+    rows = []
+    for n in range(6):
+        base = prose(140_000 + n, 60)
+        rows += [(100 * n + i, f"{prose(150_000 + 100 * n + i, 20)} {edited(base, rng, 0.01)} {prose(160_000 + 100 * n + i, 20)}") for i in range(9)]
+    sets = {i: [(at, shingle_set(" ".join(words[at : at + 50]), 5)) for at in range(len(words) - 49)] for i, words in ((i, words_of(t)) for i, t in rows)}
+    links = [(b, a) for a in sets for b in sets if a < b and a // 100 == b // 100 and any(100 * len(s & t) >= 80 * len(s | t) for x, s in sets[a] for y, t in sets[b] if x == y)]
+    for part, small in ((4096, 48), (3, 2)):
+        monkeypatch.setattr("patchloom.llm.substring_dedup.PART_WINDOWS", part)
+        monkeypatch.setattr("patchloom.llm.substring_dedup._SMALL", small)
+        found = repeated_passages(documents(rows)).collect()
+        pairs = {(r["doc_id"], r["partner_id"]) for r in found}
+        real = components_of(sets, links)
+        joined = components_of(sets, pairs)
+        assert all(joined[a] == joined[b] for a, b in links) and all(joined[i] // 100 == i // 100 for i in sets)
+        assert len(set(joined.values())) <= len(set(real.values()))
+
+
+def test_other_holders_link_two_passages_of_one_document(documents):
+    """The smallest id holds both variants: whoever holds one is linked to it or to the other's holders."""
+    words = [f"v{i}" for i in range(70)]
+    near = words[:35] + ["new"] + words[36:]
+    rows = [(1, f"{' '.join(words)} {prose(1, 80)} {' '.join(near)}"), (2, f"{prose(2, 60)} {' '.join(words)} {prose(3, 60)}"), (3, f"{prose(4, 60)} {' '.join(near)} {prose(5, 60)}")]
+    rows += [(4, " ".join(["the"] * 90)), (5, f"{prose(6, 60)} {' '.join(['the'] * 80)}")]
+    found = {(r["doc_id"], r["partner_id"]) for r in repeated_passages(documents(rows)).collect()}
+    assert {(2, 1), (3, 1), (5, 4)} <= found
