@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from patchloom.llm import shingles as S
 from patchloom.llm.components import connected_components
 from patchloom.llm.minhash import MinMax, drop_near_copies, near_duplicates
-from patchloom.llm.substring_dedup import Passages, compact_windows, repeated_passages
+from patchloom.llm.substring_dedup import Passages, _forest, _grown, _may_grow, _Windows, compact_windows, repeated_passages
 from tests.llm.conftest import prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -274,3 +274,68 @@ def test_other_holders_link_two_passages_of_one_document(documents):
     rows += [(4, " ".join(["the"] * 90)), (5, f"{prose(6, 60)} {' '.join(['the'] * 80)}")]
     found = {(r["doc_id"], r["partner_id"]) for r in repeated_passages(documents(rows)).collect()}
     assert {(2, 1), (3, 1), (5, 4)} <= found
+
+
+def windows_of(around):
+    """Windows of one key, each in a document of its own, with these shingles around their centres."""
+    n = len(around)
+    body = np.ascontiguousarray(around.astype("<u4")[:, :, None].view(np.uint8)[:, :, :3])
+    place = np.full(n, 100 << 32)
+    return _Windows(
+        pa.table({"id": np.arange(n), "other": np.arange(n), "place": place, "there": place, "around": [row.tobytes() for row in body]}), Passages()
+    )
+
+
+def windows_around_a_line(n, width, rng):
+    """``n`` windows that hold one line of ``width`` shingles; some go on alike behind it, with a changed word or two, and some are short."""
+    reach = Passages().reach
+    around = rng.integers(1, 1 << 24, (n, 2 * reach + 1))
+    line = rng.integers(1, 1 << 24, width)
+    for i in range(n):
+        if i % 3 == 0:
+            around[i] = around[i - i % 12]  # four alike
+            for _ in range(rng.integers(0, 4)):
+                at = rng.integers(0, 2 * reach - 4)
+                around[i, at : at + 5] = rng.integers(1, 1 << 24, 5)
+        if i % 7 == 0:
+            around[i] = np.roll(around[i], rng.integers(-3, 4))
+        if i % 5 == 0:
+            around[i, : rng.integers(0, 50)] = 0
+            around[i, 2 * reach + 1 - rng.integers(0, 50) :] = 0
+    around[:, reach - 12 : reach - 12 + width] = line
+    return around
+
+
+@pytest.mark.parametrize(("n", "width"), [(700, 26), (300, 41), (120, 60)])
+def test_windows_of_a_frequent_line_are_looked_up_not_all_compared(monkeypatch, n, width):
+    windows = windows_of(windows_around_a_line(n, width, np.random.default_rng(n)))
+    low, high = np.triu_indices(n, 1)
+    a, b, start, surely = windows.linked(low, high)
+    sure = surely | np.array([bool(np.all(windows.grows(a[k : k + 1], b[k : k + 1], start[k : k + 1]))) for k in range(len(a))])
+    links = list(zip(a[sure].tolist(), b[sure].tolist(), strict=True))
+    assert len(links) > n / 12
+
+    compared, before = [], _Windows._linked
+    monkeypatch.setattr(_Windows, "_linked", lambda self, x, y: compared.append(len(x)) or before(self, x, y))
+    found = [np.concatenate(x) for x in zip(*_forest(windows, np.array([0, n])), strict=True)]
+    chosen = list(zip(found[0].tolist(), found[1].tolist(), strict=True))
+    assert components_of(range(n), chosen) == components_of(range(n), links)
+    assert len(chosen) == n - len(set(components_of(range(n), chosen).values()))
+    if width == 26:
+        assert sum(compared) < 5 * n  # of n * (n - 1) / 2 pairs
+
+
+def test_rows_that_cannot_grow_are_told_at_once():
+    rng, settings_ = np.random.default_rng(4), Passages()
+    size, told, real = 2 * settings_.reach + 1, 0, 0
+    for share in (0.02, 0.05, 0.1, 0.2):
+        matched = rng.random((400, size)) > share
+        matched &= np.abs(np.arange(size) - size // 2) < rng.integers(10, size, 400)[:, None]
+        partner = np.where(matched, np.arange(size) + rng.integers(-8, 9, 400)[:, None], -1)
+        partner = np.where((partner >= 0) & (partner < size), partner, -1).astype(np.int32)
+        middle = rng.integers(47, 93, 400)
+        may = _may_grow(partner, middle, settings_)
+        grown = np.array([bool(_grown(np.flatnonzero(p >= 0), p, int(m), settings_)) for p, m in zip(partner, middle, strict=True)])
+        assert not (grown & ~may).any()
+        told, real = told + int((~may).sum()), real + int((~grown).sum())
+    assert told > 0.9 * real
